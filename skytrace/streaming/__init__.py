@@ -1,0 +1 @@
+"""Intentionally empty: the work rebuilt here is batch only, so no streaming query is offered."""
