@@ -95,7 +95,7 @@ def beacon_deltas(positions: DataFrame, layout: Layout = WHOLE,
 
     def rate(now: str, before: str):
         change = (F.col(now) - F.col(before)) / F.col("timedelta_s")
-        return F.when(F.col("timedelta_s") > 0, numeric.round_half_away(change, 8))
+        return numeric.round_half_away(F.when(F.col("timedelta_s") > 0, change), 8)
 
     df = df.withColumns({
         "velocity_x_degs": rate("longitude", "prev_lon"),

@@ -74,7 +74,7 @@ def phase_line(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
     )
     return df.withColumns({
         "elapsed_secs": _for_phases(elapsed),
-        "distance_to_line": _for_phases(round_half_away(distance, 6)),
+        "distance_to_line": round_half_away(_for_phases(distance), 6),
     }).drop("begin", "finish", "time_ms")
 
 
@@ -85,8 +85,9 @@ def acceleration(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
                     {"prev_fts": "velocity_z_fts", "prev_ms": "velocity_z_ms"})
 
     def change(now: str, before: str):
-        value = (F.col(now) - F.col(before)) / F.col("timedelta_s")
-        return _for_phases(F.when(F.col("timedelta_s") > 0, round_half_away(value, 6)))
+        step = F.col("timedelta_s")
+        timed = (step > 0) & (F.col("phase_rows") >= FEWEST_ROWS)
+        return round_half_away(F.when(timed, (F.col(now) - F.col(before)) / step), 6)
 
     return df.withColumns({
         "acceleration_fts2": change("velocity_z_fts", "prev_fts"),
@@ -114,14 +115,12 @@ def expanding_stats(df: DataFrame, layout: Layout, part, order,
         n, total, squares = (F.col(f"{name}__{s}") for s in ("n", "sum", "squares"))
         known = F.col(name).isNotNull()
         variance = numeric.variance_from_sums(n, total, squares, decimals)
-        stats[mean] = F.when(
-            known, round_half_away(numeric.mean_from_sums(n, total, decimals), places)
-        )
-        stats[deviation] = F.when(known, round_half_away(F.sqrt(variance), places))
-        normed[norm] = F.when(
-            F.col(deviation) > 0,
-            round_half_away((F.col(name) - F.col(mean)) / F.col(deviation), places),
-        )
+        average = numeric.mean_from_sums(n, total, decimals)
+        stats[mean] = round_half_away(F.when(known, average), places)
+        stats[deviation] = round_half_away(F.when(known, F.sqrt(variance)), places)
+        normed[norm] = round_half_away(F.when(
+            F.col(deviation) > 0, (F.col(name) - F.col(mean)) / F.col(deviation)
+        ), places)
     return df.withColumns(stats).withColumns(normed).drop(*sums)
 
 
@@ -144,4 +143,5 @@ def phase_expanding_stats(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
 
 def phase_stats(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
     """All per-phase columns."""
-    return phase_expanding_stats(acceleration(phase_line(df, layout), layout), layout)
+    # Acceleration first: its sort by time also serves the unordered windows that follow.
+    return phase_expanding_stats(phase_line(acceleration(df, layout), layout), layout)

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skytrace.functions import numeric
 from skytrace.functions.numeric import round_half_away, ticks, wide
@@ -24,13 +25,15 @@ MAX_DEGREE = 13
 SINGULAR_CUTOFF = 1e-14
 FLAT = 1e-15
 
+NUMBERS = T.ArrayType(T.DoubleType())
+
 PAIRS = {
     "fts": ("altitude_ft", "velocity_z_fts"),
     "ms": ("altitude_m", "velocity_z_ms"),
 }
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(NUMBERS)
 def _triangle(x: pd.Series, y: pd.Series, degree: pd.Series) -> pd.Series:
     """Row-major upper triangle of ``[1, x, x^2, ..., y]``."""
     def one(xs, ys, d):
@@ -43,7 +46,7 @@ def _triangle(x: pd.Series, y: pd.Series, degree: pd.Series) -> pd.Series:
     ], dtype=object)
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(NUMBERS)
 def _solve(triangles: pd.Series, degree: pd.Series) -> pd.Series:
     """Coefficients, lowest power first, from the stacked triangles of a phase."""
     def one(parts, d):

@@ -82,12 +82,17 @@ def flight_documents(metadata: DataFrame, packets: DataFrame,
         "flight", "part", F.to_json(whole, JSON_OPTIONS).alias("value"))
 
 
-def write_documents(metadata: DataFrame, packets: DataFrame, path: str) -> None:
-    """JSON documents, one folder per flight."""
-    _per_flight(flight_documents(metadata, packets), "part").select("flight", "value").write.mode(
+def write_texts(documents: DataFrame, path: str) -> None:
+    """Document texts, one folder per flight."""
+    _per_flight(documents, "part").select("flight", "value").write.mode(
         "overwrite").partitionBy("flight").text(path)
 
 
+def write_documents(metadata: DataFrame, packets: DataFrame, path: str) -> None:
+    """JSON documents of all flights."""
+    write_texts(flight_documents(metadata, packets), path)
+
+
 def key_value_rows(metadata: DataFrame) -> DataFrame:
     """The flattened record of each flight as rows of name and text."""
     maps = {
