@@ -94,8 +94,8 @@ class Sliced(Layout):
     def _carry(df: DataFrame, part, summary: Sequence[Column], carry: Mapping[str, Column]):
         """Summarise the slices, combine the summaries of a series, join the result back."""
         summaries = df.groupBy(*part, SLICE).agg(*summary)
-        return df.join(summaries.select(*part, SLICE, *[c.alias(n) for n, c in carry.items()]),
-                       [*part, SLICE])
+        carried = summaries.select(*part, SLICE, *[c.alias(n) for n, c in carry.items()])
+        return df.drop(*carry).join(carried, [*part, SLICE])
 
     def lag(self, df, part, order, columns):
         df = stage(df)
@@ -204,7 +204,7 @@ def spread(
         return run(df, WHOLE)
     usual = df.join(F.broadcast(heavy), key, "left_anti")
     large = df.join(F.broadcast(heavy), key, "left_semi")
-    return run(usual, WHOLE).unionByName(run(large, Sliced(slice_ms)))
+    return run(usual, WHOLE).unionByName(run(large, Sliced(slice_ms)).drop(SLICE))
 
 
 def balanced(
