@@ -15,16 +15,19 @@ KGM3_PER_SLUGFT3 = 515.3788199999872
 NEAR_ZERO = 1e-10
 
 
+# Largest double below one half: adding it and cutting rounds ties up and never anything else.
+ALMOST_HALF = 0.49999999999999994
+
+
 def round_half_away(value: Column, places: int) -> Column:
-    """Round the scaled binary value, ties away from zero.
+    """Round the scaled binary value, ties away from zero; for results below 9.2e18 units.
 
     ``F.round`` works on the shortest decimal text of the double, which differs on ties and
-    allocates a BigDecimal per value; ``rint`` plus a tie correction does neither.
+    allocates a BigDecimal per value.
     """
     factor = F.lit(float(10**places))
-    size = F.abs(value) * factor
-    whole = F.rint(size) + F.when(size - F.rint(size) == 0.5, F.lit(1.0)).otherwise(F.lit(0.0))
-    return F.signum(value) * whole / factor + F.lit(0.0)
+    units = F.floor(F.abs(value) * factor + F.lit(ALMOST_HALF))
+    return F.signum(value) * units / factor + F.lit(0.0)
 
 
 def ticks(value: Column, places: int) -> Column:

@@ -7,8 +7,6 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skytrace.functions import clock
-
 # Text patterns and unit factors of the packet format.
 CLOCK_DIGITS = "([0-9]{6})h"
 TEMPERATURE = " (-?[0-9]{1,6})T-?[0-9]{1,6}P"
@@ -32,24 +30,18 @@ def payload(raw: Column) -> Column:
     return F.substr(raw, F.position(F.lit(":"), raw) + F.lit(1))
 
 
-def _digits(raw: Column, pattern: str) -> Column:
-    """First group as an integer, null when the pattern does not occur."""
-    return F.nullif(F.regexp_extract(raw, pattern, 1), F.lit("")).try_cast("decimal(10,0)")
-
-
 def packet_time(raw: Column, received: Column) -> Column:
     """Time stamped into the packet on the date of receipt, else the time of receipt.
 
-    The digits are kept as written and the date is not rolled over at midnight.
+    The digits are kept as written and the date is not rolled over at midnight. ``raw`` occurs once
+    in the expression, so filters that Catalyst pushes down match the pattern once as well.
     """
     digits = F.regexp_extract(raw, CLOCK_DIGITS, 1)
-    hour, minute, second = (
-        F.nullif(F.substring(digits, at, 2), F.lit("")).try_cast("int") for at in (1, 3, 5)
-    )
-    valid = (hour < 24) & (minute < 60) & (second < 60)
-    midnight = F.to_date(received).cast("timestamp_ntz")
-    stamped = midnight + F.make_dt_interval(F.lit(0), hour, minute, second.cast("decimal(18,6)"))
-    return F.when(valid, stamped).otherwise(received)
+    clock = F.regexp_replace(digits, "(..)(..)(..)", "$1:$2:$3")
+    date = F.to_date(received).cast("string")
+    # The fraction makes a date without clock digits no valid time.
+    stamped = F.concat(date, F.lit(" "), clock, F.lit(".0")).try_cast("timestamp_ntz")
+    return F.coalesce(stamped, received)
 
 
 def _exact(value: Column) -> Column:
@@ -69,38 +61,43 @@ def metres(value: Column) -> Column:
     return F.round(_exact(value) * F.lit(FEET_TO_METRES), 2).cast("double")
 
 
-def _tenths(raw: Column) -> Column:
-    return _digits(raw, TEMPERATURE)
+def temperature_digits(raw: Column) -> Column:
+    """Tenths of a degree Celsius as text, empty unless temperature and pressure are reported."""
+    return F.regexp_extract(raw, TEMPERATURE, 1)
+
+
+def pressure_digits(raw: Column, anchored: bool = False) -> Column:
+    """Pressure as text: the leftmost digits before any P, even in the address part of the packet,
+    or with ``anchored`` those that follow the temperature."""
+    return F.regexp_extract(raw, PRESSURE_AFTER_TEMPERATURE if anchored else PRESSURE, 1)
 
 
-def temperature_c(raw: Column) -> Column:
-    return F.round(_tenths(raw) * F.lit(Decimal("0.1")), 2).cast("double")
+def whole_number(digits: Column) -> Column:
+    """Matched digits as a number, null for no match."""
+    return F.when(digits != "", digits.cast("decimal(10,0)"))
 
 
-def temperature_f(raw: Column) -> Column:
-    return F.round(F.lit(Decimal("32.0")) + _tenths(raw) * F.lit(Decimal("0.18")), 2).cast("double")
+def celsius(tenths: Column) -> Column:
+    return F.round(tenths * F.lit(Decimal("0.1")), 2).cast("double")
 
 
-def temperature_k(raw: Column) -> Column:
-    return F.round(F.lit(Decimal("273.15")) + _tenths(raw) * F.lit(Decimal("0.1")), 2).cast("double")
+def fahrenheit(tenths: Column) -> Column:
+    return F.round(F.lit(Decimal("32.0")) + tenths * F.lit(Decimal("0.18")), 2).cast("double")
 
 
-def _pressure(raw: Column, anchored: bool) -> Column:
-    if anchored:
-        return _digits(raw, PRESSURE_AFTER_TEMPERATURE)
-    # The leftmost digits before any P, even ones in the address part.
-    return F.when(F.regexp_like(raw, F.lit(TEMPERATURE)), _digits(raw, PRESSURE))
+def kelvin(tenths: Column) -> Column:
+    return F.round(F.lit(Decimal("273.15")) + tenths * F.lit(Decimal("0.1")), 2).cast("double")
 
 
-def pressure_atm(raw: Column, anchored: bool = False) -> Column:
-    return F.round(_pressure(raw, anchored) / F.lit(PRESSURE_UNITS_PER_ATM), 2).cast("double")
+def atmospheres(units: Column) -> Column:
+    return F.round(units / F.lit(PRESSURE_UNITS_PER_ATM), 2).cast("double")
 
 
-def pressure_pa(raw: Column, anchored: bool = False) -> Column:
-    return F.round(_pressure(raw, anchored) * F.lit(Decimal("10.0")), 2).cast("double")
+def pascals(units: Column) -> Column:
+    return F.round(units * F.lit(Decimal("10.0")), 2).cast("double")
 
 
 def burst_feet(raw: Column) -> Column:
     """Altitude in a burst or release report, null for any other text."""
-    feet = F.nullif(F.regexp_extract(raw, BURST_FEET, 1), F.lit("")).try_cast("bigint")
+    feet = F.regexp_extract(raw, BURST_FEET, 1).try_cast("bigint")
     return F.when(F.regexp_like(raw, F.lit(BURST_REPORT)), feet)

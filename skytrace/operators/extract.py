@@ -90,8 +90,16 @@ def earliest_payloads(matched: DataFrame) -> DataFrame:
 
 def parse_packets(packets: DataFrame, anchored_pressure: bool = False) -> DataFrame:
     """The 17 published columns of a packet, in front of them any key columns."""
-    raw, received = F.col("raw"), clock.local_time(F.col("tm"))
+    raw, received = F.col("raw"), F.col("receivetime")
     keys = [c for c in packets.columns if c not in PACKET_COLUMNS and c != "info"]
+    # Each pattern is matched once; everything else is taken from these pieces.
+    pieces = packets.withColumns({
+        "receivetime": clock.local_time(F.col("tm")),
+        "temperature": telemetry.temperature_digits(raw),
+        "pressure": telemetry.pressure_digits(raw, anchored_pressure),
+    })
+    tenths = telemetry.whole_number(F.col("temperature"))
+    units = F.when(F.col("temperature") != "", telemetry.whole_number(F.col("pressure")))
     parsed: dict[str, Column] = {
         "info": telemetry.payload(raw),
         "receivetime": received,
@@ -105,13 +113,13 @@ def parse_packets(packets: DataFrame, anchored_pressure: bool = False) -> DataFr
         "altitude_m": telemetry.metres(F.col("altitude")),
         "latitude": F.col("latitude").cast("double"),
         "longitude": F.col("longitude").cast("double"),
-        "temperature_f": telemetry.temperature_f(raw),
-        "temperature_c": telemetry.temperature_c(raw),
-        "temperature_k": telemetry.temperature_k(raw),
-        "pressure_atm": telemetry.pressure_atm(raw, anchored_pressure),
-        "pressure_pa": telemetry.pressure_pa(raw, anchored_pressure),
+        "temperature_f": telemetry.fahrenheit(tenths),
+        "temperature_c": telemetry.celsius(tenths),
+        "temperature_k": telemetry.kelvin(tenths),
+        "pressure_atm": telemetry.atmospheres(units),
+        "pressure_pa": telemetry.pascals(units),
     }
-    return packets.select(*keys, *[parsed[name].alias(name) for name in EXTRACTED_COLUMNS])
+    return pieces.select(*keys, *[parsed[name].alias(name) for name in EXTRACTED_COLUMNS])
 
 
 def burst_altitudes(extracted: DataFrame) -> DataFrame:

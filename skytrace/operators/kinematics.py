@@ -85,8 +85,7 @@ def beacon_deltas(positions: DataFrame, layout: Layout = WHOLE,
         "prev_ft": "altitude_ft", "prev_m": "altitude_m",
     }
     df = positions.withColumn("fate", F.lit(KEPT))
-    df = layout.lag(df, BEACON, ["packettime"], previous)
-    df = layout.totals(df, BEACON, {"beacon_rows": ("sum", F.lit(1))})
+    df = layout.scan(df, BEACON, ["packettime"], lag=previous, size="beacon_rows")
     df = survivors(lose(df, F.col("beacon_rows") < 2, "lone_beacon"), keep_lost)
     df = df.withColumn(
         "timedelta_s",
@@ -107,6 +106,21 @@ def beacon_deltas(positions: DataFrame, layout: Layout = WHOLE,
     return df.withColumn("vert_rate_ftmin", per_minute).drop(*previous, "beacon_rows")
 
 
+# Columns no later scan looks at.
+CARGO = ["info", "receivetime", "raw", "bearing", "speed_mph", "speed_kph", "temperature_f",
+         "temperature_c", "temperature_k", "pressure_atm", "pressure_pa", "position_packet"]
+
+
+def stow(df: DataFrame) -> DataFrame:
+    """Put the columns no scan looks at into one struct: windows copy rows column by column."""
+    return df.withColumn("cargo", F.struct(*CARGO)).drop(*CARGO)
+
+
+def unload(df: DataFrame) -> DataFrame:
+    """Undo ``stow``."""
+    return df.select("*", "cargo.*").drop("cargo")
+
+
 def air_density(df: DataFrame) -> DataFrame:
     """Add dry-air density from pressure and temperature."""
     pressure, temperature = F.col("pressure_pa"), F.col("temperature_k")

@@ -2,10 +2,11 @@
 
 A series is the rows of one key (a flight, a beacon of a flight, a phase) in time order. The
 operators need five things from it: the previous row, the position, totals of the whole series,
-means over the next rows and running sums. ``Layout`` offers these five in two arrangements.
+sums over the next rows and running sums. ``scan`` adds any of these in one pass. There are two
+arrangements.
 
-* ``WHOLE``: one window per series. Right for series of a bounded size, and the cheapest plan:
-  everything runs on one shuffle by key.
+* ``Layout`` (``WHOLE``): one window per series. Right for series of a bounded size, and the
+  cheapest plan: all scans run on one shuffle by key, each as a single window operator.
 * ``Sliced``: a series is cut into time slices, each a partition of its own. Every slice is
   reduced to one summary row, a window over the (few) summaries finds what enters the slice from
   outside, and that is joined back by ``(key, slice)``. No task ever holds a whole series.
@@ -29,7 +30,6 @@ DEFAULT_SERIES_ROWS = 2_000_000
 DEFAULT_SLICE_MS = 60_000
 
 _AGGREGATES = {"min": F.min, "max": F.max, "sum": F.sum}
-Totals = Mapping[str, tuple[str, Column]]
 
 
 class Layout:
@@ -38,44 +38,47 @@ class Layout:
     sliced = False
 
     def place(self, df: DataFrame, keys: Sequence[str], time_ms: Column | None = None) -> DataFrame:
-        """Partition the rows once; all later windows of the series reuse this partitioning."""
+        """Partition the rows once; all later scans of the series reuse this partitioning."""
         return df.repartition(*keys)
 
-    def lag(self, df: DataFrame, part, order, columns: Mapping[str, str]) -> DataFrame:
-        """Add, for each ``new: source``, the value of ``source`` in the previous row."""
-        w = W.partitionBy(*part).orderBy(*order)
-        return df.withColumns({new: F.lag(source).over(w) for new, source in columns.items()})
-
-    def position(self, df: DataFrame, part, order, index: str, size: str) -> DataFrame:
-        """Add the zero-based position of each row and the number of rows of its series."""
-        w = W.partitionBy(*part)
-        return df.withColumns({
-            index: (F.row_number().over(w.orderBy(*order)) - 1).cast("bigint"),
-            size: F.count(F.lit(1)).over(w),
-        })
-
-    def totals(self, df: DataFrame, part, aggregates: Totals) -> DataFrame:
-        """Add min, max or sum of an expression over the whole series to each of its rows."""
-        w = W.partitionBy(*part)
-        return df.withColumns({
-            name: _AGGREGATES[how](value).over(w) for name, (how, value) in aggregates.items()
-        })
-
-    def next_sums(self, df: DataFrame, part, order, value: Column, sizes: Mapping[str, int]):
-        """Add the sum over a row and its ``k - 1`` successors, null if there are fewer."""
-        w = W.partitionBy(*part).orderBy(*order)
-        return df.withColumns({
-            name: F.when(
-                F.count(F.lit(1)).over(w.rowsBetween(0, k - 1)) == k,
-                F.sum(value).over(w.rowsBetween(0, k - 1)),
-            )
-            for name, k in sizes.items()
-        })
-
-    def running_sums(self, df: DataFrame, part, order, values: Mapping[str, Column]) -> DataFrame:
-        """Add sums over all rows up to and including the current one."""
-        w = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumns({name: F.sum(value).over(w) for name, value in values.items()})
+    def scan(
+        self,
+        df: DataFrame,
+        part: Sequence[str],
+        order: Sequence[str],
+        *,
+        lag: Mapping[str, str] | None = None,
+        index: str | None = None,
+        size: str | None = None,
+        totals: Mapping[str, tuple[str, Column]] | None = None,
+        ahead: tuple[Column, Mapping[str, int]] | None = None,
+        running: Mapping[str, Column] | None = None,
+    ) -> DataFrame:
+        """Add columns taken from the series a row belongs to.
+
+        ``lag`` maps a new column to the one whose value in the previous row it gets. ``index`` is
+        the zero-based position, ``size`` the number of rows. ``totals`` are min, max or sum of an
+        expression over the series. ``ahead`` sums a value over a row and its ``k - 1`` successors,
+        null if there are fewer. ``running`` sums up to and including the row.
+        """
+        series = W.partitionBy(*part).orderBy(*order)
+        everything = series.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+        so_far = series.rowsBetween(W.unboundedPreceding, 0)
+        added = {new: F.lag(source).over(series) for new, source in (lag or {}).items()}
+        if index:
+            added[index] = (F.row_number().over(series) - 1).cast("bigint")
+        if size:
+            added[size] = F.count(F.lit(1)).over(everything)
+        for name, (how, value) in (totals or {}).items():
+            added[name] = _AGGREGATES[how](value).over(everything)
+        if ahead:
+            value, sizes = ahead
+            for name, k in sizes.items():
+                frame = series.rowsBetween(0, k - 1)
+                added[name] = F.when(F.count(F.lit(1)).over(frame) == k, F.sum(value).over(frame))
+        for name, value in (running or {}).items():
+            added[name] = F.sum(value).over(so_far)
+        return df.withColumns(added)
 
 
 class Sliced(Layout):
@@ -90,94 +93,66 @@ class Sliced(Layout):
         df = df.withColumn(SLICE, F.floor(time_ms / F.lit(self.slice_ms)).cast("bigint"))
         return df.repartition(*keys, SLICE)
 
-    @staticmethod
-    def _carry(df: DataFrame, part, summary: Sequence[Column], carry: Mapping[str, Column]):
-        """Summarise the slices, combine the summaries of a series, join the result back."""
-        summaries = df.groupBy(*part, SLICE).agg(*summary)
-        carried = summaries.select(*part, SLICE, *[c.alias(n) for n, c in carry.items()])
-        return df.drop(*carry).join(carried, [*part, SLICE])
+    def scan(self, df, part, order, *, lag=None, index=None, size=None, totals=None, ahead=None,
+             running=None):
+        lag, totals, running = lag or {}, totals or {}, running or {}
+        value, sizes = ahead or (F.lit(None).cast("bigint"), {})
+        widest = max(sizes.values(), default=1)
 
-    def lag(self, df, part, order, columns):
-        df = stage(df)
-        inside = W.partitionBy(*part, SLICE).orderBy(*order)
-        across = W.partitionBy(*part).orderBy(SLICE)
-        last = F.max_by(F.struct(*sorted(set(columns.values()))), F.struct(*order))
-        df = df.withColumns({
-            "row_in_slice": F.row_number().over(inside),
-            **{new: F.lag(source).over(inside) for new, source in columns.items()},
-        })
-        df = self._carry(df, part, [last.alias("last")], {"before": F.lag("last").over(across)})
-        first = F.col("row_in_slice") == 1
-        return df.withColumns({
-            new: F.when(first, F.col("before").getField(source)).otherwise(F.col(new))
-            for new, source in columns.items()
-        }).drop("row_in_slice", "before")
-
-    def position(self, df, part, order, index, size):
-        df = stage(df)
         inside = W.partitionBy(*part, SLICE).orderBy(*order)
         series = W.partitionBy(*part)
-        earlier = series.orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
-        df = self._carry(
-            df, part, [F.count(F.lit(1)).alias("n")],
-            {"rows_before": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
-             size: F.sum("n").over(series)},
+        slices = series.orderBy(SLICE)
+        earlier = slices.rowsBetween(W.unboundedPreceding, -1)
+        # Every slice has a row, so the next ``widest - 1`` slices always suffice.
+        later = slices.rowsBetween(1, max(widest - 1, 1))
+
+        # The rows are read twice, by the summaries and by the join: cut the lineage first.
+        rows = stage(df.withColumns({"s_value": value, "s_row": F.row_number().over(inside)}))
+        head = F.collect_list(F.when(F.col("s_row") < widest, F.struct("s_row", "s_value")))
+        summaries = rows.groupBy(*part, SLICE).agg(
+            F.count(F.lit(1)).alias("s_rows"),
+            F.transform(F.sort_array(head), lambda r: r.s_value).alias("s_head"),
+            F.max_by(F.struct(F.lit(0), *sorted(set(lag.values()))),
+                     F.struct(*order)).alias("s_last"),
+            *[_AGGREGATES[how](v).alias(f"t_{name}") for name, (how, v) in totals.items()],
+            *[F.sum(v).alias(f"r_{name}") for name, v in running.items()],
         )
-        here = F.row_number().over(inside) - 1 + F.col("rows_before")
-        return df.withColumn(index, here.cast("bigint")).drop("rows_before")
-
-    def totals(self, df, part, aggregates):
-        df = stage(df)
-        series = W.partitionBy(*part)
-        return self._carry(
-            df, part,
-            [_AGGREGATES[how](value).alias(name) for name, (how, value) in aggregates.items()],
-            {name: _AGGREGATES[how](name).over(series) for name, (how, _) in aggregates.items()},
+        carried = summaries.select(
+            *part, SLICE,
+            F.coalesce(F.sum("s_rows").over(earlier), F.lit(0)).alias("s_before"),
+            F.sum("s_rows").over(series).alias("s_size"),
+            F.flatten(F.collect_list("s_head").over(later)).alias("s_ahead"),
+            F.lag("s_last").over(slices).alias("s_prev"),
+            *[_AGGREGATES[how](f"t_{name}").over(series).alias(f"t_{name}")
+              for name, (how, _) in totals.items()],
+            *[F.sum(f"r_{name}").over(earlier).alias(f"r_{name}") for name in running],
         )
-
-    def next_sums(self, df, part, order, value, sizes):
-        widest = max(sizes.values())
-        inside = W.partitionBy(*part, SLICE).orderBy(*order)
-        later = W.partitionBy(*part).orderBy(SLICE).rowsBetween(1, widest - 1)
-        df = stage(df.withColumn("ahead_value", value))
-        df = df.withColumn("row_in_slice", F.row_number().over(inside))
-        head = F.collect_list(
-            F.when(F.col("row_in_slice") < widest, F.struct("row_in_slice", "ahead_value"))
-        )
-        df = self._carry(
-            df, part,
-            [F.transform(F.sort_array(head), lambda r: r.ahead_value).alias("head")],
-            # Every slice has a row, so the next ``widest - 1`` slices always suffice.
-            {"ahead": F.flatten(F.collect_list("head").over(later))},
-        )
-        out = {}
+        added = {
+            new: F.when(F.col("s_row") == 1, F.col("s_prev").getField(source)).otherwise(
+                F.lag(source).over(inside))
+            for new, source in lag.items()
+        }
+        if index:
+            added[index] = (F.col("s_row") - 1 + F.col("s_before")).cast("bigint")
+        if size:
+            added[size] = F.col("s_size")
+        for name in totals:
+            added[name] = F.col(f"t_{name}")
         for name, k in sizes.items():
             frame = inside.rowsBetween(0, k - 1)
             missing = (F.lit(k) - F.count(F.lit(1)).over(frame)).cast("int")
             outside = F.aggregate(
-                F.slice("ahead", F.lit(1), missing), F.lit(0).cast("bigint"), lambda a, x: a + x
-            )
-            out[name] = F.when(
-                F.size("ahead") >= missing, F.sum("ahead_value").over(frame) + outside
-            )
-        return df.withColumns(out).drop("ahead", "ahead_value", "row_in_slice")
-
-    def running_sums(self, df, part, order, values):
-        df = stage(df)
-        inside = W.partitionBy(*part, SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        earlier = W.partitionBy(*part).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
-        df = self._carry(
-            df, part, [F.sum(value).alias(name) for name, value in values.items()],
-            {f"{name}_before": F.sum(name).over(earlier) for name in values},
-        )
-        added = {}
-        for name, value in values.items():
-            local, before = F.sum(value).over(inside), F.col(f"{name}_before")
+                F.slice("s_ahead", F.lit(1), missing), F.lit(0).cast("bigint"), lambda a, x: a + x)
+            added[name] = F.when(
+                F.size("s_ahead") >= missing, F.sum("s_value").over(frame) + outside)
+        for name, v in running.items():
+            local = F.sum(v).over(inside.rowsBetween(W.unboundedPreceding, 0))
+            before = F.col(f"r_{name}")
             added[name] = F.when(
                 local.isNotNull() | before.isNotNull(),
-                F.coalesce(local, F.lit(0)) + F.coalesce(before, F.lit(0)),
-            )
-        return df.withColumns(added).drop(*[f"{name}_before" for name in values])
+                F.coalesce(local, F.lit(0)) + F.coalesce(before, F.lit(0)))
+        joined = rows.join(carried, [*part, SLICE]).withColumns(added)
+        return joined.select(*[c for c in df.columns if c not in added], *added)
 
 
 WHOLE = Layout()

@@ -25,7 +25,7 @@ def split_phases(df: DataFrame, layout: Layout = WHOLE, keep_lost: bool = False)
 
     Also adds the distance from the first row. ``row_no`` must count from 0 without gaps.
     """
-    df = layout.totals(df, series_of(keep_lost, "flight"), {
+    df = layout.scan(df, series_of(keep_lost, "flight"), FLIGHT_ORDER, totals={
         "top": ("min", F.struct((-F.col("altitude_ft")).alias("depth"), "row_no")),
         "origin": ("min", F.struct("row_no", "latitude", "longitude")),
     })
@@ -59,31 +59,46 @@ def _for_phases(value):
     return F.when(F.col("phase_rows") >= FEWEST_ROWS, value)
 
 
+def _ends():
+    point = F.struct("phase_row", "packettime", "altitude_ft")
+    return {"begin": ("min", point), "finish": ("max", point)}
+
+
+_BEFORE = {"prev_fts": "velocity_z_fts", "prev_ms": "velocity_z_ms"}
+
+
 def phase_line(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
     """Seconds since the phase began and the distance to the line from its first to last row."""
-    df = df.withColumn("time_ms", epoch_millis(F.col("packettime")))
-    end = F.struct("phase_row", "time_ms", "altitude_ft")
-    df = layout.totals(df, PHASE, {"begin": ("min", end), "finish": ("max", end)})
-    start, seconds = F.col("begin.time_ms"), F.lit(1000.0)
-    span = (F.col("finish.time_ms") - start) / seconds
+    return _line(layout.scan(df, PHASE, FLIGHT_ORDER, totals=_ends()))
+
+
+def acceleration(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
+    """Change of vertical velocity against the row before in the phase, whichever beacon sent it,
+    over the time step of the row's own beacon."""
+    return _changes(layout.scan(df, PHASE, FLIGHT_ORDER, lag=_BEFORE))
+
+
+def phase_motion(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
+    """``phase_line`` and ``acceleration`` from one scan."""
+    return _changes(_line(layout.scan(df, PHASE, FLIGHT_ORDER, lag=_BEFORE, totals=_ends())))
+
+
+def _line(df: DataFrame) -> DataFrame:
+    start, seconds = epoch_millis(F.col("begin.packettime")), F.lit(1000.0)
+    span = (epoch_millis(F.col("finish.packettime")) - start) / seconds
     rise = F.col("finish.altitude_ft") - F.col("begin.altitude_ft")
     slope = F.when(F.abs(span) > numeric.NEAR_ZERO, rise / span).otherwise(F.lit(0.0))
-    elapsed = (F.col("time_ms") - start) / seconds
+    elapsed = (epoch_millis(F.col("packettime")) - start) / seconds
     distance = numeric.line_distance(
         elapsed, F.col("altitude_ft"), slope, F.col("begin.altitude_ft")
     )
     return df.withColumns({
         "elapsed_secs": _for_phases(elapsed),
         "distance_to_line": round_half_away(_for_phases(distance), 6),
-    }).drop("begin", "finish", "time_ms")
+    }).drop("begin", "finish")
 
 
-def acceleration(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
-    """Change of vertical velocity against the row before in the phase, whichever beacon sent it,
-    over the time step of the row's own beacon."""
-    df = layout.lag(df, PHASE, FLIGHT_ORDER,
-                    {"prev_fts": "velocity_z_fts", "prev_ms": "velocity_z_ms"})
-
+def _changes(df: DataFrame) -> DataFrame:
     def change(now: str, before: str):
         step = F.col("timedelta_s")
         timed = (step > 0) & (F.col("phase_rows") >= FEWEST_ROWS)
@@ -96,12 +111,13 @@ def acceleration(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
 
 
 def expanding_stats(df: DataFrame, layout: Layout, part, order,
-                    values: dict[str, tuple[str, str, str, int]], places: int = 6) -> DataFrame:
+                    values: dict[str, tuple[str, str, str, int]], places: int = 6,
+                    **also) -> DataFrame:
     """Mean, sample deviation and normalised value over all rows so far.
 
     ``values`` maps a column to the names of the three results and the number of decimals it
     carries. Rows without a value get none; the deviation needs two values, the normalised value a
-    deviation above 0 (both taken after rounding).
+    deviation above 0 (both taken after rounding). ``also`` adds further results of the same scan.
     """
     sums = {}
     for name, (*_, decimals) in values.items():
@@ -109,7 +125,7 @@ def expanding_stats(df: DataFrame, layout: Layout, part, order,
         sums[f"{name}__n"] = F.when(amount.isNotNull(), 1).otherwise(0).cast("bigint")
         sums[f"{name}__sum"] = wide(amount)
         sums[f"{name}__squares"] = wide(amount) * wide(amount)
-    df = layout.running_sums(df, part, order, sums)
+    df = layout.scan(df, part, order, running=sums, **also)
     stats, normed = {}, {}
     for name, (mean, deviation, norm, decimals) in values.items():
         n, total, squares = (F.col(f"{name}__{s}") for s in ("n", "sum", "squares"))
@@ -124,7 +140,7 @@ def expanding_stats(df: DataFrame, layout: Layout, part, order,
     return df.withColumns(stats).withColumns(normed).drop(*sums)
 
 
-def phase_expanding_stats(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
+def phase_expanding_stats(df: DataFrame, layout: Layout = WHOLE, **also) -> DataFrame:
     """Expanding statistics of vertical velocity and acceleration, in feet and metres."""
     added = {
         "velocity_z_fts": ("velocity_mean_fts", "velocity_std_fts", "velocity_norm_fts",
@@ -136,12 +152,7 @@ def phase_expanding_stats(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
         "acceleration_ms2": ("acceleration_mean_ms2", "acceleration_std_ms2",
                              "acceleration_norm_ms2", ACCELERATION_PLACES),
     }
-    df = expanding_stats(df, layout, PHASE, FLIGHT_ORDER, added)
+    df = expanding_stats(df, layout, PHASE, FLIGHT_ORDER, added, **also)
     results = [c for *names, _ in added.values() for c in names]
     return df.withColumns({c: _for_phases(F.col(c)) for c in results})
 
-
-def phase_stats(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
-    """All per-phase columns."""
-    # Acceleration first: its sort by time also serves the unordered windows that follow.
-    return phase_expanding_stats(phase_line(acceleration(df, layout), layout), layout)

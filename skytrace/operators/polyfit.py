@@ -124,9 +124,12 @@ def fits(df: DataFrame, layout: Layout = WHOLE, part=tuple(PHASE), pairs: Mappin
     )
     combine = {"x_min": "min", "x_max": "max"}
     names = [f"{n}_{s}" for n in pairs for s in (*_SUMS, "n")]
-    df = layout_totals(df, part, {
-        c: (next((h for s, h in combine.items() if c.endswith(s)), "sum"), F.col(c)) for c in names
-    }) if layout.sliced else df
+    if layout.sliced:
+        # Totals over the slice summaries of a phase: few rows, so a plain window.
+        df = WHOLE.scan(df, part, [SLICE], totals={
+            c: (next((h for s, h in combine.items() if c.endswith(s)), "sum"), F.col(c))
+            for c in names
+        })
     df = _spread(df, pairs, max_degree)
     out = []
     for name in pairs:
@@ -157,11 +160,6 @@ def fits(df: DataFrame, layout: Layout = WHOLE, part=tuple(PHASE), pairs: Mappin
     )
 
 
-def layout_totals(df: DataFrame, part, aggregates) -> DataFrame:
-    """Totals over the slice summaries of each series: few rows, so a plain window."""
-    return WHOLE.totals(df, part, aggregates)
-
-
 def unit_range(x: Column, middle: Column, half: Column) -> Column:
     """``x`` mapped to [-1, 1]; 0 where the range is a single point."""
     return F.when(half < FLAT, F.lit(0.0)).otherwise((x - middle) / half)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skytrace.operators.kinematics import FLIGHT_ORDER
 from skytrace.operators.layout import WHOLE, Layout
 from skytrace.operators.phases import ASCENDING, PHASE
 
@@ -14,28 +15,23 @@ CLEAR_DISTANCE = 30.0
 LOWEST_ALTITUDE = 10000.0
 
 
-def turning_points(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
-    """Add the ascent rows farthest below and above the straight climb, if clear of it.
-
-    ``max_row`` and ``min_row`` are phase row numbers, the first of equal distances.
-    """
+def extremes() -> dict[str, tuple[str, Column]]:
+    """Totals of a scan by phase: the ascent rows farthest below and above the straight climb, if
+    clear of it, the first of equal distances."""
     distance, row = F.col("distance_to_line"), F.col("phase_row")
     eligible = (F.col("flight_phase") == ASCENDING) & (F.col("altitude_ft") > LOWEST_ALTITUDE)
     below = F.struct((-distance).alias("size"), row.alias("row"))
     above = F.struct(distance.alias("size"), row.alias("row"))
-    df = layout.totals(df, PHASE, {
+    return {
         "max_point": ("min", F.when(eligible & (distance > CLEAR_DISTANCE), below)),
         "min_point": ("min", F.when(eligible & (distance < -CLEAR_DISTANCE), above)),
-    })
-    return df.withColumns({
-        "max_row": F.col("max_point.row"), "min_row": F.col("min_point.row"),
-    }).drop("max_point", "min_point")
+    }
 
 
 def _label(row: Column) -> Column:
     """Regime at a phase row: it changes at each turning point, and a lone or later maximum opens
     a high regime, a lone or later minimum a low one."""
-    hi, lo = F.col("max_row"), F.col("min_row")
+    hi, lo = F.col("max_point.row"), F.col("min_point.row")
     latest = F.greatest(F.when(row >= hi, hi), F.when(row >= lo, lo))
     return (
         F.when(hi.isNull() & lo.isNull(), F.lit(UNKNOWN))
@@ -50,7 +46,8 @@ def _word(label: Column) -> Column:
 
 
 def label_regimes(df: DataFrame) -> DataFrame:
-    """Add ``airflow`` and, on the first row of a new regime, ``reynolds_transition``.
+    """From the ``extremes`` of a scan add ``airflow`` and, on the first row of a new regime,
+    ``reynolds_transition``.
 
     The label of the row before follows from its row number, so no window is needed.
     """
@@ -62,12 +59,12 @@ def label_regimes(df: DataFrame) -> DataFrame:
         "reynolds_transition": F.when(
             up & changed, F.concat_ws("_to_", _word(before), _word(here))
         ).otherwise(F.lit("")),
-    })
+    }).drop("max_point", "min_point")
 
 
 def regimes(df: DataFrame, layout: Layout = WHOLE) -> DataFrame:
-    """Airflow labels and transitions."""
-    return label_regimes(turning_points(df, layout)).drop("max_row", "min_row")
+    """Airflow labels and transitions, for rows that have their distance to the straight climb."""
+    return label_regimes(layout.scan(df, PHASE, FLIGHT_ORDER, totals=extremes()))
 
 
 def transition_rows(df: DataFrame) -> DataFrame:

@@ -23,15 +23,15 @@ LONG_AVERAGE = 10
 
 def apex(df: DataFrame, layout: Layout = WHOLE, keep_lost: bool = False) -> DataFrame:
     """Add the row number, the first highest row of the flight and ``ascending`` up to it."""
-    flight = series_of(keep_lost, "flight")
-    df = layout.position(df, flight, FLIGHT_ORDER, "row_no", "flight_rows")
-    highest = F.struct((-F.col("altitude_ft")).alias("depth"), "row_no", "altitude_m")
-    df = layout.totals(df, flight, {"apex": ("min", highest)})
+    highest = F.struct((-F.col("altitude_ft")).alias("depth"), *FLIGHT_ORDER, "altitude_m")
+    df = layout.scan(df, series_of(keep_lost, "flight"), FLIGHT_ORDER, index="row_no",
+                     size="flight_rows", totals={"apex": ("min", highest)})
+    time, top = F.col("packettime"), F.col("apex.packettime")
     return df.withColumns({
         "apex_ft": -F.col("apex.depth"),
         "apex_m": F.col("apex.altitude_m"),
-        "apex_row": F.col("apex.row_no"),
-        "ascending": F.col("row_no") <= F.col("apex.row_no"),
+        "ascending": (time < top)
+        | ((time == top) & (F.col("callsign") <= F.col("apex.callsign"))),
     }).drop("apex")
 
 
@@ -45,8 +45,8 @@ def cut_stragglers(df: DataFrame, layout: Layout = WHOLE, keep_lost: bool = Fals
         & (F.col("altitude_ft") < LOW_ALTITUDE)
         & ~F.col("ascending")
     )
-    df = layout.totals(df, series_of(keep_lost, "flight"),
-                       {"last_row": ("min", F.when(late, F.col("row_no")))})
+    df = layout.scan(df, series_of(keep_lost, "flight"), FLIGHT_ORDER,
+                     totals={"last_row": ("min", F.when(late, F.col("row_no")))})
     df = lose(df, F.col("row_no") > F.col("last_row"), "straggler")
     return survivors(df, keep_lost).drop("last_row")
 
@@ -61,10 +61,14 @@ def eject_outliers(df: DataFrame, keep_lost: bool = False) -> DataFrame:
 
 
 def forward_averages(df: DataFrame, layout: Layout, part, order, value: str,
-                     sizes: dict[str, int], places: int = 2, value_places: int = 8) -> DataFrame:
-    """Means over a row and those after it; unknown values count as 0, short frames give null."""
+                     sizes: dict[str, int], places: int = 2, value_places: int = 8,
+                     **also) -> DataFrame:
+    """Means over a row and those after it; unknown values count as 0, short frames give null.
+
+    ``also`` adds further results of the same scan.
+    """
     amount = F.coalesce(ticks(F.col(value), value_places), F.lit(0).cast("bigint"))
-    df = layout.next_sums(df, part, order, amount, sizes)
+    df = layout.scan(df, part, order, ahead=(amount, sizes), **also)
     unit = float(10**value_places)
     return df.withColumns({
         name: round_half_away(F.col(name) / F.lit(k * unit), places) for name, k in sizes.items()
@@ -73,11 +77,10 @@ def forward_averages(df: DataFrame, layout: Layout, part, order, value: str,
 
 def flight_averages(df: DataFrame, layout: Layout = WHOLE, keep_lost: bool = False) -> DataFrame:
     """Renumber the rows left and add the short and long forward mean of vertical velocity."""
-    flight = series_of(keep_lost, "flight")
-    df = layout.position(df, flight, FLIGHT_ORDER, "row_no", "flight_rows")
     return forward_averages(
-        df, layout, flight, FLIGHT_ORDER, "velocity_z_fts",
+        df, layout, series_of(keep_lost, "flight"), FLIGHT_ORDER, "velocity_z_fts",
         {"forward_avg": SHORT_AVERAGE, "long_forward_avg": LONG_AVERAGE},
+        index="row_no", size="flight_rows",
     )
 
 
@@ -94,7 +97,7 @@ def launch_and_landing(df: DataFrame, layout: Layout = WHOLE,
     low, row = F.col("altitude_ft") < LOW_ALTITUDE, F.col("row_no")
     leaving = (speed > 0) & (short > CLIMBING) & (long > CLIMBING) & F.col("ascending") & low
     down = (speed > SETTLED) & (short > SETTLED) & (long > SETTLED) & ~F.col("ascending") & low
-    df = layout.totals(df, series_of(keep_lost, "flight"), {
+    df = layout.scan(df, series_of(keep_lost, "flight"), FLIGHT_ORDER, totals={
         "launch_row": ("min", F.when(leaving, row)),
         "landing_row": ("min", F.when(down & (row > 0), row)),
     })

@@ -25,7 +25,7 @@ def extract_packets(packets: DataFrame, flights: DataFrame) -> DataFrame:
 def trimmed_rows(extracted: DataFrame, layout: Layout = WHOLE,
                  keep_lost: bool = False) -> DataFrame:
     """Merged position packets with velocities, cut to the time between launch and landing."""
-    df = kinematics.placed_positions(extracted, layout)
+    df = kinematics.stow(kinematics.placed_positions(extracted, layout))
     df = kinematics.beacon_deltas(df, layout, keep_lost)
     df = trim.apex(df, layout, keep_lost)
     df = trim.cut_stragglers(df, layout, keep_lost)
@@ -47,8 +47,9 @@ def followed_rows(extracted: DataFrame, layout: Layout = WHOLE) -> DataFrame:
 
 def tracked_rows(extracted: DataFrame, layout: Layout = WHOLE) -> DataFrame:
     """All per-packet results but the fitted curves. One shuffle for flights of usual size."""
-    df = phases.phase_stats(phase_rows(extracted, layout), layout)
-    return kinematics.air_density(regimes.regimes(df, layout))
+    df = phases.phase_motion(phase_rows(extracted, layout), layout)
+    df = phases.phase_expanding_stats(df, layout, totals=regimes.extremes())
+    return kinematics.air_density(kinematics.unload(regimes.label_regimes(df)))
 
 
 def fitted(tracked: DataFrame, layout: Layout = WHOLE) -> DataFrame:

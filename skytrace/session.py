@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot never compiles methods above this size: wide projections run twice as fast when
+    # they leave whole-stage code instead of being interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

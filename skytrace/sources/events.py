@@ -46,7 +46,7 @@ def numbered_events(events: DataFrame, layout: Layout = WHOLE) -> DataFrame:
         events.select("user_id", "event_id", "event_type", "ts"), ["user_id"],
         epoch_millis(F.col("ts")),
     )
-    return layout.position(placed, ["user_id"], ["ts", "event_id"], "at", "n")
+    return layout.scan(placed, ["user_id"], ["ts", "event_id"], index="at", size="n")
 
 
 def _pick(user: Column, part: int) -> Column:
@@ -98,40 +98,38 @@ def packets(events: DataFrame, layout: Layout = WHOLE) -> DataFrame:
         (rn > up) & (u % 5 != 0),
         F.concat(F.lit(":>DETECTED BURST at "), F.col("top").cast("string"), F.lit("ft")),
     ).otherwise(F.concat(F.lit(":>STATUS OK "), e.cast("string")))
-    callsign = _beacon(u, e % 2)
-    body = F.when(F.col("status"), status_text).otherwise(position_text)
-    received = sent + e % 5
+    df = df.withColumns({
+        "callsign": _beacon(u, e % 2),
+        "body": F.when(F.col("status"), status_text).otherwise(position_text),
+        "received": sent + e % 5,
+    })
 
     def copy(delay: int, path: str = "", suffix: str = "") -> Column:
-        return F.struct(
-            (received + delay).alias("received"),
-            F.concat(callsign, F.lit(">APZ001" + path), body, F.lit(suffix)).alias("raw"),
-        )
+        return F.struct(F.lit(delay).alias("delay"), F.lit(path).alias("path"),
+                        F.lit(suffix).alias("suffix"))
 
-    copies = F.filter(
-        F.array(
-            copy(0),
-            F.when(e % 9 == 0, copy(3)),
-            F.when(e % 13 == 0, copy(4, suffix=" r")),
-            F.when(e % 37 == 0, copy(5, path="," + RELAY_EXCLUDED)),
-        ),
-        lambda c: c.isNotNull(),
-    )
+    copies = F.array_compact(F.array(
+        copy(0),
+        F.when(e % 9 == 0, copy(3)),
+        F.when(e % 13 == 0, copy(4, suffix=" r")),
+        F.when(e % 37 == 0, copy(5, path="," + RELAY_EXCLUDED)),
+    ))
 
     def unless_status(value: Column) -> Column:
         return F.when(~F.col("status"), value)
 
     return df.select(
-        callsign.alias("callsign"),
+        "callsign", "received", "body",
         (F.lit(20) + e % 40).alias("speed_mph"),
         (e % 360).alias("bearing"),
         unless_status(F.col("alt")).alias("altitude"),
         unless_status((F.lit(39600) + rn * 4) / F.lit(1000.0)).alias("latitude"),
         unless_status((F.lit(-104000) + rn * 9) / F.lit(1000.0)).alias("longitude"),
-        F.explode(copies).alias("copy"),
+        F.inline(copies),
     ).select(
-        F.timestamp_seconds("copy.received").alias("tm"), "callsign", "speed_mph", "bearing",
-        "altitude", "latitude", "longitude", "copy.raw",
+        F.timestamp_seconds(F.col("received") + F.col("delay")).alias("tm"),
+        "callsign", "speed_mph", "bearing", "altitude", "latitude", "longitude",
+        F.concat("callsign", F.lit(">APZ001"), "path", "body", "suffix").alias("raw"),
     )
 
 

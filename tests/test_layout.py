@@ -28,16 +28,15 @@ def test_primitives_agree(series, slice_ms):
     def run(layout):
         df = layout.place(series, ["k"], F.col("ms"))
         order = ["ms", "i"]
-        df = layout.lag(df, ["k"], order, {"prev_v": "v", "prev_i": "i"})
-        df = layout.position(df, ["k"], order, "at", "n")
-        df = layout.totals(df, ["k"], {
-            "low": ("min", F.struct("v", "i")), "high": ("max", F.col("v")),
-            "known": ("sum", F.when(F.col("v").isNotNull(), 1)),
-        })
         amount = (F.coalesce("v", F.lit(0.0)) * 4).cast("bigint")
-        df = layout.next_sums(df, ["k"], order, amount, {"next_3": 3, "next_10": 10})
-        df = layout.running_sums(df, ["k"], order, {"so_far": (F.col("v") * 4).cast("bigint")})
-        return df.drop("slice_no")
+        df = layout.scan(
+            df, ["k"], order, lag={"prev_v": "v", "prev_i": "i"}, index="at", size="n",
+            totals={"low": ("min", F.struct("v", "i")), "high": ("max", F.col("v")),
+                    "known": ("sum", F.when(F.col("v").isNotNull(), 1))},
+            ahead=(amount, {"next_3": 3, "next_10": 10}),
+            running={"so_far": (F.col("v") * 4).cast("bigint")})
+        # A scan may replace columns of an earlier one.
+        return layout.scan(df, ["k"], order, index="at", lag={"before": "at"}).drop("slice_no")
 
     assert rows(run(Sliced(slice_ms))) == rows(run(WHOLE))
 
