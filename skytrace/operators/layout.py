@@ -163,8 +163,8 @@ def oversized_keys(df: DataFrame, key: str, series_rows: int) -> DataFrame | Non
 
     There are at most (all rows / series_rows) of them, so the list may be broadcast.
     """
-    heavy = stage(df.groupBy(key).count().where(F.col("count") > series_rows).select(key))
-    return None if heavy.isEmpty() else heavy
+    heavy = df.groupBy(key).count().where(F.col("count") > series_rows).select(key)
+    return None if heavy.isEmpty() else stage(heavy)
 
 
 def spread(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skytrace.functions import units
@@ -14,7 +14,7 @@ from skytrace.functions.numeric import FEET_TO_METRES, round_half_away
 from skytrace.operators.extract import burst_altitudes
 from skytrace.operators.kinematics import ESSENTIAL, KEPT
 from skytrace.operators.phases import FEWEST_ROWS
-from skytrace.operators.regimes import transition_lists
+from skytrace.operators.regimes import transitions
 
 # Fixed order of the record.
 RECORD = [
@@ -25,8 +25,9 @@ RECORD = [
 ]
 
 
-def flight_summary(tracked: DataFrame) -> DataFrame:
-    """Per flight: highest altitude before trimming, first and last row, duration, range, rows.
+def flight_summary(tracked: DataFrame, *also: Column) -> DataFrame:
+    """Per flight: highest altitude before trimming, first and last row, duration, range, rows, and
+    the named aggregates in ``also``.
 
     One aggregate with map-side combining; no flight is gathered in one place.
     """
@@ -40,7 +41,9 @@ def flight_summary(tracked: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("numpoints"),
         F.min(end).alias("first"),
         F.max(end).alias("last"),
+        *also,
     )
+    known = ("flight", "maxaltitude_ft", "maxaltitude_m", "numpoints", "first", "last")
     seconds = (F.col("last.time_ms") - F.col("first.time_ms")) / F.lit(1000.0)
     return totals.select(
         "flight", "maxaltitude_ft", "maxaltitude_m", "numpoints",
@@ -51,6 +54,7 @@ def flight_summary(tracked: DataFrame) -> DataFrame:
         F.struct(*[F.col(f"first.{c}").alias(c) for c in where]).alias("launch_location"),
         F.struct(*[F.col(f"last.{c}").alias(c) for c in (*where, *away)]).alias(
             "landing_location"),
+        *[c for c in totals.columns if c not in known],
     )
 
 
@@ -77,8 +81,7 @@ def flight_metadata(flights: DataFrame, extracted: DataFrame, tracked: DataFrame
     bursts = burst_altitudes(extracted)
     return (
         converted_flights(flights)
-        .join(flight_summary(tracked), "flight")
-        .join(transition_lists(tracked), "flight")
+        .join(flight_summary(tracked, transitions().alias("reynolds_transitions")), "flight")
         .join(bursts, "flight", "left")
         .withColumn("detected_burst", detected_burst(F.col("burst_ft")))
         .select(*RECORD)

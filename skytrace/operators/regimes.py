@@ -72,17 +72,21 @@ def transition_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col("reynolds_transition") != "")
 
 
-def transition_lists(df: DataFrame) -> DataFrame:
-    """Transitions of each flight in time order; an empty array if there are none.
+def transitions() -> Column:
+    """Aggregate: the transitions of a flight in time order, an empty array if there are none.
 
     A flight has at most two, so the arrays stay short.
     """
     point = F.struct("row_no", F.col("reynolds_transition").alias("transition"),
                      "altitude_ft", "altitude_m")
     found = F.collect_list(F.when(F.col("reynolds_transition") != "", point))
-    bare = F.transform(
+    return F.transform(
         F.array_sort(found),
         lambda p: F.struct(p.altitude_ft.alias("altitude_ft"), p.altitude_m.alias("altitude_m"),
                            p.transition.alias("transition")),
     )
-    return df.groupBy("flight").agg(bare.alias("reynolds_transitions"))
+
+
+def transition_lists(df: DataFrame) -> DataFrame:
+    """The transitions of each flight."""
+    return df.groupBy("flight").agg(transitions().alias("reynolds_transitions"))

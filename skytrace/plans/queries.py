@@ -20,7 +20,7 @@ from skytrace.operators.layout import (
     DEFAULT_SERIES_ROWS, DEFAULT_SLICE_MS, Layout, balanced,
 )
 from skytrace.plans import flight as plan
-from skytrace.session import configure, scratch_path
+from skytrace.session import configure, scratch_path, written
 from skytrace.sources import events as source
 from skytrace.sources import readers, writers
 
@@ -219,8 +219,10 @@ def vmr_degree(events, layout):
 
 
 def polyfit_curve(events, layout):
-    rows = _phases(events, layout)
-    return polyfit.with_curves(rows, polyfit.fits(rows, layout)).select(
+    pairs = sorted({c for pair in polyfit.PAIRS.values() for c in pair})
+    # Fits and rows meet again, so the rows are written once rather than computed twice.
+    rows = written(_phases(events, layout).select(*ROW, "flight_phase", *pairs), "phases")
+    return polyfit.with_curves(rows, plan.fitted(rows, layout)).select(
         *ROW, "flight_phase", "velocity_curvefit_fts", "velocity_curvefit_ms")
 
 

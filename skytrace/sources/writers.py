@@ -20,7 +20,7 @@ JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 JSON_OPTIONS = {"ignoreNullFields": "false", "timestampNTZFormat": JSON_TIME}
 
 # Most packets in one JSON document; a longer flight continues in further documents.
-PART_PACKETS = 100_000
+PART_PACKETS = 50_000
 
 
 def _per_flight(df: DataFrame, *order: str) -> DataFrame:
