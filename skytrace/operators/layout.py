@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from skytrace.session import stage
 
 SLICE = "slice_no"
-DEFAULT_SERIES_ROWS = 2_000_000
+DEFAULT_SERIES_ROWS = 500_000
 DEFAULT_SLICE_MS = 60_000
 
 _AGGREGATES = {"min": F.min, "max": F.max, "sum": F.sum}

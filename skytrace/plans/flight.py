@@ -75,20 +75,23 @@ def process(packets: DataFrame, flights: DataFrame, series_rows: int = DEFAULT_S
             slice_ms: int = DEFAULT_SLICE_MS) -> Results:
     """Process all flights in one job.
 
-    The extracted and the tracked packets are written to the shared folder once, because several
-    results and every sink read them: a lost executor costs the current stage only.
+    The extracted and the tracked packets, the fits and the flight records are written to the
+    shared folder once, because several results and every sink read them: a lost executor costs the
+    current stage only.
     """
     configure(packets.sparkSession)
     extracted = written(extract_packets(packets, flights), "extracted")
 
     heavy = oversized_keys(extracted, "flight", series_rows)
     rows = written(spread(extracted, "flight", heavy, tracked_rows, slice_ms), "tracked")
-    tracked = polyfit.with_curves(rows, spread(rows, "flight", heavy, fitted, slice_ms))
+    fits = written(spread(rows, "flight", heavy, fitted, slice_ms), "fits")
+    tracked = polyfit.with_curves(rows, fits)
+    records = written(metadata.flight_metadata(flights, extracted, rows), "metadata")
     followed = spread(extracted, "flight", heavy, followed_rows, slice_ms)
     return Results(
         extracted=extracted,
         tracked=tracked,
         packets=published(tracked),
-        metadata=metadata.flight_metadata(flights, extracted, rows),
+        metadata=records,
         status=metadata.flight_status(flights, extracted, followed),
     )

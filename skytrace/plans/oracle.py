@@ -584,7 +584,7 @@ FINAL = {
                strftime(packettime, '%H:%M:%S') AS time, {COLOUR} FROM nearest""",
     "flight_paths": "SELECT * FROM vertices",
     "path_texts": f"""
-        SELECT flight, flight_phase, 0 AS part, upper(flight) || CASE
+        SELECT flight, flight_phase, CAST(0 AS BIGINT) AS part, upper(flight) || CASE
                    WHEN flight_phase = 'ascending' THEN ' Ascent' ELSE ' Descent' END AS name,
                {COLOUR}, CAST(count(*) AS INTEGER) AS vertices,
                string_agg({NUMBER.format('longitude')} || ',' || {NUMBER.format('latitude')} || ','

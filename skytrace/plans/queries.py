@@ -100,12 +100,12 @@ def telemetry_extract(events, layout):
 
 
 def beacon_window_join(events, layout):
-    return _matched(events, layout)
+    return _matched(events, layout).withColumn("tm", F.col("tm").cast("timestamp_ntz"))
 
 
 def distinct_on_earliest(events, layout):
     return extract.earliest_payloads(_matched(events, layout)).select(
-        "flight", "info", "tm", "callsign", "raw")
+        "flight", "info", F.col("tm").cast("timestamp_ntz").alias("tm"), "callsign", "raw")
 
 
 def position_filter(events, layout):

@@ -23,6 +23,12 @@ JSON_OPTIONS = {"ignoreNullFields": "false", "timestampNTZFormat": JSON_TIME}
 PART_PACKETS = 50_000
 
 
+def _per_day(packets: DataFrame, *order: str) -> DataFrame:
+    """Packets with the day they were sent."""
+    return packets.withColumn("day", F.to_date("packettime")).sortWithinPartitions(
+        "day", "flight", *order)
+
+
 def _per_flight(df: DataFrame, *order: str) -> DataFrame:
     """Lower-case flight names as folder names, rows of a file in order."""
     return df.withColumn("flight", F.lower("flight")).sortWithinPartitions("flight", *order)
@@ -35,9 +41,11 @@ def write_packets_csv(packets: DataFrame, path: str) -> None:
         "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSS").csv(path)
 
 
-def write_packets_parquet(packets: DataFrame, path: str) -> None:
-    """Packets of each flight in its own folder."""
-    _per_flight(packets, *FLIGHT_ORDER).write.mode("overwrite").partitionBy("flight").parquet(path)
+def write_packets_parquet(packets: DataFrame, path: str, by: str = "flight") -> None:
+    """Packets of each flight in its own folder, or of each day with ``by="day"``, which keeps the
+    number of folders small when there are very many flights."""
+    split = {"flight": _per_flight, "day": _per_day}[by]
+    split(packets, *FLIGHT_ORDER).write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def write_metadata_csv(metadata: DataFrame, path: str, per_flight: bool = False) -> None:

@@ -29,6 +29,12 @@ def test_all_outputs(spark, results):
     assert {r.flight for r in stored.select("flight").distinct().collect()} == {
         r.flight.lower() for r in packets}
 
+    writers.write_packets_parquet(results.packets, f"{path}/days", by="day")
+    days = spark.read.parquet(f"{path}/days")
+    assert days.count() == len(packets)
+    assert {str(r.day) for r in days.select("day").distinct().collect()} == {
+        str(r.packettime.date()) for r in packets}
+
     csv = spark.read.schema(columns.published(results.tracked).drop("flight").schema).option(
         "header", True).option("escape", '"').csv(f"{path}/csv/packets")
     same = csv.orderBy("flightid", "packettime", "callsign").select("raw", "velocity_z_fts", "info")
