@@ -30,18 +30,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or the checkpoint folder the
+    application has set.
 
-    Only a local master without that setting falls back to a folder on this machine.
+    Only a local master without either falls back to a folder on this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="skytrace-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="skytrace-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -52,8 +53,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably and cut its lineage (survives the loss of executors)."""
     spark = df.sparkSession
+    folder = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
 
 
