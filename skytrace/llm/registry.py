@@ -5,23 +5,86 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skytrace.llm import simhash
+from skytrace.llm import chat, decontaminate, langid, packing, simhash, syncmers, tokencount
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.counts(_table(spark, sf_dir, "documents"))
+
+
+#: A conversation whose texts are full of control strings.
+HOSTILE = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = "conv_id bigint, turn bigint, role string, text string"
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame(HOSTILE, fields)).select(
+        "conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts"))
+    return chat.digests(chat.format_turns(turns))
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.evaluated(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score", "margin", "accepted")
+
+
+def op8_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compared(_table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"),
+                               _table(spark, sf_dir, "benchmark"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(_table(spark, sf_dir, "documents"))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_packing": op3_packing,
+        "op5_token_counts": op5_token_counts,
+        "op6_chat": op6_chat,
+        "op7_langid": op7_langid,
+        "op8_syncmers": op8_syncmers,
+        "op9_decontamination": op9_decontamination,
         "op10_simhash": op10_simhash,
     }
 
 
+#: Length of a formatted turn: control strings, and one sign more for each that is escaped.
+_ESCAPED = r"length({0}) + length(regexp_replace({0}, '[^\\<\[]', '', 'g'))"
+
+OP6_SQL = rf"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations
+    union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'),
+                     (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text))
+        as turns_sha256,
+    sum(if(role = 'assistant', length(text), 0))::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text)
+        filter (role = 'assistant'), '')) as loss_sha256,
+    sum(length('<s>[INST][/INST]</s>') + 1 + {_ESCAPED.format('role')}
+        + {_ESCAPED.format('text')})::bigint as formatted_chars
+from turns group by conv_id
+"""
+
+
 def statements() -> dict[str, str]:
-    return {}
+    return {"op6_chat": OP6_SQL}

@@ -290,9 +290,9 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """
     found = groups(docs, **options)
     chosen = written(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                     .groupBy(F.col("doc_id").alias("kept_id"))
+                     .groupBy(F.col("doc_id").alias("__kept"))
                      .agg(F.count(F.lit(1)).alias("rows")), "kept")
-    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
     if chosen.where(F.col("rows") > 1).isEmpty():
         return kept
     return kept.dropDuplicates(["doc_id"])

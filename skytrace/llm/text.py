@@ -100,27 +100,32 @@ class Powers:
 _POWERS = Powers()
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every lower-cased word, and each text's first word (one offset more).
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span; spans are in order and do not overlap.
 
-    Equal words have equal hashes everywhere. Works in chunks of about a megabyte.
+    Equal bytes have equal hashes everywhere. Works in chunks of about a megabyte.
     """
-    starts, ends, firsts = spans(data, offsets)
     out = np.empty(len(starts), np.uint64)
-    word = 0
-    while word < len(starts):
-        base = starts[word]
-        last = max(word + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right")))
+    span = 0
+    while span < len(starts):
+        base = starts[span]
+        last = max(span + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right")))
         stop = ends[last - 1]
         up, down = _POWERS.upto(int(stop - base))
         sums = np.zeros(stop - base + 1, np.uint64)
-        np.cumsum((_LOWER[data[base:stop]].astype(np.uint64) + np.uint64(1)) * up[:stop - base],
+        np.cumsum((data[base:stop].astype(np.uint64) + np.uint64(1)) * up[:stop - base],
                   out=sums[1:])
-        begin = starts[word:last] - base
-        out[word:last] = mixed((sums[ends[word:last] - base] - sums[begin]) * down[begin]
-                               + (ends[word:last] - starts[word:last]).astype(np.uint64))
-        word = last
-    return out, firsts
+        begin = starts[span:last] - base
+        out[span:last] = mixed((sums[ends[span:last] - base] - sums[begin]) * down[begin]
+                               + (ends[span:last] - starts[span:last]).astype(np.uint64))
+        span = last
+    return out
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every lower-cased word, and each text's first word (one offset more)."""
+    starts, ends, firsts = spans(data, offsets)
+    return span_hashes(_LOWER[data], starts, ends), firsts
 
 
 def word_chunks(text: bytes, size: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
