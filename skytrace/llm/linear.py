@@ -9,11 +9,6 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
-def logit(p: np.ndarray) -> np.ndarray:
-    p = np.clip(p, 1e-9, 1 - 1e-9)
-    return np.log(p) - np.log1p(-p)
-
-
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 12) -> np.ndarray:
     """Weights, the last one the intercept (which is not shrunk), by Newton's method."""
     x = np.hstack((x, np.ones((len(x), 1))))

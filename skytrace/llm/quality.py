@@ -5,7 +5,7 @@ metadata view has source, language, declared length and the layout of the page:
 capitals, digits, signs and other bytes. Both are logistic models. In every round each model labels
 the pool documents it is surest of, in the proportion of the classes, and hands them to the other
 model's training set. At the end each view's log odds are calibrated on labelled documents that
-neither has trained on, and the two are combined as independent evidence.
+neither has trained on, and a last logistic model weighs the two against each other.
 
 Models are fitted on bounded samples, the documents with the smallest hashes: ``LABELLED`` labelled
 ones and a pool of ``POOL`` others. Every document is scored, on its whole text.
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skytrace.llm import text as T
-from skytrace.llm.linear import apply_logistic, fit_logistic, logit, sigmoid
+from skytrace.llm.linear import apply_logistic, fit_logistic, sigmoid
 
 LABELLED = 4000
 POOL = 4000
@@ -37,7 +37,7 @@ ROUNDS = 4
 TAUGHT = 0.05
 #: Share of the labelled sample that is only used to calibrate.
 CALIBRATION = 0.3
-MIN_SCORE = 0.5
+MIN_SCORE = 0.3
 SEQUENCES = 512
 SOURCES, LANGUAGES = 32, 16
 BLOCK_BYTES = 1 << 20
@@ -106,10 +106,11 @@ def page_view(batch: pa.RecordBatch) -> np.ndarray:
 
 
 class Model:
-    """Two calibrated views."""
+    """Two calibrated views and the weight of each in their combination."""
 
-    def __init__(self, text: np.ndarray | None, page: np.ndarray | None, prior: float):
-        self.text, self.page, self.prior = text, page, prior
+    def __init__(self, prior: float, text: np.ndarray | None = None,
+                 page: np.ndarray | None = None, joint: np.ndarray | None = None):
+        self.prior, self.text, self.page, self.joint = prior, text, page, joint
 
     def score(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probability of a good document by text, by page and by both."""
@@ -118,8 +119,8 @@ class Model:
             return constant, constant, constant
         by_text = apply_logistic(text_view(T.column(batch, "text")), self.text)
         by_page = apply_logistic(page_view(batch), self.page)
-        return (sigmoid(by_text), sigmoid(by_page),
-                sigmoid(by_text + by_page - logit(np.array(self.prior))))
+        both = np.column_stack((by_text, by_page))
+        return sigmoid(by_text), sigmoid(by_page), sigmoid(apply_logistic(both, self.joint))
 
 
 def _calibrated(weights: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -130,6 +131,18 @@ def _calibrated(weights: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray
     return out
 
 
+def combined(views: list[np.ndarray], weights: list[np.ndarray], y: np.ndarray) -> Model:
+    """Calibrate each view on labels not trained on, then weigh the two against each other."""
+    own = [_calibrated(w, x, y) for w, x in zip(weights, views)]
+    odds = np.column_stack([apply_logistic(x, w) for w, x in zip(own, views)])
+    joint = fit_logistic(odds, y, ridge=0.1)
+    if joint[:2].min() < 0:  # a view that only misleads beside the other one is left out
+        used = joint[:2] >= 0
+        joint = np.zeros(3)
+        joint[np.append(used, True)] = fit_logistic(odds[:, used], y, ridge=0.1)
+    return Model(float(y.mean()), *own, joint)
+
+
 def co_train(views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray],
              rounds: int = ROUNDS, taught: float = TAUGHT) -> list[np.ndarray]:
     """Weights of both views after exchanging confident labels of the pool."""
@@ -192,15 +205,14 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     known = np.array([v is not None for v in label], bool)
     y = np.array([v for v in label if v is not None], float)
     if not len(y) or y.min() == y.max():
-        return Model(None, None, float(y.mean()) if len(y) else 1.0)
+        return Model(float(y.mean()) if len(y) else 1.0)
     # Rows are in order of a hash: a stride is a random part of them.
     held = np.arange(len(y)) % 10 < 10 * CALIBRATION
     if len({*y[held]}) < 2 or len({*y[~held]}) < 2:
         held = np.zeros(len(y), bool)
     trained = co_train([v[known][~held] for v in views], y[~held], [v[~known] for v in views])
     judged = held if held.any() else ~held
-    text, page = (_calibrated(w, v[known][judged], y[judged]) for w, v in zip(trained, views))
-    return Model(text, page, float(y.mean()))
+    return combined([v[known][judged] for v in views], trained, y[judged])
 
 
 def _scored(batches: Iterable[pa.RecordBatch], model: Model,

@@ -7,17 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytrace.llm import chat, decontaminate, langid, packing, simhash, syncmers, tokencount
+from skytrace.llm import (
+    chat, decontaminate, langid, lm, packing, quality, simhash, syncmers, tokencount, toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.evaluated(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted", "toxic_tokens", "spans")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.counts(_table(spark, sf_dir, "documents"))
 
@@ -54,7 +72,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
+        "op2_toxicity": op2_toxicity,
         "op3_packing": op3_packing,
+        "op4_lm": op4_lm,
         "op5_token_counts": op5_token_counts,
         "op6_chat": op6_chat,
         "op7_langid": op7_langid,

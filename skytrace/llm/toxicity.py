@@ -6,9 +6,8 @@ learned transition. Forward-backward gives every token's marginal probability of
 document's score is a logistic function of its highest marginal and of how many toxic tokens are
 expected, and runs of tokens above one half are its offending spans, in code points.
 
-Labels are per document, so training tokens are labelled first: words are taken one by one that
-explain most toxic documents not explained yet, are as good as absent from clean ones, and mark
-their occurrences in toxic documents.
+Labels are per document, so training tokens are labelled first: words that stand in toxic documents
+in many surroundings, and hardly in clean ones, mark their occurrences in toxic documents.
 
 Fitted on a bounded sample, the documents with the smallest hashes: ``TOXIC`` toxic and ``CLEAN``
 clean ones, ``SAMPLE_TOKENS`` neighbouring tokens of each. Every document is scored on all its
@@ -40,6 +39,8 @@ SAMPLE_TOKENS = 1024
 FEATURES = 1 << 18
 BEGINNING, ENDING = 5, 4
 WINDOW = 24
+#: When a word counts as toxic: surroundings, share of its documents, log likelihood ratio.
+LEAST, PURITY, EVIDENCE = 5, 0.7, 24.0
 PREDICTED = 0.3
 COLUMNS = 1024
 BLOCK_BYTES = 2 << 20
@@ -150,34 +151,31 @@ def document_features(p: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np
 # Training
 
 
-def toxic_words(words: np.ndarray, doc: np.ndarray, label: np.ndarray, least: int = 5,
-                purity: float = 0.9) -> np.ndarray:
-    """Words that explain toxic documents, by greedy cover.
+def toxic_words(words: np.ndarray, contexts: np.ndarray, doc: np.ndarray, label: np.ndarray,
+                least: int = LEAST, purity: float = PURITY,
+                evidence: float = EVIDENCE) -> np.ndarray:
+    """Words that stand in toxic documents far more often than chance has it.
 
-    ``words`` and ``doc`` are distinct pairs. A word must stand in ``least`` toxic documents that
-    no earlier word explains, and its rate among toxic documents must be ``purity`` of both rates.
+    One entry per token: its word, the words beside it, its document. A word is chosen when at
+    least ``least`` different surroundings in toxic documents have it (copies of one document are
+    no evidence), ``purity`` of its documents are toxic, and its log likelihood ratio against the
+    share of toxic documents is at least ``evidence``.
     """
-    sizes = [max(int((label == k).sum()), 1) for k in (0, 1)]
     ids, at = np.unique(words, return_inverse=True)
-    clean = np.bincount(at[label[doc] == 0], minlength=len(ids)) / sizes[0]
-    toxic = np.bincount(at[label[doc] == 1], minlength=len(ids)) / sizes[1]
-    good = toxic >= purity * (toxic + clean + 1e-12)
-    keep = good[at] & (label[doc] == 1)
-    at, doc = at[keep], doc[keep]
-    chosen = []
-    while len(at):
-        counts = np.bincount(at, minlength=len(ids))
-        best = int(counts.argmax())
-        if counts[best] < least:
-            break
-        chosen.append(ids[best])
-        keep = ~np.isin(doc, doc[at == best])
-        at, doc = at[keep], doc[keep]
-    # Words as frequent in toxic documents as the chosen ones belong to them too.
-    if chosen:
-        floor = 0.5 * toxic[np.searchsorted(ids, chosen[0])]
-        chosen = np.union1d(chosen, ids[good & (toxic >= floor)])
-    return np.array(chosen, np.int64)
+    n = len(label) + 1
+    pairs = np.unique(at * n + doc)
+    toxic = np.bincount((pairs // n)[label[pairs % n] == 1], minlength=len(ids)).astype(float)
+    clean = np.bincount((pairs // n)[label[pairs % n] == 0], minlength=len(ids)).astype(float)
+    own = label[doc] == 1
+    _, first = np.unique(T.mixed(contexts[own]) + at[own].astype(np.uint64), return_index=True)
+    surroundings = np.bincount(at[own][first], minlength=len(ids))
+    share = label.mean()
+    total = toxic + clean
+    rate = toxic / total
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = 2 * (np.where(toxic > 0, toxic * np.log(rate / share), 0)
+                     + np.where(clean > 0, clean * np.log((1 - rate) / (1 - share)), 0))
+    return ids[(surroundings >= least) & (rate >= purity) & (ratio >= evidence)]
 
 
 def train(field: Field, features: np.ndarray, firsts: np.ndarray, label: np.ndarray,
@@ -248,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLE
     """A field trained on samples of the documents that have a label."""
     truth = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(
         F.col("doc_id").cast("bigint").alias("doc_id")).agg(
-        F.max("toxic").cast("int").alias("label"))
+        (F.max("toxic") > 0).cast("int").alias("label"))
     ids = docs.select(F.col("doc_id").cast("bigint")).distinct()
     marked = ids.join(truth, "doc_id").withColumn("key", F.xxhash64("doc_id"))
     chosen = [marked.where(F.col("label") == k).orderBy("key").limit(size)
@@ -259,11 +257,15 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLE
         _sampled, "key bigint, label int, features array<int>").toArrow().sort_by("key")
     label = np.array(table.column("label").to_pylist(), np.int64)
     parts = [np.array(f, np.int64).reshape(3, -1) for f in table.column("features").to_pylist()]
-    return learn(parts, label)
+    totals = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
+    return learn(parts, label, (totals.get(0, 0), totals.get(1, 0)))
 
 
-def learn(parts: list[np.ndarray], label: np.ndarray) -> Field:
-    """A field from the features of each document's tokens and the documents' labels."""
+def learn(parts: list[np.ndarray], label: np.ndarray, totals: tuple[int, int] = (0, 0)) -> Field:
+    """A field from the features of each document's tokens and the documents' labels.
+
+    ``totals`` are all clean and toxic documents of which these are samples.
+    """
     field = Field()
     rate = float(label.mean()) if len(label) else 0.0
     field.bias = -5.0
@@ -281,8 +283,8 @@ def learn(parts: list[np.ndarray], label: np.ndarray) -> Field:
     lengths = np.array([p.shape[1] for p in parts])
     features = np.concatenate(parts, axis=1)
     doc = np.repeat(np.arange(len(parts)), lengths)
-    pairs = np.unique(doc * FEATURES + features[0])
-    words = toxic_words(pairs % FEATURES, pairs // FEATURES, label)
+    sides = np.stack((np.roll(features[0], 1), np.roll(features[0], -1))).astype(np.uint64)
+    words = toxic_words(features[0], sides[0] * np.uint64(FEATURES) + sides[1], doc, label)
     marked = np.isin(features[0], words) & (label[doc] == 1)
     # Train on the surroundings of toxic tokens and on a window of every document.
     near = np.zeros(len(marked), bool)
@@ -300,6 +302,9 @@ def learn(parts: list[np.ndarray], label: np.ndarray) -> Field:
     begins[firsts[:-1][lengths > 0]] = True
     p = marginals(field.emissions(features), begins, field.moves)
     field.document = fit_logistic(document_features(p, firsts)[0], label, ridge=0.1)
+    if min(totals):
+        field.document[-1] += np.log(totals[1] / totals[0]) - np.log(label.mean() / (
+            1 - label.mean()))
     return field
 
 
