@@ -3,8 +3,8 @@
 For every language a raw-content zstandard dictionary is made of passages of labelled documents.
 A text is reduced to lower-case letters and single spaces, cut into blocks that are short beside
 the dictionaries, and every block is compressed with each dictionary. The language whose
-dictionary gives the fewest bytes over the whole text wins. A text is rejected when the runner-up
-needs hardly more bytes, in proportion to the length of the text.
+dictionary gives the fewest bytes over the whole text wins. A text is rejected when the winner saves
+hardly any of the bytes that the runner-up needs.
 
 The dictionaries are fitted on a bounded sample: ``per_language`` documents of each language, the
 ones with the smallest hash in each of as many slots, ``passage`` characters of each from a place
@@ -29,14 +29,12 @@ from pyspark.sql import functions as F
 
 from skytrace.llm import text as T
 
-PER_LANGUAGE = 96
-PASSAGE = 1200
-MAX_LANGUAGES = 512
+PER_LANGUAGE = 512
+PASSAGE = 1500
+MAX_LANGUAGES = 128
 LEVEL = 3
-FINE_LEVEL = 19
-FINE_BYTES = 512
-CHUNK = 2048
-MIN_MARGIN = 0.01
+CHUNK = 4096
+MIN_MARGIN = 0.005
 #: Bits of a compressed size overstate the evidence, as blocks share words.
 TEMPERATURE = 0.05
 UNDETERMINED = "und"
@@ -61,7 +59,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE,
     totals = slots.groupBy("lang").agg(F.sum("rows").alias("rows")).limit(MAX_LANGUAGES + 1)
     totals = {r.lang: r.rows for r in totals.collect()}
     if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: pass max_languages of real ones")
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not totals:
         return []
     plain = letters(F.col("text"))
@@ -80,35 +78,35 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE,
     return [(name, " ".join(t for _, t in sorted(passages[name])).encode()) for name in ranked]
 
 
-@lru_cache(maxsize=4)
-def _compressors(model: tuple[tuple[str, bytes], ...], level: int) -> list:
+@lru_cache(maxsize=2)
+def _compressors(model: tuple[tuple[str, bytes], ...]) -> list:
+    """One compressor for each language, kept for all tasks of a worker."""
     made = []
     for _, content in model:
         held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        held.precompute_compress(level=level)
+        held.precompute_compress(level=LEVEL)
         made.append(zstandard.ZstdCompressor(
-            level=level, dict_data=held, write_content_size=False, write_checksum=False,
+            level=LEVEL, dict_data=held, write_content_size=False, write_checksum=False,
             write_dict_id=False))
     return made
 
 
 def sizes(text: bytes, model: tuple[tuple[str, bytes], ...]) -> np.ndarray:
     """Compressed bytes of the whole text with each language's dictionary."""
-    level = FINE_LEVEL if len(text) <= FINE_BYTES else LEVEL
     chunks = [text[i:i + CHUNK] for i in range(0, len(text), CHUNK)]
     return np.array([sum(len(c.compress(chunk)) for chunk in chunks)
-                     for c in _compressors(model, level)], np.int64)
+                     for c in _compressors(model)], np.int64)
 
 
 def decide(text: bytes, model: tuple[tuple[str, bytes], ...],
            min_margin: float) -> tuple[str, float, float, bool]:
-    """Language, score, margin per byte of text and whether that is enough."""
+    """Language, score, share of bytes saved against the runner-up, whether that is enough."""
     if not text or not model:
         return UNDETERMINED, 0.0, 0.0, False
     found = sizes(text, model)
     best = int(found.argmin())
     rest = np.delete(found, best)
-    margin = float(rest.min() - found[best]) / len(text) if len(rest) else 1.0
+    margin = 1.0 - float(found[best]) / float(rest.min()) if len(rest) else 1.0
     weights = np.exp2(-8 * TEMPERATURE * (found - found[best]).astype(float))
     return model[best][0], float(1 / weights.sum()), margin, margin >= min_margin
 

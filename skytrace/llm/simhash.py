@@ -285,14 +285,13 @@ def groups(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED,
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """One row of each group of near duplicates: its smallest ``doc_id``.
 
-    Of several equal rows with that id one is kept. Rows without an id are kept only if their
-    whole group has none.
+    Of several rows with that id one is kept. Rows without an id stay, as nothing names them.
     """
     found = groups(docs, **options)
-    chosen = written(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = written(found.where(F.col("doc_id") == F.col("component_id"))
                      .groupBy(F.col("doc_id").alias("__kept"))
                      .agg(F.count(F.lit(1)).alias("rows")), "kept")
-    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    if chosen.where(F.col("rows") > 1).isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id"])
+    kept = docs.join(chosen, F.col("doc_id") == F.col("__kept"), "left_semi")
+    if not chosen.where(F.col("rows") > 1).isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
