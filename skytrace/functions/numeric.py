@@ -20,27 +20,47 @@ ALMOST_HALF = 0.49999999999999994
 
 
 def round_half_away(value: Column, places: int) -> Column:
-    """Round the scaled binary value, ties away from zero; for results below 9.2e18 units.
+    """Round the scaled binary value, ties away from zero. Values of 2**52 units and more, which have
+    no such decimals, infinities and NaN stay as they are.
 
     ``F.round`` works on the shortest decimal text of the double, which differs on ties and
     allocates a BigDecimal per value.
     """
     factor = F.lit(float(10**places))
-    units = F.floor(F.abs(value) * factor + F.lit(ALMOST_HALF))
-    return F.signum(value) * units / factor + F.lit(0.0)
+    size = F.abs(value) * factor
+    units = F.floor(size + F.lit(ALMOST_HALF))
+    return F.when(size < F.lit(2.0**52), F.signum(value) * units / factor + F.lit(0.0)).otherwise(
+        value)
 
 
-def ticks(value: Column, places: int) -> Column:
-    """``value`` as a whole number of ``10**-places`` units, for sums that are exact.
+def scaled(value: Column, places: int) -> Column:
+    """``value`` in units of ``10**-places``, without the noise of its binary form.
 
-    Integer sums do not depend on row order, partitioning or retries.
+    A value with no more than ``places`` decimals gives a whole number; others keep their fraction.
     """
-    return F.rint(value * F.lit(float(10**places))).cast("bigint")
+    units = value * F.lit(float(10**places))
+    whole = F.rint(units)
+    return F.when(F.abs(units - whole) <= F.abs(units) * F.lit(4e-16), whole).otherwise(units)
+
+
+def has_places(value: Column, places: int) -> Column:
+    """Whether a value is a whole number of units that a double holds exactly."""
+    units = scaled(value, places)
+    return (F.abs(units) < F.lit(2.0**53)) & (units == F.rint(units))
+
+
+def ticks(value: Column, places: int) -> Column:
+    """``value`` as a 38-digit whole number of units; null where it is none."""
+    return F.when(has_places(value, places),
+                  scaled(value, places).cast("bigint")).cast("decimal(38,0)")
 
 
-def wide(value: Column) -> Column:
-    """A 38-digit integer, so long sums and sums of squares cannot overflow silently."""
-    return value.cast("decimal(38,0)")
+def exactly_summed(n: Column, all_whole: Column, largest: Column) -> Column:
+    """Whether the sums of a whole series, and of its squares, fit exact arithmetic.
+
+    Decided for a series, never for a row, so one series has one formula.
+    """
+    return F.coalesce(all_whole & (largest * n.cast("double") < F.lit(3e18)), F.lit(False))
 
 
 def mean_from_sums(n: Column, total: Column, places: int) -> Column:
@@ -51,16 +71,12 @@ def mean_from_sums(n: Column, total: Column, places: int) -> Column:
 def variance_from_sums(n: Column, total: Column, squares: Column, places: int) -> Column:
     """Sample variance of values counted in ticks; null below two values.
 
-    The numerator is formed exactly, so nothing cancels. Should it exceed 38 digits the same
-    formula is used in doubles.
+    The numerator is formed exactly, so nothing cancels.
     """
-    count = wide(n)
+    count = n.cast("decimal(38,0)")
     exact = F.try_subtract(F.try_multiply(count, squares), F.try_multiply(total, total))
-    total_d, squares_d = total.cast("double"), squares.cast("double")
-    rough = F.greatest(n.cast("double") * squares_d - total_d * total_d, F.lit(0.0))
-    numerator = F.coalesce(exact.cast("double"), rough)
     pairs = n.cast("double") * (n.cast("double") - F.lit(1.0))
-    return F.when(n > 1, numerator / pairs / F.lit(float(10 ** (2 * places))))
+    return F.when(n > 1, exact.cast("double") / pairs / F.lit(float(10 ** (2 * places))))
 
 
 def variance_to_mean(variance: Column, mean: Column) -> Column:

@@ -19,10 +19,15 @@ def reorder(df: DataFrame, order: Sequence[str] = OUTPUT_COLUMNS) -> DataFrame:
 
 
 def published(tracked: DataFrame, *extra: str) -> DataFrame:
-    """Key and published packet columns; everything used on the way is left out."""
+    """Key and published packet columns; everything used on the way is left out.
+
+    Fails if a column is missing: packets are published whole.
+    """
     named = tracked.withColumn("flightid", F.col("flight"))
-    return named.select("flight", *extra, *[c for c in (*OUTPUT_COLUMNS, *TRAILING_COLUMNS)
-                                    if c in named.columns])
+    standard = [*OUTPUT_COLUMNS, *TRAILING_COLUMNS]
+    if missing := [c for c in standard if c not in named.columns]:
+        raise ValueError(f"columns missing from the packets: {missing}")
+    return named.select("flight", *extra, *standard)
 
 
 def diagonal_union(frames: Sequence[DataFrame]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skytrace.functions import numeric
 from skytrace.functions.clock import epoch_millis
-from skytrace.functions.numeric import round_half_away, ticks, wide
+from skytrace.functions.numeric import round_half_away, ticks
 from skytrace.operators.kinematics import FLIGHT_ORDER, series_of
 from skytrace.operators.layout import WHOLE, Layout
 
@@ -116,28 +116,52 @@ def expanding_stats(df: DataFrame, layout: Layout, part, order,
     """Mean, sample deviation and normalised value over all rows so far.
 
     ``values`` maps a column to the names of the three results and the number of decimals it
-    carries. Rows without a value get none; the deviation needs two values, the normalised value a
-    deviation above 0 (both taken after rounding). ``also`` adds further results of the same scan.
+    usually carries. Rows without a value get none; the deviation needs two values, the normalised
+    value a deviation above 0 (both taken after rounding). ``also`` adds further results of the same
+    scan. A series whose values all have that many decimals is summed exactly; any other series is
+    summed in doubles around its first finite value. A NaN makes all later results of its series NaN.
     """
+    kinds = {}
+    for name, (*_, decimals) in values.items():
+        value = F.col(name)
+        finite = ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+        kinds[f"{name}__whole"] = ("min", F.when(
+            value.isNotNull(), numeric.has_places(value, decimals).cast("int")))
+        kinds[f"{name}__largest"] = ("max", F.abs(numeric.scaled(value, decimals)))
+        kinds[f"{name}__known"] = ("sum", value.isNotNull().cast("bigint"))
+        kinds[f"{name}__first"] = ("min", F.when(finite, F.struct(*order, value.alias("origin"))))
+    df = layout.scan(df, part, order, totals=kinds)
     sums = {}
     for name, (*_, decimals) in values.items():
-        amount = ticks(F.col(name), decimals)
-        sums[f"{name}__n"] = F.when(amount.isNotNull(), 1).otherwise(0).cast("bigint")
-        sums[f"{name}__sum"] = wide(amount)
-        sums[f"{name}__squares"] = wide(amount) * wide(amount)
+        value, whole = F.col(name), f"{name}__exact"
+        df = df.withColumn(whole, numeric.exactly_summed(
+            F.col(f"{name}__known"), F.col(f"{name}__whole") == 1, F.col(f"{name}__largest")))
+        exact = F.when(F.col(whole), ticks(value, decimals))
+        apart = F.when(~F.col(whole), value - F.coalesce(
+            F.col(f"{name}__first.origin"), F.lit(0.0)))
+        sums[f"{name}__n"] = value.isNotNull().cast("bigint")
+        sums[f"{name}__sum"], sums[f"{name}__squares"] = exact, F.try_multiply(exact, exact)
+        sums[f"{name}__apart"], sums[f"{name}__apart2"] = apart, apart * apart
     df = layout.scan(df, part, order, running=sums, **also)
     stats, normed = {}, {}
     for name, (mean, deviation, norm, decimals) in values.items():
-        n, total, squares = (F.col(f"{name}__{s}") for s in ("n", "sum", "squares"))
-        known = F.col(name).isNotNull()
-        variance = numeric.variance_from_sums(n, total, squares, decimals)
-        average = numeric.mean_from_sums(n, total, decimals)
+        n, total, squares, apart, apart2 = (
+            F.col(f"{name}__{s}") for s in ("n", "sum", "squares", "apart", "apart2"))
+        known, exact = F.col(name).isNotNull(), F.col(f"{name}__exact")
+        count = n.cast("double")
+        origin = F.coalesce(F.col(f"{name}__first.origin"), F.lit(0.0))
+        average = F.when(exact, numeric.mean_from_sums(n, total, decimals)).otherwise(
+            origin + apart / count)
+        rough = F.greatest(apart2 - apart * apart / count, F.lit(0.0)) / (count - 1)
+        variance = F.when(exact, numeric.variance_from_sums(
+            n, total, squares, decimals)).otherwise(F.when(n > 1, rough))
         stats[mean] = round_half_away(F.when(known, average), places)
         stats[deviation] = round_half_away(F.when(known, F.sqrt(variance)), places)
         normed[norm] = round_half_away(F.when(
             F.col(deviation) > 0, (F.col(name) - F.col(mean)) / F.col(deviation)
         ), places)
-    return df.withColumns(stats).withColumns(normed).drop(*sums)
+    used = [*sums, *kinds, *[f"{name}__exact" for name in values]]
+    return df.withColumns(stats).withColumns(normed).drop(*used)
 
 
 def phase_expanding_stats(df: DataFrame, layout: Layout = WHOLE, **also) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytrace.functions import numeric
-from skytrace.functions.numeric import round_half_away, ticks, wide
+from skytrace.functions.numeric import round_half_away, ticks
 from skytrace.operators.layout import SLICE, WHOLE, Layout
 from skytrace.operators.phases import FEWEST_ROWS, PHASE, VELOCITY_PLACES
 
@@ -76,17 +76,23 @@ def velocity_spread(df: DataFrame, part=tuple(PHASE), pairs: Mapping = PAIRS,
     ).drop(*[f"{n}_{s}" for n in pairs for s in _SUMS])
 
 
-_SUMS = ("rows", "x_rows", "sum", "squares", "x_min", "x_max")
+_SUMS = ("rows", "x_rows", "sum", "squares", "x_min", "x_max", "whole", "largest", "avg", "m2")
 
 
 def _sums(name: str, x: str, y: str) -> list[Column]:
-    amount = wide(ticks(F.col(y), VELOCITY_PLACES))
+    amount = ticks(F.col(y), VELOCITY_PLACES)
+    spread = F.coalesce(F.var_samp(y), F.lit(0.0)) * (F.count(y) - 1).cast("double")
     return [
         F.count(F.lit(1)).alias(f"{name}_rows"),
         F.count(x).alias(f"{name}_x_rows"),
         F.count(y).alias(f"{name}_n"),
-        F.sum(amount).alias(f"{name}_sum"),
-        F.sum(amount * amount).alias(f"{name}_squares"),
+        F.try_sum(amount).alias(f"{name}_sum"),
+        F.try_sum(F.try_multiply(amount, amount)).alias(f"{name}_squares"),
+        F.min(F.when(F.col(y).isNotNull(), numeric.has_places(
+            F.col(y), VELOCITY_PLACES).cast("int"))).alias(f"{name}_whole"),
+        F.max(F.abs(numeric.scaled(F.col(y), VELOCITY_PLACES))).alias(f"{name}_largest"),
+        F.avg(y).alias(f"{name}_avg"),
+        spread.alias(f"{name}_m2"),
         F.min(x).alias(f"{name}_x_min"),
         F.max(x).alias(f"{name}_x_max"),
     ]
@@ -95,9 +101,14 @@ def _sums(name: str, x: str, y: str) -> list[Column]:
 def _spread(df: DataFrame, pairs: Mapping, max_degree: int) -> DataFrame:
     for name in pairs:
         n, total, squares = (F.col(f"{name}_{s}") for s in ("n", "sum", "squares"))
+        exact = numeric.exactly_summed(
+            n, F.col(f"{name}_whole") == 1, F.col(f"{name}_largest"))
         df = df.withColumns({
-            f"{name}_mean": F.when(n > 0, numeric.mean_from_sums(n, total, VELOCITY_PLACES)),
-            f"{name}_variance": numeric.variance_from_sums(n, total, squares, VELOCITY_PLACES),
+            f"{name}_mean": F.when(n > 0, F.when(exact, numeric.mean_from_sums(
+                n, total, VELOCITY_PLACES)).otherwise(F.col(f"{name}_avg"))),
+            f"{name}_variance": F.when(exact, numeric.variance_from_sums(
+                n, total, squares, VELOCITY_PLACES)).otherwise(
+                F.when(n > 1, F.col(f"{name}_m2") / (n - 1).cast("double"))),
         })
         df = df.withColumn(f"{name}_vmr", numeric.variance_to_mean(
             F.col(f"{name}_variance"), F.col(f"{name}_mean")))
@@ -122,18 +133,26 @@ def fits(df: DataFrame, layout: Layout = WHOLE, part=tuple(PHASE), pairs: Mappin
         *[c for n, p in pairs.items() for c in _sums(n, *p)],
         *[c.alias(f"{n}_points") for n, c in points.items()],
     )
-    combine = {"x_min": "min", "x_max": "max"}
-    names = [f"{n}_{s}" for n in pairs for s in (*_SUMS, "n")]
+    combine = {"x_min": "min", "x_max": "max", "_whole": "min", "_largest": "max"}
+    names = [f"{n}_{s}" for n in pairs for s in (*_SUMS, "n") if s not in ("avg", "m2")]
     if layout.sliced:
-        # Totals over the slice summaries of a phase: few rows, so a plain window.
+        # Totals over the slice summaries of a phase: few rows, so a plain window. Spreads around
+        # the slices' means are first moved to the mean of the phase.
+        df = df.withColumns({f"{n}_own": F.col(f"{n}_n").cast("double") for n in pairs})
         df = WHOLE.scan(df, part, [SLICE], totals={
             c: (next((h for s, h in combine.items() if c.endswith(s)), "sum"), F.col(c))
             for c in names
-        })
+        } | {f"{n}_all": ("sum", F.col(f"{n}_own") * F.col(f"{n}_avg")) for n in pairs})
+        df = df.withColumns({f"{n}_all": F.col(f"{n}_all") / F.col(f"{n}_n") for n in pairs})
+        df = WHOLE.scan(df, part, [SLICE], totals={f"{n}_m2": ("sum", F.col(f"{n}_m2") + F.col(
+            f"{n}_own") * F.pow(F.col(f"{n}_avg") - F.col(f"{n}_all"), 2)) for n in pairs})
+        df = df.withColumns({f"{n}_avg": F.col(f"{n}_all") for n in pairs})
     df = _spread(df, pairs, max_degree)
     out = []
+    complete = F.lit(True)
     for name in pairs:
-        complete = (
+        # A unit is fitted only where the units before it are.
+        complete = complete & (
             (F.col(f"{name}_x_rows") == F.col(f"{name}_n")) & (F.col(f"{name}_n") >= FEWEST_ROWS)
         )
         middle = (F.col(f"{name}_x_min") + F.col(f"{name}_x_max")) / 2.0
@@ -150,12 +169,17 @@ def fits(df: DataFrame, layout: Layout = WHOLE, part=tuple(PHASE), pairs: Mappin
         df = df.withColumn(f"{name}_triangle", _triangle(
             mapped, F.transform(ordered, lambda p: p.y), F.col(f"{name}_fit_degree")))
         out += [f"{name}_{s}" for s in ("n", "vmr", "degree", "fit_degree", "middle", "half")]
+    # Stacked in order of slice, so that repeated runs agree to the last digit.
+    place = F.col(SLICE) if layout.sliced else F.lit(0)
     return (
         df.groupBy(*part)
         .agg(*[F.first(c).alias(c) for c in out],
-             *[F.collect_list(f"{n}_triangle").alias(f"{n}_triangles") for n in pairs])
+             *[F.array_sort(F.collect_list(F.when(F.col(f"{n}_triangle").isNotNull(), F.struct(
+                 place.alias("place"), F.col(f"{n}_triangle").alias("rows")))))
+               .alias(f"{n}_triangles") for n in pairs])
         .select(*part, *out, *[
-            _solve(f"{n}_triangles", f"{n}_fit_degree").alias(f"{n}_coefficients") for n in pairs
+            _solve(F.transform(f"{n}_triangles", lambda t: t["rows"]),
+                   f"{n}_fit_degree").alias(f"{n}_coefficients") for n in pairs
         ])
     )
 

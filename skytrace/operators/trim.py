@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytrace.functions.numeric import round_half_away, ticks
+from skytrace.functions.numeric import round_half_away, scaled
 from skytrace.operators.kinematics import FLIGHT_ORDER, lose, series_of, survivors
 from skytrace.operators.layout import WHOLE, Layout
 
@@ -65,9 +65,11 @@ def forward_averages(df: DataFrame, layout: Layout, part, order, value: str,
                      **also) -> DataFrame:
     """Means over a row and those after it; unknown values count as 0, short frames give null.
 
+    Values of ``value_places`` decimals are added as whole numbers, others as they are.
+
     ``also`` adds further results of the same scan.
     """
-    amount = F.coalesce(ticks(F.col(value), value_places), F.lit(0).cast("bigint"))
+    amount = F.coalesce(scaled(F.col(value), value_places), F.lit(0.0))
     df = layout.scan(df, part, order, ahead=(amount, sizes), **also)
     unit = float(10**value_places)
     return df.withColumns({
