@@ -47,7 +47,17 @@ def followed_rows(extracted: DataFrame, layout: Layout = WHOLE) -> DataFrame:
 
 def tracked_rows(extracted: DataFrame, layout: Layout = WHOLE) -> DataFrame:
     """All per-packet results but the fitted curves. One shuffle for flights of usual size."""
-    df = phases.phase_motion(phase_rows(extracted, layout), layout)
+    return _tracked(phase_rows(extracted, layout), layout)
+
+
+def tracked_again(followed: DataFrame, layout: Layout = WHOLE) -> DataFrame:
+    """``tracked_rows`` from followed rows that have been written."""
+    kept = phases.usable_flights(followed.where(F.col("fate") == kinematics.KEPT))
+    return _tracked(layout.place(kept, ["flight"], epoch_millis(F.col("packettime"))), layout)
+
+
+def _tracked(rows: DataFrame, layout: Layout) -> DataFrame:
+    df = phases.phase_motion(rows, layout)
     df = phases.phase_expanding_stats(df, layout, totals=regimes.extremes())
     return kinematics.air_density(kinematics.unload(regimes.label_regimes(df)))
 
@@ -83,11 +93,12 @@ def process(packets: DataFrame, flights: DataFrame, series_rows: int = DEFAULT_S
     extracted = written(extract_packets(packets, flights), "extracted")
 
     heavy = oversized_keys(extracted, "flight", series_rows)
-    rows = written(spread(extracted, "flight", heavy, tracked_rows, slice_ms), "tracked")
+    # Trimming runs once: the status counts all rows, everything else has those kept.
+    followed = written(spread(extracted, "flight", heavy, followed_rows, slice_ms), "followed")
+    rows = written(spread(followed, "flight", heavy, tracked_again, slice_ms), "tracked")
     fits = written(spread(rows, "flight", heavy, fitted, slice_ms), "fits")
     tracked = polyfit.with_curves(rows, fits)
     records = written(metadata.flight_metadata(flights, extracted, rows), "metadata")
-    followed = spread(extracted, "flight", heavy, followed_rows, slice_ms)
     return Results(
         extracted=extracted,
         tracked=tracked,

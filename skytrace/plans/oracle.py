@@ -18,52 +18,70 @@ STEPS = {
                CASE u % 4 WHEN 0 THEN 1500 WHEN 1 THEN 2100 WHEN 2 THEN 1500 ELSE 2100 END AS g1,
                CASE u % 4 WHEN 0 THEN 1500 WHEN 1 THEN 2100 WHEN 2 THEN 2400 ELSE 1200 END AS g2,
                CASE u % 4 WHEN 0 THEN 2100 WHEN 1 THEN 1500 WHEN 2 THEN 1500 ELSE 2100 END AS g3
-        FROM ev WHERE u % 50 <> 49 OR rn <= 2""",
+        FROM ev""",
     "topped": """
         SELECT *, 5200 + g1 * least(greatest(up - 8, 0), 7) + g2 * least(greatest(up - 15, 0), 8)
                   + g3 * greatest(up - 23, 0) AS top
         FROM climbing""",
     "flown": """
         SELECT *,
+               CASE u % 50 WHEN 47 THEN 0 WHEN 45 THEN 5200 + rn * 20000 WHEN 44 THEN 6000 - rn * 5
+                    WHEN 43 THEN 60000 - rn * 500 WHEN 42 THEN 5200 + rn * 1500 ELSE
                CASE WHEN rn <= up THEN
                         5200 + g1 * least(greatest(rn - 8, 0), 7)
                         + g2 * least(greatest(rn - 15, 0), 8) + g3 * greatest(rn - 23, 0)
                         + (e % 11) * 10 + CASE WHEN e % 53 = 0 AND rn > 10 THEN 9000 ELSE 0 END
                     WHEN rn <= n - 6 THEN
                         top - ((top - 5200) * (rn - up)) // greatest(n - 5 - up, 1) + (e % 11) * 5
-                    ELSE 5200 + e % 3 END AS alt,
+                    ELSE 5200 + e % 3 END END AS alt,
                DATE '2024-01-01' + CAST(u % 300 AS INTEGER) AS day,
                rn * 120 + (e % 7) * 2
                + CASE WHEN u % 4 = 0 AND rn >= n - 2 THEN 1500 ELSE 0 END AS sec
         FROM topped""",
     "sent": """
-        SELECT *, CAST(day AS TIMESTAMP) + to_seconds(46800 + sec) AS sent_at,
-               'B' || u || '-' || (e % 2) AS callsign,
+        SELECT *, CAST(day AS TIMESTAMP)
+                  + to_seconds(46800 + sec + CASE WHEN u % 50 = 49 THEN 86400 ELSE 0 END)
+                   AS sent_at,
+               'B' || u || '-' || CASE WHEN u % 50 = 46 THEN 0 ELSE e % 2 END AS own,
+               CASE WHEN e % 17 = 0 THEN '>AP12P1' ELSE '>APZ001' END AS address,
                CASE WHEN status THEN
                         CASE WHEN rn > up AND u % 5 <> 0 THEN ':>DETECTED BURST at ' || top || 'ft'
                              ELSE ':>STATUS OK ' || e END
                     ELSE ',WIDE2-1:/'
                          || strftime(CAST(day AS TIMESTAMP) + to_seconds(46800 + sec), '%H%M%S')
                          || 'h /A=' || lpad(CAST(alt AS VARCHAR), 6, '0') || ' '
-                         || (150 - alt // 100) || 'T' || greatest(8400 - rn * 100, 50) || 'P'
+                         || (150 - floor(alt / 100.0))::BIGINT || 'T'
+                         || greatest(8400 - rn * 100, 50) || 'P'
                END AS body
         FROM flown""",
     "copies": """
-        SELECT *, 0 AS delay, '' AS path, '' AS suffix FROM sent
-        UNION ALL SELECT *, 3, '', '' FROM sent WHERE e % 9 = 0
-        UNION ALL SELECT *, 4, '', ' r' FROM sent WHERE e % 13 = 0
-        UNION ALL SELECT *, 5, ',WA0GEH-10', '' FROM sent WHERE e % 37 = 0""",
-    "pk": """
-        SELECT sent_at + to_seconds(e % 5 + delay) AS tm, callsign,
-               20 + e % 40 AS speed_mph, e % 360 AS bearing,
-               CASE WHEN NOT status THEN alt END AS altitude,
-               CASE WHEN NOT status THEN (39600 + rn * 4)::DOUBLE / 1000.0 END AS latitude,
-               CASE WHEN NOT status THEN (-104000 + rn * 9)::DOUBLE / 1000.0 END AS longitude,
-               callsign || '>APZ001' || path || body || suffix AS raw
+        SELECT *, 0 AS delay, '' AS path, '' AS suffix, NULL AS clock, '' AS sender, false AS silent
+        FROM sent
+        UNION ALL SELECT *, 3, '', '', NULL, '', false FROM sent WHERE e % 9 = 0
+        UNION ALL SELECT *, 4, '', ' r', NULL, '', false FROM sent WHERE e % 13 = 0
+        UNION ALL SELECT *, 5, ',WA0GEH-10', '', NULL, '', false FROM sent WHERE e % 37 = 0
+        UNION ALL SELECT *, 0, '', '', '02:59:59', '', false FROM sent WHERE e % 29 = 0
+        UNION ALL SELECT *, 0, '', '', '03:00:00', '', false FROM sent WHERE e % 31 = 0
+        UNION ALL SELECT *, 0, '', ' z', '23:59:59', '', false FROM sent WHERE e % 41 = 0
+        UNION ALL SELECT *, 6, '', ' x', NULL, 'X', false FROM sent WHERE e % 43 = 0
+        UNION ALL SELECT *, 7, '', '', NULL, '', true FROM sent WHERE e % 47 = 0""",
+    "pk": f"""
+        SELECT coalesce((CAST(strftime(day, '%Y-%m-%d') || ' ' || clock AS TIMESTAMP)
+                         AT TIME ZONE '{ZONE}') AT TIME ZONE 'UTC',
+                        sent_at + to_seconds(e % 5 + delay)) AS tm,
+               sender || own AS callsign, 20 + e % 40 AS speed_mph, e % 360 AS bearing,
+               CASE WHEN NOT status AND NOT (u % 50 = 46 AND rn > 2) THEN alt END AS altitude,
+               CASE WHEN NOT status AND u % 50 <> 48 THEN (39600 + rn * 4)::DOUBLE / 1000.0 END
+                   AS latitude,
+               CASE WHEN NOT status AND u % 50 <> 48 THEN (-104000 + rn * 9)::DOUBLE / 1000.0 END
+                   AS longitude,
+               CASE WHEN NOT silent THEN own || address || path || body || suffix END AS raw
         FROM copies""",
     "users": "SELECT DISTINCT user_id AS u FROM events",
     "fl": """
-        SELECT 'FL-' || u AS flight, u, ['B' || u || '-0', 'B' || u || '-1'] AS beacons,
+        SELECT 'FL-' || u AS flight, u,
+               CASE WHEN u % 10 = 3 THEN ['B' || u || '-0', 'B' || u || '-1', 'B' || (u - 1) || '-0']
+                    ELSE ['B' || u || '-0', 'B' || u || '-1'] END AS beacons,
                DATE '2024-01-01' + CAST(u % 300 AS INTEGER) AS date,
                CASE WHEN u % 7 = 0
                     THEN year(date) || '-' || month(date) || '-' || day(date)
@@ -437,6 +455,53 @@ STEPS["spread"] = f"""
                            {_spread('ms', 'velocity_z_ms')}
                     FROM ranged GROUP BY flight, flight_phase))"""
 
+
+
+def _curves(degree: int = 13) -> None:
+    """Least-squares polynomials by orthogonal polynomials of the points themselves.
+
+    Each next one is orthogonal to the two before it, so the fitted value of a degree is the sum of
+    the projections up to it. Where a polynomial vanishes the points admit no higher degree.
+    """
+    parts = []
+    gate = "count(velocity_z_fts) OVER p = count(*) OVER p AND count(*) OVER p > 2"
+    for unit, x, y in (("fts", "altitude_ft", "velocity_z_fts"),
+                       ("ms", "altitude_m", "velocity_z_ms")):
+        parts.append(f"""
+        SELECT r.flight, r.callsign, r.packettime, r.flight_phase, '{unit}' AS unit,
+               {y} AS y, {gate} AS fit,
+               least({_degree(unit + '_r')}, {unit}_n - 1) AS degree,
+               CASE WHEN max({x}) OVER p - min({x}) OVER p < 2e-15 THEN 0 ELSE
+                   ({x} - (max({x}) OVER p + min({x}) OVER p) / 2)
+                   / ((max({x}) OVER p - min({x}) OVER p) / 2) END AS u
+        FROM ranged r JOIN spread s ON s.flight = r.flight AND s.flight_phase = r.flight_phase
+        WINDOW p AS (PARTITION BY r.flight, r.flight_phase)""")
+    STEPS["points"] = " UNION ALL ".join(parts)
+    sums = ("sum(p{0} * p{0}) OVER g AS s{0}, sum(u * p{0} * p{0}) OVER g AS t{0}, "
+            "sum(y * p{0}) OVER g AS c{0}")
+    group = "WINDOW g AS (PARTITION BY unit, flight, flight_phase)"
+    STEPS["poly0"] = f"""
+        SELECT *, {sums.format(0)} FROM (SELECT *, 1.0::DOUBLE AS p0 FROM points WHERE fit) {group}"""
+    for k in range(1, degree + 1):
+        earlier = f" - s{k - 1} / s{k - 2} * p{k - 2}" if k > 1 else ""
+        STEPS[f"poly{k}"] = f"""
+        SELECT *, {sums.format(k)} FROM (
+            SELECT *, CASE WHEN s{k - 1} > 1e-18
+                           THEN (u - t{k - 1} / s{k - 1}) * p{k - 1}{earlier} END AS p{k}
+            FROM poly{k - 1}) {group}"""
+    terms = " + ".join(
+        f"CASE WHEN {k} <= degree AND s{k} > 1e-18 THEN c{k} / s{k} * p{k} ELSE 0 END"
+        for k in range(degree + 1))
+    STEPS["fitted"] = f"SELECT *, round({terms} + 1.3e-7, 3) + 0 AS curve FROM poly{degree}"
+    both = ", ".join(
+        f"""(SELECT curve FROM fitted f WHERE f.unit = '{unit}' AND f.flight = r.flight
+             AND f.callsign = r.callsign AND f.packettime = r.packettime)
+             AS velocity_curvefit_{unit}""" for unit in ("fts", "ms"))
+    STEPS["curved"] = f"SELECT r.flight, r.callsign, r.packettime, {both} FROM ranged r"
+
+
+_curves()
+
 TRACKED_COLUMNS = (
     "flight AS flightid, callsign, receivetime, packettime, altitude_ft, altitude_m, "
     "vert_rate_ftmin, elapsed_secs, flight_phase, position_packet, info, raw, bearing, speed_mph, "
@@ -446,11 +511,11 @@ TRACKED_COLUMNS = (
     "acceleration_fts2, velocity_mean_fts, acceleration_mean_fts2, velocity_std_fts, "
     "acceleration_std_fts2, velocity_norm_fts, acceleration_norm_fts2, acceleration_ms2, "
     "velocity_mean_ms, acceleration_mean_ms2, velocity_std_ms, acceleration_std_ms2, "
-    "velocity_norm_ms, acceleration_norm_ms2, reynolds_transition"
+    "velocity_norm_ms, acceleration_norm_ms2, reynolds_transition, velocity_curvefit_fts, "
+    "velocity_curvefit_ms"
 )
+PUBLISHED = f"SELECT flight, {TRACKED_COLUMNS} FROM expanding JOIN curved USING (flight, callsign, packettime)"
 KEY = "flight, callsign, packettime"
-SAMPLE = ("SELECT flight AS flightid, callsign, altitude_ft, altitude_m, velocity_z_fts,"
-          " distance_from_launch_mi, flight_phase, airflow, raw FROM tracked")
 COLOUR = "CASE WHEN flight_phase = 'ascending' THEN 'ff0000ff' ELSE 'ffff0000' END AS colour"
 WEIGHT_NAMES = ["client", "vehicle", "parachute", "neckload", "balloon", "gross", "necklift"]
 NUMBER = r"regexp_replace(CAST({} AS VARCHAR), '\.0$', '')"
@@ -471,7 +536,7 @@ FINAL = {
     "position_filter": f"""SELECT {KEY}, info, altitude_ft, latitude, longitude, position_packet
         FROM complete""",
     "dedupe_packettime": f"SELECT {KEY}, receivetime, info FROM positions",
-    "flight_callsigns": "SELECT DISTINCT flight, callsign FROM ex WHERE callsign IS NOT NULL",
+    "flight_callsigns": "SELECT DISTINCT flight, callsign FROM complete WHERE callsign IS NOT NULL",
     "beacon_velocity": f"""SELECT {KEY}, timedelta_s, velocity_x_degs, velocity_y_degs,
         velocity_z_fts, velocity_z_ms, vert_rate_ftmin FROM deltas""",
     "air_density": """SELECT flight, info, pressure_pa, temperature_k,
@@ -577,7 +642,10 @@ FINAL = {
     "diagonal_union": """
         SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'
         UNION ALL BY NAME
-        SELECT event_id, ts, user_id FROM events WHERE event_type = 'click'""",
+        SELECT event_id, ts, user_id FROM events WHERE event_type = 'click'
+        UNION ALL BY NAME
+        SELECT event_id, event_type FROM events
+        WHERE event_type IS NULL OR event_type NOT IN ('purchase', 'click')""",
     "waypoints_nearest": f"""
         SELECT flight, flight_phase, (target_ft // 1000) || 'k' AS name, target_ft, row_no,
                latitude, longitude, altitude_ft, altitude_m,
@@ -608,16 +676,19 @@ FINAL = {
                    max(CASE WHEN row_no = ascent_rows - 1 THEN altitude_ft END) AS burst_ft,
                    max(CASE WHEN row_no = ascent_rows - 1 THEN altitude_m END) AS burst_m
             FROM two_phase GROUP BY flight) t ON s.flight = t.flight""",
-    "column_order": f"SELECT flight, {TRACKED_COLUMNS} FROM expanding",
+    "column_order": PUBLISHED,
+    "column_order_sliced": PUBLISHED,
+    "polyfit_curve": f"""SELECT {KEY}, flight_phase, velocity_curvefit_fts, velocity_curvefit_ms
+        FROM ranged JOIN curved USING ({KEY})""",
     "dst_offset": f"""
         SELECT strftime(day, '%Y-%m-%d') AS day,
                epoch(wall) - epoch((wall AT TIME ZONE '{ZONE}') AT TIME ZONE 'UTC') = -21600
                    AS daylight_time
         FROM (SELECT day, CAST(day AS TIMESTAMP) + INTERVAL 3 HOUR AS wall
               FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders))""",
-    "sink_roundtrip_parquet": SAMPLE,
-    "sink_roundtrip_csv": SAMPLE,
-    "sink_roundtrip_json": SAMPLE,
+    "sink_roundtrip_parquet": PUBLISHED.replace("SELECT flight, ", "SELECT "),
+    "sink_roundtrip_csv": PUBLISHED.replace("SELECT flight, ", "SELECT "),
+    "sink_roundtrip_json": PUBLISHED.replace("SELECT flight, ", "SELECT "),
     "metadata_documents": """
         SELECT s.flight, fl.day, s.numpoints, s.flighttime, s.flighttime_secs, s.maxaltitude_ft,
                coalesce(b.feet, 0)::DOUBLE AS burst_ft,
@@ -661,7 +732,10 @@ def _ordered(needed: set[str]) -> list[str]:
 def statements() -> dict[str, str]:
     """Query name to a complete statement."""
     out = {}
-    for name, final in FINAL.items():
+    finals = dict(FINAL)
+    for name in ("forward_avg_events", "expanding_stats_events", "flight_status"):
+        finals[f"{name}_sliced"] = FINAL[name]
+    for name, final in finals.items():
         steps = ",\n".join(f"{step} AS ({STEPS[step]})" for step in _needed(final))
         out[name] = f"WITH {steps}\n{final}" if steps else final
     return out

@@ -20,12 +20,17 @@ from skytrace.operators.layout import (
     DEFAULT_SERIES_ROWS, DEFAULT_SLICE_MS, Layout, balanced,
 )
 from skytrace.plans import flight as plan
+from skytrace.schemas import OUTPUT_COLUMNS, TRAILING_COLUMNS
 from skytrace.session import configure, scratch_path, written
 from skytrace.sources import events as source
 from skytrace.sources import readers, writers
 
 Step = Callable[[DataFrame, Layout], DataFrame]
 ROW = ["flight", "callsign", "packettime"]
+CURVES = ["velocity_curvefit_fts", "velocity_curvefit_ms"]
+CURVE_PLACES = 3
+#: Width of a slice in the queries that slice every user.
+SLICED_MS = 6 * 3_600_000
 
 
 def over_events(spark: SparkSession, sf_dir: str, step: Step,
@@ -90,7 +95,21 @@ def _status(events: DataFrame, layout: Layout) -> DataFrame:
 def _numbered(events: DataFrame, layout: Layout) -> DataFrame:
     return layout.place(
         events.select("user_id", "event_id", "ts", "value"), ["user_id"],
-        clock.epoch_millis(F.col("ts")))
+        clock.epoch_millis(F.col("ts")), ("ts", F.col("event_id")))
+
+
+def _comparable(curve):
+    """A fitted value cut to the decimals on which any solver agrees. Fits through all points often
+    end in exactly half a unit; the shift keeps the last digit of the solver from deciding."""
+    return round_half_away(curve + F.lit(1.3e-7), CURVE_PLACES)
+
+
+def _curved(events: DataFrame, layout: Layout) -> DataFrame:
+    """Tracked rows with their fitted curves, cut to the decimals on which any solver agrees."""
+    # Fits and rows meet again, so the rows are written once rather than computed twice.
+    rows = written(_tracked(events, layout), "tracked")
+    curved = polyfit.with_curves(rows, plan.fitted(rows, layout))
+    return curved.withColumns({c: _comparable(F.col(c)) for c in CURVES})
 
 
 # Queries ---------------------------------------------------------------------------------------
@@ -119,7 +138,7 @@ def dedupe_packettime(events, layout):
 
 
 def flight_callsigns(events, layout):
-    return kinematics.flight_callsigns(_extracted(events, layout))
+    return kinematics.flight_callsigns(kinematics.complete_rows(_extracted(events, layout)))
 
 
 def beacon_velocity(events, layout):
@@ -222,8 +241,9 @@ def polyfit_curve(events, layout):
     pairs = sorted({c for pair in polyfit.PAIRS.values() for c in pair})
     # Fits and rows meet again, so the rows are written once rather than computed twice.
     rows = written(_phases(events, layout).select(*ROW, "flight_phase", *pairs), "phases")
-    return polyfit.with_curves(rows, plan.fitted(rows, layout)).select(
-        *ROW, "flight_phase", "velocity_curvefit_fts", "velocity_curvefit_ms")
+    curved = polyfit.with_curves(rows, plan.fitted(rows, layout))
+    return curved.select(*ROW, "flight_phase", *[
+        _comparable(F.col(c)).alias(c) for c in CURVES])
 
 
 def polyfit_line(events, layout):
@@ -265,6 +285,8 @@ def diagonal_union(events, layout):
     return columns.diagonal_union([
         events.where("event_type = 'purchase'").select("event_id", "user_id", "value"),
         events.where("event_type = 'click'").select("event_id", "ts", "user_id"),
+        events.where("event_type is null or event_type not in ('purchase', 'click')").select(
+            "event_id", "event_type"),
     ])
 
 
@@ -290,7 +312,7 @@ def flight_captions(events, layout):
 
 
 def column_order(events, layout):
-    return columns.published(_tracked(events, layout))
+    return columns.published(_curved(events, layout))
 
 
 def dst_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,38 +341,43 @@ STEPS: dict[str, Step] = {
 
 # Sinks: written to the shared folder and read back ---------------------------------------------
 
-PACKET_SAMPLE = ["flightid", "callsign", "altitude_ft", "altitude_m", "velocity_z_fts",
-                 "distance_from_launch_mi", "flight_phase", "airflow", "raw"]
+def _standard(stored: DataFrame, like: DataFrame) -> DataFrame:
+    """All published columns of packets read back, in their own types."""
+    types = dict(like.dtypes)
+    return stored.select(*[F.col(c).cast(types[c]).alias(c)
+                           for c in (*OUTPUT_COLUMNS, *TRAILING_COLUMNS)])
 
 
 def sink_roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "parquet")
-    writers.write_packets_parquet(over_events(spark, sf_dir, column_order), path)
-    return spark.read.parquet(path).select(*PACKET_SAMPLE)
+    packets = over_events(spark, sf_dir, column_order)
+    writers.write_packets_parquet(packets, path)
+    return _standard(spark.read.parquet(path), packets)
 
 
 def sink_roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     packets = over_events(spark, sf_dir, column_order)
     writers.write_packets_csv(packets, path)
-    stored = packets.schema
-    reader = spark.read.schema(stored).option("header", True).option("escape", '"')
-    return reader.csv(path).select(*PACKET_SAMPLE)
+    reader = spark.read.schema(packets.schema).option("header", True).option("escape", '"')
+    stored = reader.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSS").csv(path)
+    # An empty text comes back from CSV as null.
+    return _standard(stored.na.fill("", TRAILING_COLUMNS), packets)
 
 
 def sink_roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "json")
 
     def documents(events, layout):
-        extracted = _extracted(events, layout)
-        tracked = plan.tracked_rows(extracted, layout)
+        curved = _curved(events, layout)
         return writers.flight_documents(
-            metadata.flight_metadata(source.flights(events), extracted, tracked),
-            columns.published(tracked, "row_no"))
+            metadata.flight_metadata(source.flights(events), _extracted(events, layout), curved),
+            columns.published(curved, "row_no"))
 
     writers.write_texts(over_events(spark, sf_dir, documents), path)
     stored = spark.read.option("recursiveFileLookup", True).json(path)
-    return stored.select(F.explode("packets").alias("p")).select("p.*").select(*PACKET_SAMPLE)
+    packets = stored.select(F.explode("packets").alias("p")).select("p.*")
+    return _standard(packets, over_events(spark, sf_dir, column_order))
 
 
 def metadata_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,4 +416,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(step: Step):
         return lambda spark, sf_dir: over_events(spark, sf_dir, step)
 
-    return {**{name: bind(step) for name, step in STEPS.items()}, **TABLES}
+    def bind_sliced(step: Step):
+        # Every user goes through the time-sliced arrangement.
+        return lambda spark, sf_dir: over_events(spark, sf_dir, step, 0, SLICED_MS)
+
+    sliced = {f"{step.__name__}_sliced": bind_sliced(step) for step in (
+        forward_avg_events, expanding_stats_events, flight_status, column_order)}
+    return {**{name: bind(step) for name, step in STEPS.items()}, **sliced, **TABLES}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytrace.functions import clock
+from skytrace.functions.telemetry import RELAY_EXCLUDED
 from skytrace.schemas import FLIGHTS, PACKET_COLUMNS
 
 # The packet columns in a PostGIS database, the point split into two numbers.
@@ -23,21 +24,27 @@ def read_packets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def database_packets(spark: SparkSession, url: str, days: Sequence[str], table: str = "packets",
-                     properties: dict[str, str] | None = None) -> DataFrame:
+                     properties: dict[str, str] | None = None,
+                     fetch_rows: int = 10_000) -> DataFrame:
     """Packets of the given days read by JDBC, one query and task per day.
 
     Only the columns in use and the hours of the day window leave the database, which finds them
-    by the leading ``tm`` of its primary key.
+    by the leading ``tm`` of its primary key. Rows arrive ``fetch_rows`` at a time.
     """
-    opens, closes = clock.WINDOW_OPENS, clock.WINDOW_CLOSES
-    zone = clock.HOME_ZONE
-    predicates = [
+    query = f"({DATABASE_PACKETS.format(table=table)}) as p"
+    settings = {"fetchsize": str(fetch_rows)} | (properties or {})
+    return spark.read.jdbc(url, query, predicates=day_predicates(days), properties=settings)
+
+
+def day_predicates(days: Sequence[str], excluded_text: str = RELAY_EXCLUDED) -> list[str]:
+    """One SQL condition per day: its window, without excluded texts."""
+    opens, closes, zone = clock.WINDOW_OPENS, clock.WINDOW_CLOSES, clock.HOME_ZONE
+    return [
         f"tm > timestamp '{day} {opens}' at time zone '{zone}' and "
-        f"tm < timestamp '{day} {closes}' at time zone '{zone}'"
+        f"tm < timestamp '{day} {closes}' at time zone '{zone}' and "
+        f"raw not like '%{excluded_text}%'"
         for day in days
     ]
-    query = f"({DATABASE_PACKETS.format(table=table)}) as p"
-    return spark.read.jdbc(url, query, predicates=predicates, properties=properties or {})
 
 
 def read_flights(spark: SparkSession, path: str) -> DataFrame:
