@@ -201,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
         _sampled, "key bigint, label int, text_view array<float>, page_view array<float>")
     table = sample.toArrow().sort_by("key")
     label = table.column("label").to_pylist()
-    views = [np.array(table.column(c).to_pylist(), float) for c in ("text_view", "page_view")]
+    views = [np.array(T.lists(table.column(c)), float) for c in ("text_view", "page_view")]
     known = np.array([v is not None for v in label], bool)
     y = np.array([v for v in label if v is not None], float)
     if not len(y) or y.min() == y.max():

@@ -144,3 +144,12 @@ def per_text(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """Sums of the values of each text; zero for a text without any."""
     sums = np.concatenate((np.zeros(1, values.dtype), np.cumsum(values)))
     return sums[firsts[1:]] - sums[firsts[:-1]]
+
+
+def lists(values: pa.ChunkedArray) -> list[np.ndarray]:
+    """The rows of a list column as arrays, without a Python object for each number."""
+    out = []
+    for chunk in values.chunks:
+        flat, ends = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        out += [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    return out

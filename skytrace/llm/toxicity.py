@@ -256,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLE
         F.broadcast(wanted), "doc_id").mapInArrow(
         _sampled, "key bigint, label int, features array<int>").toArrow().sort_by("key")
     label = np.array(table.column("label").to_pylist(), np.int64)
-    parts = [np.array(f, np.int64).reshape(3, -1) for f in table.column("features").to_pylist()]
+    parts = [f.reshape(3, -1) for f in T.lists(table.column("features"))]
     totals = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
     return learn(parts, label, (totals.get(0, 0), totals.get(1, 0)))
 
@@ -281,7 +281,7 @@ def learn(parts: list[np.ndarray], label: np.ndarray, totals: tuple[int, int] =
             kept.append(i)
     parts, label = [parts[i] for i in kept], label[kept]
     lengths = np.array([p.shape[1] for p in parts])
-    features = np.concatenate(parts, axis=1)
+    features = np.concatenate(parts, axis=1).astype(np.int64)
     doc = np.repeat(np.arange(len(parts)), lengths)
     sides = np.stack((np.roll(features[0], 1), np.roll(features[0], -1))).astype(np.uint64)
     words = toxic_words(features[0], sides[0] * np.uint64(FEATURES) + sides[1], doc, label)
