@@ -68,14 +68,23 @@ class EliasFano:
         high = np.searchsorted(self.buckets(), at, "right") - 1
         return (high.astype(np.int64) << self.low_bits) | self.lows(at).astype(np.int64)
 
-    def successor(self, wanted: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """First position in ``begin`` to ``end`` whose number is at least the wanted one."""
+    def everything(self) -> np.ndarray:
+        """All numbers."""
+        marks = np.unpackbits(self.high, bitorder="little")
+        at = np.arange(self.n)
+        high = np.flatnonzero(marks)[:self.n] - at
+        return (high << self.low_bits) | self.lows(at).astype(np.int64)
+
+    def _search(self, wanted: np.ndarray, begin: np.ndarray, end: np.ndarray):
+        """First position in a range whose number is at least the wanted one, and where the numbers
+        that share its high part end."""
         buckets = self.buckets()
-        high = np.minimum(wanted >> self.low_bits, len(buckets) - 2)
-        beyond = wanted >> self.low_bits > len(buckets) - 2
-        lo = np.clip(np.where(beyond, self.n, buckets[high]), begin, end).astype(np.int64)
-        hi = np.clip(np.where(beyond, self.n, buckets[high + 1]), begin, end).astype(np.int64)
+        high = wanted >> self.low_bits
+        high[high > len(buckets) - 2] = len(buckets) - 1
+        lo = np.clip(buckets[high], begin, end).astype(np.int64)
+        stop = np.clip(buckets[np.minimum(high + 1, len(buckets) - 1)], begin, end).astype(np.int64)
         part = wanted.astype(np.uint64) & np.uint64((1 << self.low_bits) - 1)
+        hi = stop.copy()
         open_ = np.flatnonzero(lo < hi)
         while len(open_):
             middle = (lo[open_] + hi[open_]) >> 1
@@ -83,7 +92,20 @@ class EliasFano:
             lo[open_[less]] = middle[less] + 1
             hi[open_[~less]] = middle[~less]
             open_ = open_[lo[open_] < hi[open_]]
-        return lo
+        return lo, stop, part
+
+    def successor(self, wanted: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """First position in ``begin`` to ``end`` whose number is at least the wanted one."""
+        return self._search(wanted, begin, end)[0]
+
+    def find(self, wanted: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Position of the wanted number between ``begin`` and ``end``, or -1."""
+        at, stop, part = self._search(wanted, begin, end)
+        inside = np.flatnonzero(at < stop)
+        same = self.lows(at[inside]) == part[inside]
+        out = np.full(len(at), -1)
+        out[inside[same]] = at[inside[same]]
+        return out
 
 
 class Level:
@@ -95,6 +117,17 @@ class Level:
 
     def __init__(self, words: EliasFano, pointers: EliasFano, values: dict[str, np.ndarray]):
         self.words, self.pointers, self.values = words, pointers, values
+        self._contexts: tuple[np.ndarray, np.ndarray] | None = None
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where each context's words begin, and the number they stand on; decoded once."""
+        if self._contexts is None:
+            begins = self.pointers.everything()
+            bases = np.zeros(len(begins), np.int64)
+            later = begins > 0
+            bases[later] = self.words.access(begins[later] - 1)
+            self._contexts = begins, bases
+        return self._contexts
 
     @classmethod
     def of(cls, words: np.ndarray, begins: np.ndarray, values: dict[str, np.ndarray]) -> Level:
@@ -107,20 +140,12 @@ class Level:
 
     def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Position of each word below its context (-1: no context), or -1."""
-        known = context >= 0
         at = np.full(len(context), -1)
-        if not known.any() or not self.words.n:
-            return at
-        begin = self.pointers.access(context[known])
-        end = self.pointers.access(context[known] + 1)
-        base = np.where(begin > 0, self.words.access(np.maximum(begin - 1, 0)), 0)
-        wanted = base + word[known]
-        place = self.words.successor(wanted, begin, end)
-        inside = place < end
-        found = np.full(len(place), -1)
-        same = self.words.access(place[inside]) == wanted[inside]
-        found[inside] = np.where(same, place[inside], -1)
-        at[known] = found
+        known = np.flatnonzero(context >= 0)
+        if len(known) and self.words.n:
+            begins, bases = self.contexts()
+            own = context[known]
+            at[known] = self.words.find(bases[own] + word[known], begins[own], begins[own + 1])
         return at
 
 
@@ -156,35 +181,41 @@ class Trie:
         ``context_counts`` is how often ``first`` occurs; ``pair_weight`` gives the pseudo-count
         that a context of some count leaves to single words.
         """
-        order = np.lexsort((third, second, first))
-        first, second, third, counts, context_counts = (
-            x[order] for x in (first, second, third, counts, context_counts))
         rows, pair = distinct_rows(first, second)
-        roots_at, root = distinct_rows(first[rows])
-        pair_counts = np.bincount(pair, counts, len(rows))
-        own = context_counts[rows].astype(float)
-        share = pair_counts / (own + pair_weight(own)) if len(rows) else pair_counts
+        order = np.argsort(np.unique(pair << 32 | third, return_inverse=True)[1], kind="stable")
+        third, counts, pair = third[order], counts[order], pair[order]
+        return cls.of_pairs(first[rows], second[rows], context_counts[rows], pair, third, counts,
+                            pair_weight)
+
+    @classmethod
+    def of_pairs(cls, first: np.ndarray, second: np.ndarray, context_counts: np.ndarray,
+                 pair: np.ndarray, third: np.ndarray, counts: np.ndarray, pair_weight) -> Trie:
+        """From distinct pairs in order, and triples in order that name their pair by position."""
+        n = len(first)
+        new = np.ones(n, bool)
+        new[1:] = first[1:] != first[:-1]
+        root = np.cumsum(new) - 1
+        pair_counts = np.bincount(pair, counts, n)
+        own = context_counts.astype(float)
+        share = pair_counts / (own + pair_weight(own)) if n else pair_counts
         real = third > 0
-        kinds = np.bincount(pair[real], minlength=len(rows)).astype(float)
+        kinds = np.bincount(pair[real], minlength=n).astype(float)
         left = np.where(kinds > 0, kinds / np.maximum(pair_counts + kinds, 1), 1.0)
         triple_share = counts[real] / (pair_counts + kinds)[pair[real]]
-        pairs = Level.of(second[rows].astype(np.int64),
-                         np.searchsorted(root, np.arange(len(roots_at) + 1)),
+        pairs = Level.of(second, np.searchsorted(root, np.arange(int(new.sum()) + 1)),
                          {"share": quantised(share), "left": quantised(left)})
-        triples = Level.of(third[real].astype(np.int64),
-                           np.searchsorted(pair[real], np.arange(len(rows) + 1)),
+        triples = Level.of(third[real], np.searchsorted(pair[real], np.arange(n + 1)),
                            {"share": quantised(triple_share)})
-        return cls(EliasFano.of(first[rows][roots_at]), pairs, triples)
+        return cls(EliasFano.of(first[new]), pairs, triples)
 
     def pair(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Position of each pair, or -1."""
-        n = self.roots.n
-        everywhere = np.zeros(len(first), np.int64)
-        at = self.roots.successor(first.astype(np.int64), everywhere, everywhere + n)
-        known = at < n
-        root = np.full(len(first), -1)
-        root[known] = np.where(self.roots.access(at[known]) == first[known], at[known], -1)
-        return self.pairs.find(root, second)
+        """Position of each pair, or -1. Quick if equal first words stand together."""
+        new = np.ones(len(first), bool)
+        new[1:] = first[1:] != first[:-1]
+        words = first[new].astype(np.int64)
+        nowhere = np.zeros(len(words), np.int64)
+        root = self.roots.find(words, nowhere, nowhere + self.roots.n)
+        return self.pairs.find(root[np.cumsum(new) - 1], second)
 
     def save(self, folder: str) -> None:
         parts: dict[str, np.ndarray] = {}

@@ -40,14 +40,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skytrace.llm import text as T
-from skytrace.llm.eliasfano import Trie, distinct_rows, probabilities
+from skytrace.llm.eliasfano import Trie, distinct_rows, probabilities, quantised
 from skytrace.session import written
 
 ADDED = 0.1
 PAIR_WEIGHT, PAIR_POWER = 2.0, 0.8
-BLOCK_TOKENS = 2_500_000
+BLOCK_TOKENS = 1_500_000
 WORD_PART_BYTES = 32 << 20
-TRIE_TOKENS = 1_500_000
+TRIE_TOKENS = 1_000_000
 
 #: Stands for the end of a text.
 END = np.uint64(0x656E64)
@@ -194,14 +194,18 @@ class Block:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         numbers, counts = numbers[order], counts[order]
-        self.second = rank[tokens]
+        tokens = rank[tokens]
+        self.second = tokens.astype(np.int32)
         self.counts = counts
-        self.first = np.roll(self.second, 1)
-        self.first[self.starts] = self.second[last]
-        third = np.roll(self.second, -1) + 1
+        first = np.roll(tokens, 1)
+        first[self.starts] = tokens[last]
+        pair_keys, pair = np.unique(first << 32 | tokens, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        third = np.roll(tokens, -1) + 1
         third[last] = 0
-        pair_keys, self.pair = np.unique(self.first << 32 | self.second, return_inverse=True)
-        keys, self.triple = np.unique(self.pair << 32 | third, return_inverse=True)
+        keys, triple = np.unique(pair << 32 | third, return_inverse=True)
+        self.triple = triple.astype(np.int32)
+        del first, pair, triple, tokens, third
         learned = np.repeat(~held, self.sizes)
         self.triple_counts = np.bincount(self.triple[learned], minlength=len(keys))
         self.pair_of = keys >> 32
@@ -253,36 +257,58 @@ def _expanded(content: bytes) -> tuple[np.ndarray, ...]:
             np.repeat(np.arange(len(second)), per_pair), third, counts)
 
 
+def keyed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """One number for each pair of numbers, in the same order."""
+    if max(high.max(initial=0), low.max(initial=0)) >> 31:
+        high, low = (np.unique(x, return_inverse=True)[1] for x in (high, low))
+    return high << 32 | low
+
+
 def build(requests: list[bytes]) -> Trie:
     """The trie of everything that some blocks count."""
-    first, second, roots, third, counts = [], [], [], [], []
+    first, second, roots, pairs, third, counts, before = [], [], [], [], [], [], 0
     for content in requests:
         a, b, r, pair, c, n = _expanded(content)
-        seen = n > 0
-        pair = pair[seen]
-        for column, values in ((first, a[pair]), (second, b[pair]), (roots, r[pair]),
+        seen = np.flatnonzero(n)
+        for column, values in ((first, a), (second, b), (roots, r), (pairs, pair[seen] + before),
                                (third, c[seen]), (counts, n[seen])):
             column.append(values)
-    first, second, roots, third, counts = (
-        np.concatenate(x) for x in (first, second, roots, third, counts))
-    rows, number = distinct_rows(first, second, third)
-    return Trie.of(first[rows], second[rows], third[rows],
-                   np.bincount(number, counts, len(rows)), roots[rows], pair_weight)
+        before += len(a)
+    first, second, roots, pairs, third, counts = (
+        np.concatenate(x) for x in (first, second, roots, pairs, third, counts))
+    used = np.zeros(before, bool)
+    used[pairs] = True
+    _, at, number = np.unique(keyed(first[used], second[used]), return_index=True,
+                              return_inverse=True)
+    place = np.empty(before, np.int64)
+    place[used] = number
+    keys, number = np.unique(place[pairs] << 32 | third if not third.max(initial=0) >> 32 else
+                             keyed(place[pairs], third), return_inverse=True)
+    rows = np.empty(len(keys), np.int64)
+    rows[number] = np.arange(len(number))
+    return Trie.of_pairs(first[used][at], second[used][at], roots[used][at], place[pairs[rows]],
+                         third[rows], np.bincount(number, counts, len(keys)), pair_weight)
+
+
+def _once(root_counts: np.ndarray) -> np.ndarray:
+    """Code of the share of a pair that occurs once, which many do."""
+    own = root_counts.astype(float)
+    return quantised(1.0 / (own + pair_weight(own))).astype(np.int64)
 
 
 def _answer(trie: Trie, content: bytes) -> bytes:
-    first, second, _, pair, third, _ = _expanded(content)
+    first, second, root_counts, pair, third, _ = _expanded(content)
     at = trie.pair(first, second)
     known = at >= 0
     share, left = np.zeros(len(at), np.int64), np.ones(len(at), np.int64)
-    share[known] = trie.pairs.values["share"][at[known]]
+    # As the difference from the code of a single occurrence, which compresses to next to nothing.
+    share[known] = _once(root_counts[known]) - trie.pairs.values["share"][at[known]] + 1
     left[known] = trie.pairs.values["left"][at[known]]
-    real = third > 0
+    real = np.flatnonzero(third)
     below = trie.triples.find(at[pair[real]], third[real])
     found = np.zeros(len(third), np.int64)
-    codes = np.zeros(len(below), np.int64)
-    codes[below >= 0] = trie.triples.values["share"][below[below >= 0]]
-    found[real] = codes
+    real, below = real[below >= 0], below[below >= 0]
+    found[real] = trie.triples.values["share"][below]
     return pack(share, left, found)
 
 
@@ -307,6 +333,7 @@ def _scored(left: pa.Table, right: pa.Table, tries: int, quota: int, total: int,
         if row["kind"] == 1:
             pairs, triples = block.share(row["shard"])
             share[pairs], rest[pairs], triple_share[triples] = unpack(row["content"])
+    share = np.where(share > 0, _once(block.first_counts) - share + 1, 0)
     single = (block.counts + ADDED) / (total + ADDED * (known + 1))
     weight = pair_weight(block.first_counts.astype(float))
     back = weight / (block.first_counts + weight)
