@@ -8,7 +8,7 @@ import os
 import numpy as np
 
 #: Logarithms are stored as whole steps below zero, rounded away from it; 0 stands for nothing.
-STEPS_PER_DECADE = 2048
+STEPS_PER_DECADE = 256
 
 
 def quantised(p: np.ndarray) -> np.ndarray:
