@@ -291,7 +291,8 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     chosen = written(found.where(F.col("doc_id") == F.col("component_id"))
                      .groupBy(F.col("doc_id").alias("__kept"))
                      .agg(F.count(F.lit(1)).alias("rows")), "kept")
-    kept = docs.join(chosen, F.col("doc_id") == F.col("__kept"), "left_semi")
+    # The ids grow with the documents, so both sides are shuffled, however few they are today.
+    kept = docs.join(chosen.hint("merge"), F.col("doc_id") == F.col("__kept"), "left_semi")
     if not chosen.where(F.col("rows") > 1).isEmpty():
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
