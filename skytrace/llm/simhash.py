@@ -287,7 +287,11 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     Of several rows with that id one is kept. Rows without an id stay, as nothing names them.
     """
-    found = groups(docs, **options)
+    return keep_first(docs, groups(docs, **options))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` without the rows that another ``doc_id`` of their component in ``found`` stands for."""
     chosen = written(found.where(F.col("doc_id") == F.col("component_id"))
                      .groupBy(F.col("doc_id").alias("__kept"))
                      .agg(F.count(F.lit(1)).alias("rows")), "kept")
