@@ -58,7 +58,7 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return syncmers.compared(_table(spark, sf_dir, "documents"))
+    return syncmers.compared(_table(spark, sf_dir, "documents"), size=None)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

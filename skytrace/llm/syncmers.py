@@ -3,11 +3,16 @@
 A k-mer of ``K`` words is chosen when the smallest hash among its runs of ``S`` words lies at its
 first or last run. The choice depends on those words alone, so an unchanged passage yields the same
 anchors wherever it stands. An anchor is 40 bits of the k-mer's hash over its position (24 bits, in
-words); a fingerprint is the ``ANCHORS`` smallest anchors with different hashes, 16 hexadecimal
-digits each. Texts of fewer words, or without a chosen k-mer, have one anchor: their whole hash.
+words); a fingerprint is all anchors with different hashes, 16 hexadecimal digits each, so it grows
+with the text. Texts of fewer words, or without a chosen k-mer, have one anchor: their whole hash.
 
-Likeness of two fingerprints: of the ``ANCHORS`` smallest hashes of both together, the share that
-occurs in both at positions whose displacement is the usual one, give or take ``TOLERANCE`` words.
+Likeness of two fingerprints (``passages``): of all hashes of both together, the share that occurs
+in both and keeps its distance, give or take ``TOLERANCE`` words, to the common anchor before or
+behind it. Passages may be moved by any number of words, each by its own.
+
+A caller that wants fingerprints of bounded size can ask for the ``size`` smallest anchors. Their
+likeness is an estimate from the ``size`` smallest hashes of both, and it knows one displacement, the
+usual one. The registered query does not use it.
 
 Following documents: ids are dealt into ranges of about equal numbers by quantiles, each range is
 one window task, and the first row of each range also goes to the range before it. Texts move once.
@@ -87,12 +92,12 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
     return let(let(hashed, of), lambda a: F.when(F.size(a) > 0, a).otherwise(whole))
 
 
-def sketch(text: Column, k: int = K, s: int = S, size: int = ANCHORS) -> Column:
-    """The smallest anchors with different hashes; of equal hashes the first position."""
+def sketch(text: Column, k: int = K, s: int = S, size: int | None = ANCHORS) -> Column:
+    """The smallest anchors with different hashes, or all; of equal hashes the first position."""
     def smallest(ordered: Column) -> Column:
         different = F.filter(ordered, lambda a, i: (i == 0) | (
             _hash_of(a) != _hash_of(F.get(ordered, i - 1))))
-        return F.slice(different, 1, size)
+        return different if size is None else F.slice(different, 1, size)
 
     return let(F.sort_array(anchors(text, k, s)), smallest)
 
@@ -129,6 +134,37 @@ def likeness(a: Column, b: Column, size: int = ANCHORS, tolerance: int = TOLERAN
     return let(F.sort_array(F.concat(a, b)), shares)
 
 
+def passages(a: Column, b: Column, tolerance: int = TOLERANCE) -> Column:
+    """Share of anchors common to two whole sketches that keep their distance to a neighbour."""
+    low = F.lit((1 << POSITION_BITS) - 1)
+
+    def shares(merged: Column) -> Column:
+        pairs = F.filter(F.sequence(F.lit(1), F.size(merged) - 1), lambda i: _hash_of(
+            F.get(merged, i)) == _hash_of(F.get(merged, i - 1)))
+        return let(F.flatten(F.transform(
+            pairs, lambda i: F.array(F.get(merged, i - 1), F.get(merged, i)))), of_common)
+
+    def of_common(common: Column) -> Column:
+        # Both sides in order of hash: one anchor of each for every common hash.
+        places = F.zip_with(
+            F.array_intersect(a, common), F.array_intersect(b, common),
+            lambda x, y: F.shiftleft(_position_of(x), POSITION_BITS).bitwiseOR(_position_of(y)))
+        moved = F.transform(F.sort_array(places),
+                            lambda p: p.bitwiseAND(low) - F.shiftright(p, POSITION_BITS))
+        return let(moved, share)
+
+    def share(moved: Column) -> Column:
+        def near(d: Column, i: Column) -> Column:
+            return F.coalesce(F.abs(d - F.get(moved, i)) <= tolerance, F.lit(False))
+
+        kept = F.size(F.filter(moved, lambda d, i: near(d, i - 1) | near(d, i + 1)))
+        # One common anchor alone has no neighbour to disagree with.
+        kept = F.greatest(kept, F.least(F.size(moved), F.lit(1)))
+        return kept / (F.size(a) + F.size(b) - F.size(moved))
+
+    return let(F.sort_array(F.concat(a, b)), shares)
+
+
 def _ranges(docs: DataFrame, range_bytes: int) -> tuple[Column, int]:
     """The range number of ``doc_id``: quantiles, and equal steps between them."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -173,25 +209,33 @@ def with_next(docs: DataFrame, columns: list[str], range_bytes: int = RANGE_BYTE
     return following.where(~F.col("guest")).drop("guest", "range_no")
 
 
-def compared(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def compared(docs: DataFrame, range_bytes: int = RANGE_BYTES,
+             size: int | None = ANCHORS) -> DataFrame:
     """Each document's fingerprint beside its edited text's and the next document's.
 
-    The edited text has its last half replaced by as many code points of the next document.
+    The edited text has its last half replaced by as many code points of the next document. With
+    ``size`` ``None`` fingerprints are whole and ``passages`` compares them.
     """
     own = docs.select(F.col("doc_id").cast("bigint"),
                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    with_sketch = own.withColumn("sketch", sketch(F.col("text")))
-    rows = with_next(with_sketch, ["text", "sketch"], range_bytes)
+    # Fingerprints may be as long as texts: the next one is computed again rather than moved.
+    rows = with_next(own, ["text"], range_bytes)
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half),
                       F.substring(F.col("next_text"), F.lit(1), half))
     rows = rows.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"),
-                       "sketch", "next_sketch")
-    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                       "sketch", sketch(F.col("edited")).alias("edited_sketch"), "next_sketch")
+                       "text", "next_text")
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *[
+        sketch(F.col(text), size=size).alias(name) for text, name in
+        (("text", "sketch"), ("edited", "edited_sketch"), ("next_text", "next_sketch"))])
+
+    def near(other: str) -> Column:
+        if size is None:
+            return passages(F.col("sketch"), F.col(other))
+        return likeness(F.col("sketch"), F.col(other), size)
+
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", digits(F.col("sketch")).alias("fingerprint"),
         digits(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        near("edited_sketch").alias("near_edited"), near("next_sketch").alias("near_next"))

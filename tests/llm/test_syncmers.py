@@ -108,3 +108,48 @@ def test_odd_rows(spark):
     only = Y.compared(documents(spark, [(4, "a b c d e f g h")])).first()
     assert only.near_next == 1.0
     assert Y.compared(documents(spark, [])).count() == 0
+
+
+def whole_sketch(text):
+    smallest = {}
+    for a in sorted(plain_anchors(text)):
+        smallest.setdefault(a >> 24, a)
+    return [smallest[k] for k in sorted(smallest)]
+
+
+def whole_likeness(a, b):
+    places = [{x >> 24: x & 0xFFFFFF for x in s} for s in (a, b)]
+    moved = [q - p for p, q in sorted((p, places[1][h]) for h, p in places[0].items()
+                                      if h in places[1])]
+    kept = sum(any(abs(moved[i] - moved[j]) <= 8 for j in (i - 1, i + 1) if 0 <= j < len(moved))
+               for i in range(len(moved)))
+    return max(kept, min(len(moved), 1)) / (len(a) + len(b) - len(moved))
+
+
+def test_registered_query_keeps_all_anchors(spark, tmp_path):
+    from skytrace.llm import registry
+
+    texts = [t for t in invented(60)] + ["", "a b", " ".join(f"v{i * i % 977}" for i in range(3000))]
+    documents(spark, list(enumerate(texts))).write.parquet(str(tmp_path / "documents.parquet"))
+    by = {r.doc_id: r for r in registry.op8_syncmers(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        following = texts[(i + 1) % len(texts)]
+        half = len(text) // 2
+        own, other, after = map(whole_sketch, (
+            text, text[:len(text) - half] + following[:half], following))
+        assert (by[i].fingerprint, by[i].edited_fingerprint) == (digits(own), digits(other))
+        assert by[i].near_edited == pytest.approx(whole_likeness(own, other))
+        assert by[i].near_next == pytest.approx(whole_likeness(own, after))
+
+
+def test_passages_of_long_texts(spark):
+    a, b, shared = ([f"{name}{i * 7919 % 100_003}" for i in range(n)]
+                    for name, n in (("a", 20_000), ("b", 5_000), ("s", 60)))
+    inserted = a[:10_000] + [f"new{i}" for i in range(12)] + a[10_000:]
+    swapped = a[12_000:] + a[:12_000]
+    rows = [(" ".join(x), " ".join(y)) for x, y in (
+        (a[:15_000] + shared + a[15_000:], b[:100] + shared + b[100:]), (a, inserted), (a, swapped))]
+    frame = spark.createDataFrame(rows, "a string, b string")
+    whole = [Y.sketch(F.col(c), size=None) for c in "ab"]
+    near = [r[0] for r in frame.select(Y.passages(*whole)).collect()]
+    assert near[0] * 13_000 > 20 and near[1] > 0.99 and near[2] > 0.99
