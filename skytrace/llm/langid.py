@@ -6,6 +6,10 @@ the dictionaries, and every block is compressed with each dictionary. The langua
 dictionary gives the fewest bytes over the whole text wins. A text is rejected when the winner saves
 hardly any of the bytes that the runner-up needs.
 
+A few words take so few bytes that languages tie by rounding. Below ``SHORT`` bytes the text is also
+compressed behind each of up to ``SLICES`` slices of a dictionary, and what it adds there on average
+counts as much as its own size: a measure in parts of a byte.
+
 The dictionaries are fitted on a bounded sample: ``per_language`` documents of each language, the
 ones with the smallest hash in each of as many slots, ``passage`` characters of each from a place
 that the hash selects. Everything else reads whole texts.
@@ -34,6 +38,9 @@ PASSAGE = 1500
 MAX_LANGUAGES = 128
 LEVEL = 3
 CHUNK = 4096
+SHORT = 200
+SLICES = 32
+SLICE = 4096
 MIN_MARGIN = 0.005
 #: Bits of a compressed size overstate the evidence, as blocks share words.
 TEMPERATURE = 0.05
@@ -98,16 +105,46 @@ def sizes(text: bytes, model: tuple[tuple[str, bytes], ...]) -> np.ndarray:
                      for c in _compressors(model)], np.int64)
 
 
+@lru_cache(maxsize=2)
+def _contexts(model: tuple[tuple[str, bytes], ...]) -> list[list[tuple[bytes, int]]]:
+    """Slices of each language's dictionary with their compressed sizes.
+
+    Equally many of each language; none if a dictionary is shorter than one slice.
+    """
+    count = min(SLICES, min(len(content) for _, content in model) // SLICE)
+    made = []
+    for _, content in model:
+        begins = [len(content) * i // count for i in range(count)]
+        slices = [content[b:b + SLICE] + b" " for b in begins]
+        made.append([(c, len(_plain().compress(c))) for c in slices])
+    return made
+
+
+@lru_cache(maxsize=1)
+def _plain() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
+
+
+def measured(text: bytes, model: tuple[tuple[str, bytes], ...]) -> np.ndarray:
+    """Sizes in bytes; of a short text in parts of a byte."""
+    found = sizes(text, model).astype(float)
+    if len(text) >= SHORT or not _contexts(model)[0]:
+        return found
+    added = [np.mean([len(_plain().compress(c + text)) - n for c, n in slices])
+             for slices in _contexts(model)]
+    return (found + added) / 2
+
+
 def decide(text: bytes, model: tuple[tuple[str, bytes], ...],
            min_margin: float) -> tuple[str, float, float, bool]:
     """Language, score, share of bytes saved against the runner-up, whether that is enough."""
     if not text or not model:
         return UNDETERMINED, 0.0, 0.0, False
-    found = sizes(text, model)
+    found = measured(text, model)
     best = int(found.argmin())
     rest = np.delete(found, best)
     margin = 1.0 - float(found[best]) / float(rest.min()) if len(rest) else 1.0
-    weights = np.exp2(-8 * TEMPERATURE * (found - found[best]).astype(float))
+    weights = np.exp2(-8 * TEMPERATURE * (found - found[best]))
     return model[best][0], float(1 / weights.sum()), margin, margin >= min_margin
 
 

@@ -53,3 +53,21 @@ def test_nothing_to_learn_from(spark):
     docs = documents(spark, [(1, "abc")]).withColumn("lang", F.lit(None).cast("string"))
     assert [r.lang_pred for r in L.evaluated(docs).collect()] == ["und"]
     assert L.evaluated(documents(spark, [])).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no test tables")
+def test_short_documents_stay(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    plain = L.letters(F.col("text"))
+    short = docs.withColumn("n", F.size(F.split(plain, " "))).where(
+        (plain != "") & (F.col("n") < 6)).select("doc_id", "lang")
+    # Openings of longer documents, so that there are enough of them.
+    openings = docs.where(F.length(plain) > 300).select(
+        (F.col("doc_id") + 10**9).alias("doc_id"), "lang",
+        F.concat_ws(" ", F.slice(F.split(plain, " "), 20, 3)).alias("text"))
+    rows = L.predict(openings, L.fit(docs)).join(openings, "doc_id").collect()
+    assert len(rows) > 500
+    assert sum(r.accepted for r in rows) / len(rows) >= 0.95
+    assert sum(r.lang == r.lang_pred for r in rows) / len(rows) >= 0.8
+    kept = L.keep_identified(docs).join(short, "doc_id")
+    assert kept.count() >= 0.9 * short.count() > 0
