@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytrace.llm import (
-    chat, decontaminate, langid, lm, packing, quality, simhash, syncmers, tokencount, toxicity,
+    alignment, chat, decontaminate, exactdedup, langid, lm, packing, quality, simhash, syncmers,
+    tokencount, toxicity, whitening,
 )
 
 
@@ -70,6 +71,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(_table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.groups(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.counted(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(_table(spark, sf_dir, "embeddings"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -82,6 +96,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_syncmers": op8_syncmers,
         "op9_decontamination": op9_decontamination,
         "op10_simhash": op10_simhash,
+        "op11_exact_dedup": op11_exact_dedup,
+        "op12_alignment": op12_alignment,
+        "op13_whitening": op13_whitening,
     }
 
 
@@ -107,5 +124,18 @@ from turns group by conv_id
 """
 
 
+OP11_SQL = r"""
+with texts as (
+    select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))
+        as text_sha256
+    from documents
+)
+select doc_id, min(doc_id) over of_text as keep_id, count(*) over of_text as group_size,
+    row_number() over (partition by text_sha256 order by doc_id nulls last) = 1 as kept,
+    text_sha256
+from texts window of_text as (partition by text_sha256)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op6_chat": OP6_SQL}
+    return {"op6_chat": OP6_SQL, "op11_exact_dedup": OP11_SQL}
