@@ -1,101 +1,78 @@
 """Least-squares polynomials of velocity on altitude, one per flight and phase.
 
-Every slice of a phase is reduced to a small triangular matrix (QR of its design matrix with the
-velocities appended). The triangles of a phase are stacked and solved by singular values. This has
-the accuracy of a direct solve on all rows, yet no task sees more than one slice.
+A fit is a sum of polynomials that are orthogonal over the altitudes of the phase itself. Each is
+found from the two before it by sums over the rows of the phase, so a fit is a chain of aggregates:
+
+* of a phase that one task can hold, a chain of window sums over one partitioning by phase;
+* of a larger one (the sliced layout), one pass over a narrow table for each degree, with
+  aggregation before the shuffle, whatever the number of rows.
+
+What the first fit leaves over is projected once more, which removes the errors of polynomials that
+are only nearly orthogonal: fitted values agree with exact arithmetic to 11 digits and more, also
+where the matrix of powers is close to singular. Where a polynomial vanishes on all altitudes the
+phase admits no higher degree.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skytrace.functions import numeric
 from skytrace.functions.numeric import round_half_away, ticks
-from skytrace.operators.layout import SLICE, WHOLE, Layout
+from skytrace.operators.layout import WHOLE, Layout, hinted
 from skytrace.operators.phases import FEWEST_ROWS, PHASE, VELOCITY_PLACES
+from skytrace.session import written
 
-# Largest degree, singular-value cutoff and smallest usable altitude half-range.
+# Largest degree and smallest usable altitude half-range.
 MAX_DEGREE = 13
-SINGULAR_CUTOFF = 1e-14
 FLAT = 1e-15
-
-NUMBERS = T.ArrayType(T.DoubleType())
+#: A polynomial whose sum of squares is this small against the one before it vanishes.
+VANISHING = 1e-24
+#: Decimals beyond which a fitted value is arithmetic noise, and decimals that are published.
+SOUND_PLACES, CURVE_PLACES = 9, 6
 
 PAIRS = {
     "fts": ("altitude_ft", "velocity_z_fts"),
     "ms": ("altitude_m", "velocity_z_ms"),
 }
-
-
-@F.pandas_udf(NUMBERS)
-def _triangle(x: pd.Series, y: pd.Series, degree: pd.Series) -> pd.Series:
-    """Row-major upper triangle of ``[1, x, x^2, ..., y]``."""
-    def one(xs, ys, d):
-        design = np.vander(xs, int(d) + 1, increasing=True)
-        return np.linalg.qr(np.column_stack([design, ys]), mode="r").ravel()
-
-    return pd.Series([
-        None if xs is None or ys is None or pd.isna(d) else one(xs, ys, d)
-        for xs, ys, d in zip(x, y, degree)
-    ], dtype=object)
-
-
-@F.pandas_udf(NUMBERS)
-def _solve(triangles: pd.Series, degree: pd.Series) -> pd.Series:
-    """Coefficients, lowest power first, from the stacked triangles of a phase."""
-    def one(parts, d):
-        width = int(d) + 2
-        stacked = np.concatenate([np.asarray(p, dtype=float).reshape(-1, width) for p in parts])
-        try:
-            left, size, right = np.linalg.svd(stacked[:, :-1], full_matrices=False)
-        except np.linalg.LinAlgError:
-            return np.zeros(width - 1)
-        use = size > SINGULAR_CUTOFF
-        scaled = np.where(use, (left.T @ stacked[:, -1]) / np.where(use, size, 1.0), 0.0)
-        return right.T @ scaled
-
-    return pd.Series([
-        None if parts is None or len(parts) == 0 or pd.isna(d) else one(parts, d)
-        for parts, d in zip(triangles, degree)
-    ], dtype=object)
+#: One polynomial: its recurrence, its weight in the fit and its sum of squares.
+TERMS = "array<struct<shift: double, ratio: double, weight: double, norm: double>>"
 
 
 def velocity_spread(df: DataFrame, part=tuple(PHASE), pairs: Mapping = PAIRS,
                     max_degree: int = MAX_DEGREE) -> DataFrame:
     """Per phase and unit: number of values, mean, sample variance, variance-to-mean ratio and
     the polynomial degree it calls for."""
-    return _spread(
-        df.groupBy(*part).agg(*[c for n, p in pairs.items() for c in _sums(n, *p)]),
-        pairs, max_degree,
-    ).drop(*[f"{n}_{s}" for n in pairs for s in _SUMS])
-
-
-_SUMS = ("rows", "x_rows", "sum", "squares", "x_min", "x_max", "whole", "largest", "avg", "m2")
-
-
-def _sums(name: str, x: str, y: str) -> list[Column]:
-    amount = ticks(F.col(y), VELOCITY_PLACES)
-    spread = F.coalesce(F.var_samp(y), F.lit(0.0)) * (F.count(y) - 1).cast("double")
-    return [
-        F.count(F.lit(1)).alias(f"{name}_rows"),
-        F.count(x).alias(f"{name}_x_rows"),
-        F.count(y).alias(f"{name}_n"),
-        F.try_sum(amount).alias(f"{name}_sum"),
-        F.try_sum(F.try_multiply(amount, amount)).alias(f"{name}_squares"),
-        F.min(F.when(F.col(y).isNotNull(), numeric.has_places(
-            F.col(y), VELOCITY_PLACES).cast("int"))).alias(f"{name}_whole"),
-        F.max(F.abs(numeric.scaled(F.col(y), VELOCITY_PLACES))).alias(f"{name}_largest"),
-        F.avg(y).alias(f"{name}_avg"),
-        spread.alias(f"{name}_m2"),
-        F.min(x).alias(f"{name}_x_min"),
-        F.max(x).alias(f"{name}_x_max"),
-    ]
+    sums = _sums(pairs)
+    totals = df.groupBy(*part).agg(*[c.alias(name) for name, c in sums.items()])
+    return _spread(totals, pairs, max_degree).drop(
+        *[name for name in sums if name not in {f"{n}_n" for n in pairs}])
+
+
+def _sums(pairs: Mapping) -> dict[str, Column]:
+    """Aggregates over a phase; whole sums are exact, the others take their place where none are."""
+    out = {}
+    for name, (x, y) in pairs.items():
+        amount = ticks(F.col(y), VELOCITY_PLACES)
+        out |= {f"{name}_{what}": value for what, value in {
+            "rows": F.count(F.lit(1)),
+            "x_rows": F.count(x),
+            "n": F.count(y),
+            "sum": F.try_sum(amount),
+            "squares": F.try_sum(F.try_multiply(amount, amount)),
+            "whole": F.min(F.when(F.col(y).isNotNull(), numeric.has_places(
+                F.col(y), VELOCITY_PLACES).cast("int"))),
+            "largest": F.max(F.abs(numeric.scaled(F.col(y), VELOCITY_PLACES))),
+            "avg": F.avg(y),
+            "var": F.var_samp(y),
+            "x_min": F.min(x),
+            "x_max": F.max(x),
+        }.items()}
+    return out
 
 
 def _spread(df: DataFrame, pairs: Mapping, max_degree: int) -> DataFrame:
@@ -108,7 +85,7 @@ def _spread(df: DataFrame, pairs: Mapping, max_degree: int) -> DataFrame:
                 n, total, VELOCITY_PLACES)).otherwise(F.col(f"{name}_avg"))),
             f"{name}_variance": F.when(exact, numeric.variance_from_sums(
                 n, total, squares, VELOCITY_PLACES)).otherwise(
-                F.when(n > 1, F.col(f"{name}_m2") / (n - 1).cast("double"))),
+                F.when(n > 1, F.col(f"{name}_var"))),
         })
         df = df.withColumn(f"{name}_vmr", numeric.variance_to_mean(
             F.col(f"{name}_variance"), F.col(f"{name}_mean")))
@@ -117,71 +94,143 @@ def _spread(df: DataFrame, pairs: Mapping, max_degree: int) -> DataFrame:
     return df
 
 
-def fits(df: DataFrame, layout: Layout = WHOLE, part=tuple(PHASE), pairs: Mapping = PAIRS,
-         max_degree: int = MAX_DEGREE) -> DataFrame:
-    """One row per phase with the coefficients of each fit over the altitude mapped to [-1, 1].
+_FIGURES = ("n", "vmr", "degree", "fit_degree", "middle", "half")
 
-    A phase with any unknown velocity, or fewer than three rows, has no fit.
-    """
-    slices = [*part, SLICE] if layout.sliced else list(part)
-    points = {
-        name: F.collect_list(F.when(F.col(x).isNotNull() & F.col(y).isNotNull(),
-                                    F.struct(F.col(x).alias("x"), F.col(y).alias("y"))))
-        for name, (x, y) in pairs.items()
-    }
-    df = df.groupBy(*slices).agg(
-        *[c for n, p in pairs.items() for c in _sums(n, *p)],
-        *[c.alias(f"{n}_points") for n, c in points.items()],
-    )
-    combine = {"x_min": "min", "x_max": "max", "_whole": "min", "_largest": "max"}
-    names = [f"{n}_{s}" for n in pairs for s in (*_SUMS, "n") if s not in ("avg", "m2")]
+
+def _points(df: DataFrame, layout: Layout, part, pairs: Mapping, max_degree: int) -> DataFrame:
+    """Rows as points ``u`` (altitude in [-1, 1]) and ``y`` of every unit, with the figures of their
+    phase. Only phases that are fitted have points; the others keep one row's worth of nulls each."""
+    columns = [*part, *dict.fromkeys(c for pair in pairs.values() for c in pair)]
+    df = df.select(*columns)
+    sums = _sums(pairs)
     if layout.sliced:
-        # Totals over the slice summaries of a phase: few rows, so a plain window. Spreads around
-        # the slices' means are first moved to the mean of the phase.
-        df = df.withColumns({f"{n}_own": F.col(f"{n}_n").cast("double") for n in pairs})
-        df = WHOLE.scan(df, part, [SLICE], totals={
-            c: (next((h for s, h in combine.items() if c.endswith(s)), "sum"), F.col(c))
-            for c in names
-        } | {f"{n}_all": ("sum", F.col(f"{n}_own") * F.col(f"{n}_avg")) for n in pairs})
-        df = df.withColumns({f"{n}_all": F.col(f"{n}_all") / F.col(f"{n}_n") for n in pairs})
-        df = WHOLE.scan(df, part, [SLICE], totals={f"{n}_m2": ("sum", F.col(f"{n}_m2") + F.col(
-            f"{n}_own") * F.pow(F.col(f"{n}_avg") - F.col(f"{n}_all"), 2)) for n in pairs})
-        df = df.withColumns({f"{n}_avg": F.col(f"{n}_all") for n in pairs})
+        totals = df.groupBy(*part).agg(*[c.alias(name) for name, c in sums.items()])
+        df = df.join(hinted(written(totals, "phases")), list(part))
+    else:
+        phase = W.partitionBy(*part)
+        df = df.withColumns({name: c.over(phase) for name, c in sums.items()})
     df = _spread(df, pairs, max_degree)
-    out = []
-    complete = F.lit(True)
-    for name in pairs:
+    complete, made, kept = F.lit(True), {}, []
+    for name, (x, y) in pairs.items():
         # A unit is fitted only where the units before it are.
-        complete = complete & (
-            (F.col(f"{name}_x_rows") == F.col(f"{name}_n")) & (F.col(f"{name}_n") >= FEWEST_ROWS)
-        )
-        middle = (F.col(f"{name}_x_min") + F.col(f"{name}_x_max")) / 2.0
-        half = (F.col(f"{name}_x_max") - F.col(f"{name}_x_min")) / 2.0
-        df = df.withColumns({
-            f"{name}_fit_degree": F.when(complete, F.least(
-                F.col(f"{name}_degree"), (F.col(f"{name}_n") - 1).cast("int"))),
-            f"{name}_middle": middle, f"{name}_half": half,
-        })
-        ordered = F.array_sort(f"{name}_points")
-        mapped = F.transform(
-            ordered, lambda p: unit_range(p.x, F.col(f"{name}_middle"), F.col(f"{name}_half"))
-        )
-        df = df.withColumn(f"{name}_triangle", _triangle(
-            mapped, F.transform(ordered, lambda p: p.y), F.col(f"{name}_fit_degree")))
-        out += [f"{name}_{s}" for s in ("n", "vmr", "degree", "fit_degree", "middle", "half")]
-    # Stacked in order of slice, so that repeated runs agree to the last digit.
-    place = F.col(SLICE) if layout.sliced else F.lit(0)
-    return (
-        df.groupBy(*part)
-        .agg(*[F.first(c).alias(c) for c in out],
-             *[F.array_sort(F.collect_list(F.when(F.col(f"{n}_triangle").isNotNull(), F.struct(
-                 place.alias("place"), F.col(f"{n}_triangle").alias("rows")))))
-               .alias(f"{n}_triangles") for n in pairs])
-        .select(*part, *out, *[
-            _solve(F.transform(f"{n}_triangles", lambda t: t["rows"]),
-                   f"{n}_fit_degree").alias(f"{n}_coefficients") for n in pairs
-        ])
-    )
+        n, low, high = (F.col(f"{name}_{s}") for s in ("n", "x_min", "x_max"))
+        complete = (complete & (F.col(f"{name}_rows") == n) & (F.col(f"{name}_x_rows") == n)
+                    & (n >= FEWEST_ROWS))
+        degree = F.when(complete, F.least(F.col(f"{name}_degree"), (n - 1).cast("int")))
+        middle, half = (low + high) / 2.0, (high - low) / 2.0
+        made |= {f"{name}_fit_degree": degree, f"{name}_middle": middle, f"{name}_half": half,
+                 f"{name}_u": F.when(complete, unit_range(F.col(x), middle, half)),
+                 f"{name}_y": F.col(y)}
+        kept += [f"{name}_{s}" for s in (*_FIGURES, "u", "y")]
+    return df.withColumns(made).select(*part, *kept)
+
+
+def _term(name: str, degree: int, norm: Column, moment: Column, product: Column,
+          before: Column) -> Column:
+    """The polynomial of a degree from its sums; one that vanishes, and all behind it, are zero."""
+    alive = F.coalesce((norm > before * F.lit(VANISHING)) & ~F.isnan(norm), F.lit(False))
+    zero = F.lit(0.0)
+    ratio = norm / before if degree else zero
+    used = alive & (F.col(f"{name}_fit_degree") >= degree)
+    return F.struct(
+        F.when(alive, moment / norm).otherwise(zero).alias("shift"),
+        F.when(alive, ratio).otherwise(zero).alias("ratio"),
+        F.when(used, product / norm).otherwise(zero).alias("weight"),
+        F.when(alive, norm).alias("norm"))
+
+
+def _level(name: str, p: Column) -> dict[str, Column]:
+    """The three sums that decide the next polynomial."""
+    u = F.col(f"{name}_u")
+    return {f"{name}_norm": F.sum(p * p), f"{name}_moment": F.sum(u * p * p),
+            f"{name}_product": F.sum(F.col(f"{name}_y") * p)}
+
+
+def _extended(df: DataFrame, names, degree: int) -> DataFrame:
+    """Add the next polynomial to the terms of every unit, from the sums of ``_level``."""
+    last = {n: F.element_at(f"{n}_terms", -1) for n in names}
+    infinite = F.lit(float("inf"))
+    return df.withColumns({f"{n}_terms": F.concat(f"{n}_terms", F.array(_term(
+        n, degree, *[F.col(f"{n}_{s}") for s in ("norm", "moment", "product")],
+        F.coalesce(last[n]["norm"], infinite) if degree else F.lit(1.0)))) for n in names})
+
+
+def _in_windows(points: DataFrame, part, names, max_degree: int) -> DataFrame:
+    """Points with the terms of their phase, by window sums over one partitioning."""
+    phase = W.partitionBy(*part)
+    df = points.withColumns({f"{n}_{c}": v for n in names for c, v in {
+        "p": F.when(F.col(f"{n}_fit_degree").isNotNull(), F.lit(1.0)), "q": F.lit(0.0),
+        "terms": F.array().cast(TERMS)}.items()})
+    for degree in range(max_degree + 1):
+        sums = {k: c.over(phase) for n in names for k, c in _level(n, F.col(f"{n}_p")).items()}
+        df = _extended(df.withColumns(sums), names, degree).drop(*sums)
+        df = df.withColumns({c: v for n in names for c, v in {
+            f"{n}_p": _next(n, F.col(f"{n}_p"), F.col(f"{n}_q"),
+                            F.element_at(f"{n}_terms", -1)),
+            f"{n}_q": F.col(f"{n}_p")}.items()})
+    return df.drop(*[f"{n}_{c}" for n in names for c in ("p", "q")])
+
+
+def _next(name: str, p: Column, q: Column, term: Column) -> Column:
+    return (F.col(f"{name}_u") - term["shift"]) * p - term["ratio"] * q
+
+
+def _with_basis(df: DataFrame, names, count: int) -> DataFrame:
+    """Add the values ``p0`` to ``p<count - 1>`` of the polynomials whose terms the rows carry."""
+    for degree in range(count):
+        df = df.withColumns({f"{n}_p{degree}": F.when(
+            F.col(f"{n}_fit_degree").isNotNull(), F.lit(1.0)) if degree == 0 else _next(
+            n, F.col(f"{n}_p{degree - 1}"), F.col(f"{n}_p{degree - 2}") if degree > 1 else
+            F.lit(0.0), F.get(f"{n}_terms", F.lit(degree - 1))) for n in names})
+    return df
+
+
+def _in_passes(points: DataFrame, part, names, max_degree: int) -> DataFrame:
+    """Points with the terms of their phase, by one aggregation for each degree."""
+    figures = [f"{n}_fit_degree" for n in names]
+    terms = written(points.groupBy(*part).agg(*[F.max(c).alias(c) for c in figures]).withColumns(
+        {f"{n}_terms": F.array().cast(TERMS) for n in names}), "terms")
+    narrow = points.drop(*figures)
+    for degree in range(max_degree + 1):
+        rows = _with_basis(narrow.join(hinted(terms), list(part)), names, degree + 1)
+        sums = {k: c for n in names for k, c in _level(n, F.col(f"{n}_p{degree}")).items()}
+        totals = rows.groupBy(*part).agg(*[c.alias(k) for k, c in sums.items()])
+        terms = written(_extended(terms.join(totals, list(part)), names, degree).drop(*sums),
+                        "terms")
+    return narrow.join(hinted(terms), list(part))
+
+
+def fits(df: DataFrame, layout: Layout = WHOLE, part=tuple(PHASE), pairs: Mapping = PAIRS,
+         max_degree: int = MAX_DEGREE) -> DataFrame:
+    """One row per phase with the terms of each fit over the altitude mapped to [-1, 1].
+
+    A phase with any unknown velocity, or fewer than three rows, has no fit (null terms). In the
+    sliced layout ``df`` is read once for each degree and should be a written table.
+    """
+    names = list(pairs)
+    points = _points(df, layout, part, pairs, max_degree)
+    rows = (_in_passes(written(points, "points"), part, names, max_degree) if layout.sliced
+            else _in_windows(points, part, names, max_degree))
+    # What is left over is projected again.
+    left = {n: F.col(f"{n}_y") - evaluate(F.col(f"{n}_terms"), F.col(f"{n}_u")) for n in names}
+    based = _with_basis(rows.withColumns({f"{n}_left": c for n, c in left.items()}), names,
+                        max_degree + 1)
+    figures = [f"{n}_{s}" for n in names for s in _FIGURES]
+    totals = based.groupBy(*part).agg(
+        *[F.first(c).alias(c) for c in (*figures, *[f"{n}_terms" for n in names])],
+        *[F.array(*[F.sum(F.col(f"{n}_left") * F.col(f"{n}_p{k}"))
+                    for k in range(max_degree + 1)]).alias(f"{n}_more") for n in names])
+
+    def corrected(name: str) -> Column:
+        used = F.col(f"{name}_fit_degree")
+        return F.transform(f"{name}_terms", lambda t, i: F.struct(
+            t["shift"].alias("shift"), t["ratio"].alias("ratio"),
+            (t["weight"] + F.coalesce(F.when(i <= used, F.get(f"{name}_more", i) / t["norm"]),
+                                      F.lit(0.0))).alias("weight"), t["norm"].alias("norm")))
+
+    return totals.select(*part, *figures, *[
+        F.when(F.col(f"{n}_fit_degree").isNotNull(), corrected(n)).alias(f"{n}_terms")
+        for n in names])
 
 
 def unit_range(x: Column, middle: Column, half: Column) -> Column:
@@ -189,20 +238,33 @@ def unit_range(x: Column, middle: Column, half: Column) -> Column:
     return F.when(half < FLAT, F.lit(0.0)).otherwise((x - middle) / half)
 
 
-def evaluate(coefficients: Column, u: Column) -> Column:
-    """Value of a polynomial given by ascending coefficients."""
-    return F.aggregate(F.reverse(coefficients), F.lit(0.0), lambda value, c: value * u + c)
+def evaluate(terms: Column, u: Column) -> Column:
+    """Value of a fit; null without one."""
+    start = F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("q"), F.lit(0.0).alias("value"))
+
+    def step(state: Column, t: Column) -> Column:
+        share = F.when(t["weight"] != 0, t["weight"] * state["p"]).otherwise(F.lit(0.0))
+        return F.struct(
+            ((u - t["shift"]) * state["p"] - t["ratio"] * state["q"]).alias("p"),
+            state["p"].alias("q"), (state["value"] + share).alias("value"))
+
+    return F.aggregate(terms, start, step, lambda state: state["value"])
 
 
 def with_curves(df: DataFrame, fitted: DataFrame, part=tuple(PHASE),
                 pairs: Mapping = PAIRS) -> DataFrame:
-    """Add the fitted velocity at the altitude of each row (null without a fit)."""
-    needed = [f"{n}_{s}" for n in pairs for s in ("coefficients", "middle", "half")]
+    """Add the fitted velocity at the altitude of each row (null without a fit).
+
+    A fit through all points often ends in exactly half a unit of the last decimal published:
+    arithmetic noise is removed first, so that it never decides.
+    """
+    needed = [f"{n}_{s}" for n in pairs for s in ("terms", "middle", "half")]
     df = df.join(fitted.select(*part, *needed), list(part), "left")
     curves = {
-        f"velocity_curvefit_{n}": round_half_away(evaluate(
-            F.col(f"{n}_coefficients"),
-            unit_range(F.col(x), F.col(f"{n}_middle"), F.col(f"{n}_half"))), 6)
+        f"velocity_curvefit_{n}": round_half_away(round_half_away(evaluate(
+            F.col(f"{n}_terms"),
+            unit_range(F.col(x), F.col(f"{n}_middle"), F.col(f"{n}_half"))),
+            SOUND_PLACES), CURVE_PLACES)
         for n, (x, _) in pairs.items()
     }
     return df.withColumns(curves).drop(*needed)

@@ -484,15 +484,22 @@ def _curves(degree: int = 13) -> None:
         SELECT *, {sums.format(0)} FROM (SELECT *, 1.0::DOUBLE AS p0 FROM points WHERE fit) {group}"""
     for k in range(1, degree + 1):
         earlier = f" - s{k - 1} / s{k - 2} * p{k - 2}" if k > 1 else ""
+        before = f"s{k - 2}" if k > 1 else "1"
         STEPS[f"poly{k}"] = f"""
         SELECT *, {sums.format(k)} FROM (
-            SELECT *, CASE WHEN s{k - 1} > 1e-18
+            SELECT *, CASE WHEN s{k - 1} > 1e-24 * {before}
                            THEN (u - t{k - 1} / s{k - 1}) * p{k - 1}{earlier} END AS p{k}
             FROM poly{k - 1}) {group}"""
+    used = [f"{k} <= degree AND s{k} > 1e-24 * {f's{k - 1}' if k else '1'}"
+            for k in range(degree + 1)]
     terms = " + ".join(
-        f"CASE WHEN {k} <= degree AND s{k} > 1e-18 THEN c{k} / s{k} * p{k} ELSE 0 END"
-        for k in range(degree + 1))
-    STEPS["fitted"] = f"SELECT *, round({terms} + 1.3e-7, 3) + 0 AS curve FROM poly{degree}"
+        f"CASE WHEN {u} THEN c{k} / s{k} * p{k} ELSE 0 END" for k, u in enumerate(used))
+    # The residuals are projected once more, and noise goes before the rounding to six decimals.
+    more = " + ".join(
+        f"CASE WHEN {u} THEN sum(more * p{k}) OVER g / s{k} * p{k} ELSE 0 END"
+        for k, u in enumerate(used))
+    STEPS["once"] = f"SELECT *, {terms} AS part, y - ({terms}) AS more FROM poly{degree}"
+    STEPS["fitted"] = f"SELECT *, round(round(part + {more}, 9), 6) + 0 AS curve FROM once {group}"
     both = ", ".join(
         f"""(SELECT curve FROM fitted f WHERE f.unit = '{unit}' AND f.flight = r.flight
              AND f.callsign = r.callsign AND f.packettime = r.packettime)
@@ -540,9 +547,10 @@ FINAL = {
     "beacon_velocity": f"""SELECT {KEY}, timedelta_s, velocity_x_degs, velocity_y_degs,
         velocity_z_fts, velocity_z_ms, vert_rate_ftmin FROM deltas""",
     "air_density": """SELECT flight, info, pressure_pa, temperature_k,
-        round(pressure_pa / (287.05::DOUBLE * temperature_k) / 515.3788199999872::DOUBLE, 8)
-            AS airdensity_slugs,
-        round(pressure_pa / (287.05::DOUBLE * temperature_k), 8) AS airdensity_kgm3
+        CASE WHEN temperature_k > 0 THEN round(pressure_pa / (287.05::DOUBLE * temperature_k)
+            / 515.3788199999872::DOUBLE, 8) + 0 END AS airdensity_slugs,
+        CASE WHEN temperature_k > 0 THEN
+            round(pressure_pa / (287.05::DOUBLE * temperature_k), 8) + 0 END AS airdensity_kgm3
         FROM ex""",
     "apex_flag": f"SELECT {KEY}, row_no, apex_ft, apex_m, ascending FROM apexed",
     "straggler_trim": f"SELECT {KEY}, row_no, timedelta_s, altitude_ft FROM no_stragglers",

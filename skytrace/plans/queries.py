@@ -28,7 +28,6 @@ from skytrace.sources import readers, writers
 Step = Callable[[DataFrame, Layout], DataFrame]
 ROW = ["flight", "callsign", "packettime"]
 CURVES = ["velocity_curvefit_fts", "velocity_curvefit_ms"]
-CURVE_PLACES = 3
 #: Width of a slice in the queries that slice every user.
 SLICED_MS = 6 * 3_600_000
 
@@ -98,18 +97,11 @@ def _numbered(events: DataFrame, layout: Layout) -> DataFrame:
         clock.epoch_millis(F.col("ts")), ("ts", F.col("event_id")))
 
 
-def _comparable(curve):
-    """A fitted value cut to the decimals on which any solver agrees. Fits through all points often
-    end in exactly half a unit; the shift keeps the last digit of the solver from deciding."""
-    return round_half_away(curve + F.lit(1.3e-7), CURVE_PLACES)
-
-
 def _curved(events: DataFrame, layout: Layout) -> DataFrame:
-    """Tracked rows with their fitted curves, cut to the decimals on which any solver agrees."""
+    """Tracked rows with their fitted curves."""
     # Fits and rows meet again, so the rows are written once rather than computed twice.
     rows = written(_tracked(events, layout), "tracked")
-    curved = polyfit.with_curves(rows, plan.fitted(rows, layout))
-    return curved.withColumns({c: _comparable(F.col(c)) for c in CURVES})
+    return polyfit.with_curves(rows, plan.fitted(rows, layout))
 
 
 # Queries ---------------------------------------------------------------------------------------
@@ -242,18 +234,17 @@ def polyfit_curve(events, layout):
     # Fits and rows meet again, so the rows are written once rather than computed twice.
     rows = written(_phases(events, layout).select(*ROW, "flight_phase", *pairs), "phases")
     curved = polyfit.with_curves(rows, plan.fitted(rows, layout))
-    return curved.select(*ROW, "flight_phase", *[
-        _comparable(F.col(c)).alias(c) for c in CURVES])
+    return curved.select(*ROW, "flight_phase", *CURVES)
 
 
 def polyfit_line(events, layout):
     fitted = polyfit.fits(_phases(events, layout), layout, max_degree=1)
-    c = F.col("fts_coefficients")
-    slope = F.get(c, 1) / F.col("fts_half")
+    level, rise = F.get("fts_terms", F.lit(0)), F.get("fts_terms", F.lit(1))
+    slope = rise["weight"] / F.col("fts_half")
+    start = level["weight"] - rise["weight"] * level["shift"] - slope * F.col("fts_middle")
     return fitted.select(
-        "flight", "flight_phase",
-        round_half_away(slope, 9).alias("slope"),
-        round_half_away(F.get(c, 0) - slope * F.col("fts_middle"), 6).alias("intercept"))
+        "flight", "flight_phase", round_half_away(slope, 9).alias("slope"),
+        round_half_away(start, 6).alias("intercept"))
 
 
 def burst_altitude(events, layout):

@@ -1,6 +1,7 @@
 """Trimming, phases, regimes, fits and features on hand-made flights."""
 
 import datetime as dt
+import decimal
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from skytrace.operators import (
     columns, features, kinematics, metadata, phases, polyfit, regimes, trim,
 )
-from skytrace.operators.layout import WHOLE
+from skytrace.operators.layout import WHOLE, Sliced
 
 START = dt.datetime(2024, 1, 1, 13, 0)
 
@@ -199,6 +200,59 @@ def test_fit_of_few_or_equal_altitudes(spark):
                    ("flat", 2.0), ("two", None), ("two", None)]
 
 
+@pytest.mark.parametrize("spread", ["even", "crowded", "random", "repeated"])
+@pytest.mark.parametrize("layout", [WHOLE, Sliced(3000)], ids=["whole", "sliced"])
+def test_fits_against_exact_arithmetic(spark, layout, spread):
+    draw = np.random.default_rng(11)
+    sizes = {"F14": 14, "F15": 15, "F40": 40, "F200": 200}
+    points = {}
+    for flight, n in sizes.items():
+        x = {"even": np.linspace(0, 1, n), "crowded": np.exp(-np.linspace(0, 3, n)),
+             "random": draw.uniform(0, 1, n),
+             "repeated": draw.integers(0, 9, n) / 8}[spread] * 1e5
+        points[flight] = x, np.round(draw.normal(20, 4, n), 8)
+    rows = [{"t": i, "flight": f, "altitude_ft": float(a), "velocity_z_fts": float(v),
+             "altitude_m": float(a), "velocity_z_ms": float(v)}
+            for f, (xs, ys) in points.items() for i, (a, v) in enumerate(zip(xs, ys))]
+    df = frame(spark, rows, flight_phase="descending").cache()
+    fitted = polyfit.fits(layout.place(df, ["flight"], F.unix_millis(
+        F.col("packettime").cast("timestamp"))), layout)
+    found = {}
+    for r in polyfit.with_curves(df, fitted).orderBy("flight", "packettime").collect():
+        found.setdefault(r.flight, []).append(r.velocity_curvefit_fts)
+    degrees = {r.flight: r.fts_fit_degree for r in fitted.collect()}
+    for flight, (xs, ys) in points.items():
+        expected = exact_fit(xs, ys, degrees[flight])
+        assert np.abs(np.array(found[flight]) - expected).max() < 5.1e-7
+
+
+def exact_fit(xs, ys, degree):
+    """Fitted values in 60-digit arithmetic, by orthogonalisation of powers."""
+    with decimal.localcontext() as context:
+        context.prec = 60
+        low, high = (decimal.Decimal(float(v)) for v in (min(xs), max(xs)))
+        u = [(2 * decimal.Decimal(float(x)) - low - high) / (high - low) for x in xs]
+        rest, out, basis = [decimal.Decimal(float(y)) for y in ys], [decimal.Decimal(0)] * len(u), []
+        for k in range(degree + 1):
+            p = [v ** k if k else decimal.Decimal(1) for v in u]
+            for q, size in basis:
+                share = sum(a * b for a, b in zip(p, q)) / size
+                p = [a - share * b for a, b in zip(p, q)]
+            size = sum(a * a for a in p)
+            if size > decimal.Decimal("1e-40"):
+                basis.append((p, size))
+                share = sum(a * b for a, b in zip(rest, p)) / size
+                out = [o + share * a for o, a in zip(out, p)]
+        return np.array([float(o) for o in out])
+
+
+def test_fits_use_neither_python_nor_arrays_of_points(spark):
+    rows = [{"t": i, "altitude_ft": 100.0 * i, "velocity_z_fts": 1.0 + i % 3, "altitude_m": 30.0 * i,
+             "velocity_z_ms": 0.3} for i in range(20)]
+    text = polyfit.fits(frame(spark, rows, flight_phase="ascending"))._jdf.queryExecution().toString()
+    assert "ArrowEval" not in text and "BatchEvalPython" not in text and "collect_list" not in text
+
+
 def mapped(spark, altitudes, descent):
     return phases.split_phases(climb(spark, altitudes, descent, reynolds_transition=""))
 

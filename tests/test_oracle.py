@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 
-FOLDER = os.environ.get("SKYTRACE_TEST_DIR", "/root/testdata/sf0.001")
+FOLDER = os.environ.get("SKYTRACE_TEST_DIR", "/root/testdata/sf0.01")
 STATEMENTS = contract.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
