@@ -26,7 +26,6 @@ import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, partial
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -51,6 +50,8 @@ PAIRS_A_ROW = 4096
 #: Distinct stretches, and their bytes, beyond which a task begins to remember anew.
 REMEMBERED = 400_000
 REMEMBERED_BYTES = 16 << 20
+#: Stretches that are encoded at once.
+TOGETHER = 20
 
 ALIGNED = "doc_id bigint, a_ids array<int>, b_ids array<int>, a_cuts array<int>, b_cuts array<int>"
 BLOCKS = ("block bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
@@ -127,25 +128,41 @@ class Encoders:
         self.lengths = [np.array(list(map(len, table)), np.int64) for table in self.bytes]
         self.kept = Stretches()
 
+    def _encoded(self, texts: list[str]) -> list[list[list[int]]]:
+        """Ids of A and of B for texts that begin with the space that B adds by itself."""
+        return [[e.ids for e in self.first.encode_batch(texts, add_special_tokens=False)],
+                self.second.encode([t[1:] for t in texts], num_threads=1)]
+
+    def _whole(self, side: int, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes[side].__getitem__, ids))
+
     def _add(self, new: list[bytes]) -> None:
-        """Encode stretches, each of which begins with the space that B adds by itself."""
-        kept, texts = self.kept, [s.decode() for s in new]
-        found = [[e.ids for e in self.first.encode_batch(texts, add_special_tokens=False)],
-                 self.second.encode([t[1:] for t in texts], num_threads=1)]
-        sound = np.ones(len(new), bool)
+        """Encode stretches; neighbours go through the tokenizers together, as no token reaches
+        across. Those that do not come back whole are encoded one by one."""
+        together = [new[i:i + TOGETHER] for i in range(0, len(new), TOGETHER)]
+        joined = [b"".join(own) for own in together]
+        found = self._encoded([j.decode() for j in joined])
+        whole = [self._whole(0, a) == self._whole(1, b) == j for j, a, b in zip(joined, *found)]
+        self._keep([s for own, w in zip(together, whole) if w for s in own],
+                   [[i for ids, w in zip(side, whole) if w for i in ids] for side in found])
+        for stretch in [s for own, w in zip(together, whole) if not w for s in own]:
+            found = [side[0] for side in self._encoded([stretch.decode()])]
+            sound = self._whole(0, found[0]) == self._whole(1, found[1]) == stretch
+            # Ids of a text that does not come back are of no use.
+            self._keep([stretch], found if sound else [[], []], sound)
+
+    def _keep(self, new: list[bytes], ids: list[list[int]], sound: bool = True) -> None:
+        """Remember stretches and their ids, which follow each other without a gap."""
+        kept = self.kept
         sizes = np.fromiter(map(len, new), np.int64, len(new))
-        for side, ids in enumerate(found):
-            flat = np.fromiter(chain.from_iterable(ids), np.int32)
-            ends = _offsets(list(map(len, ids)))
-            own = np.diff(_offsets(self.lengths[side][flat])[ends])
-            sound &= own == sizes
-            table = self.bytes[side]
-            if not sound.all() or b"".join(map(table.__getitem__, flat.tolist())) != b"".join(new):
-                sound &= [b"".join([table[i] for i in i_d]) == s for i_d, s in zip(ids, new)]
+        for side in (0, 1):
+            flat = np.array(ids[side], np.int32)
+            ends = np.cumsum(self.lengths[side][flat])
+            at = np.searchsorted(ends, np.cumsum(sizes), "right") if sound else np.zeros(1, np.int64)
             kept.ids[side] = np.concatenate((kept.ids[side], flat))
-            kept.ends[side] = np.concatenate((kept.ends[side], kept.ends[side][-1] + ends[1:]))
+            kept.ends[side] = np.concatenate((kept.ends[side], kept.ends[side][-1] + at))
         kept.number.update(zip(new, range(len(kept.sound), len(kept.sound) + len(new))))
-        kept.sound = np.concatenate((kept.sound, sound))
+        kept.sound = np.concatenate((kept.sound, np.full(len(new), sound)))
         kept.bytes += int(sizes.sum())
 
     def encode(self, data: np.ndarray,
