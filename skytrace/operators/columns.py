@@ -63,10 +63,16 @@ def flat_columns(df: DataFrame, map_keys: Mapping[str, Sequence[str]] | None = N
 def map_key_names(df: DataFrame, column: str) -> list[str]:
     """Every key in use in a map column, sorted: the union over all rows.
 
-    Only distinct names reach the driver; they become columns, so there are as many as columns.
+    One aggregate merges the keys of rows, then of tasks; only the union reaches the driver, as one
+    schema with as many fields as there are columns afterwards.
     """
-    names = df.select(F.explode(F.map_keys(column)).alias("k")).distinct()
-    return sorted(row.k for row in names.collect())
+    keys = F.map_keys(F.col(f"`{column}`").cast("map<string,string>"))
+    marks = F.map_from_arrays(keys, F.transform(keys, lambda k: F.lit(True)))
+    found = df.agg(F.schema_of_variant_agg(F.to_variant_object(marks)).alias("found")).first()[0]
+    if not found or not found.startswith("OBJECT<"):
+        return []
+    kind = T.DataType.fromDDL(f"struct<{found[len('OBJECT<'):-1]}>")
+    return sorted(f.name for f in kind.fields)
 
 
 def flatten(df: DataFrame, map_keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:

@@ -70,7 +70,9 @@ def earliest_payloads(matched: DataFrame) -> DataFrame:
     """The earliest received copy of each payload text of a flight, across all its beacons.
 
     An aggregate, so copies collapse before the shuffle. The payload is the grouping key and only
-    the text before it travels beside it; ``raw`` is put together again afterwards.
+    the text before it travels beside it; ``raw`` is put together again afterwards. A first row of
+    texts has no fixed width, so Spark aggregates sorted rows; the leading hash makes that a radix
+    sort of numbers instead of a comparison of texts.
     """
     rest = [c for c in PACKET_COLUMNS if c not in ("tm", "callsign", "raw")]
     first = F.min(F.struct("tm", "callsign", "header", *rest)).alias("first")
@@ -80,7 +82,7 @@ def earliest_payloads(matched: DataFrame) -> DataFrame:
             telemetry.header(F.col("raw")).alias("header"),
             *[c for c in PACKET_COLUMNS if c != "raw"],
         )
-        .groupBy("flight", "info")
+        .groupBy(F.xxhash64("flight", "info").alias("slot"), "flight", "info")
         .agg(first)
         .select("flight", "info", "first.*")
         .withColumn("raw", F.concat("header", "info"))

@@ -52,7 +52,11 @@ def position_rows(extracted: DataFrame) -> DataFrame:
 
 def first_per_time(df: DataFrame, keys=tuple(BEACON), time: str = "packettime",
                    prefer=("receivetime", "info")) -> DataFrame:
-    """One row per key and time, the first by ``prefer``; copies collapse before the shuffle."""
+    """One row per key and time, the first by ``prefer``.
+
+    Copies collapse before a shuffle; rows that are placed by a part of ``keys`` already are not
+    shuffled, and come out in the order that scans by key and time need.
+    """
     grouping = [*keys, time]
     rest = [c for c in df.columns if c not in grouping and c not in prefer]
     first = F.min(F.struct(*prefer, *rest)).alias("first")

@@ -98,8 +98,8 @@ _FIGURES = ("n", "vmr", "degree", "fit_degree", "middle", "half")
 
 
 def _points(df: DataFrame, layout: Layout, part, pairs: Mapping, max_degree: int) -> DataFrame:
-    """Rows as points ``u`` (altitude in [-1, 1]) and ``y`` of every unit, with the figures of their
-    phase. Only phases that are fitted have points; the others keep one row's worth of nulls each."""
+    """A row per row and unit: ``u`` (altitude in [-1, 1]) and ``y``, with the figures of the phase.
+    Points of a phase that is not fitted are null."""
     columns = [*part, *dict.fromkeys(c for pair in pairs.values() for c in pair)]
     df = df.select(*columns)
     sums = _sums(pairs)
@@ -110,7 +110,7 @@ def _points(df: DataFrame, layout: Layout, part, pairs: Mapping, max_degree: int
         phase = W.partitionBy(*part)
         df = df.withColumns({name: c.over(phase) for name, c in sums.items()})
     df = _spread(df, pairs, max_degree)
-    complete, made, kept = F.lit(True), {}, []
+    complete, units = F.lit(True), []
     for name, (x, y) in pairs.items():
         # A unit is fitted only where the units before it are.
         n, low, high = (F.col(f"{name}_{s}") for s in ("n", "x_min", "x_max"))
@@ -118,86 +118,86 @@ def _points(df: DataFrame, layout: Layout, part, pairs: Mapping, max_degree: int
                     & (n >= FEWEST_ROWS))
         degree = F.when(complete, F.least(F.col(f"{name}_degree"), (n - 1).cast("int")))
         middle, half = (low + high) / 2.0, (high - low) / 2.0
-        made |= {f"{name}_fit_degree": degree, f"{name}_middle": middle, f"{name}_half": half,
-                 f"{name}_u": F.when(complete, unit_range(F.col(x), middle, half)),
-                 f"{name}_y": F.col(y)}
-        kept += [f"{name}_{s}" for s in (*_FIGURES, "u", "y")]
-    return df.withColumns(made).select(*part, *kept)
+        units.append(F.struct(
+            F.lit(name).alias("unit"), n.alias("n"), F.col(f"{name}_vmr").alias("vmr"),
+            F.col(f"{name}_degree").alias("degree"), degree.alias("fit_degree"),
+            middle.alias("middle"), half.alias("half"),
+            F.when(complete, unit_range(F.col(x), middle, half)).alias("u"),
+            F.when(complete, F.col(y)).alias("y")))
+    return df.select(*part, F.explode(F.array(*units)).alias("point")).select(*part, "point.*")
 
 
-def _term(name: str, degree: int, norm: Column, moment: Column, product: Column,
-          before: Column) -> Column:
+_FIGURES = ("n", "vmr", "degree", "fit_degree", "middle", "half")
+
+
+def _term(degree: int, before: Column) -> Column:
     """The polynomial of a degree from its sums; one that vanishes, and all behind it, are zero."""
+    norm = F.col("norm")
     alive = F.coalesce((norm > before * F.lit(VANISHING)) & ~F.isnan(norm), F.lit(False))
-    zero = F.lit(0.0)
-    ratio = norm / before if degree else zero
-    used = alive & (F.col(f"{name}_fit_degree") >= degree)
+    used = alive & (F.col("fit_degree") >= degree)
+
+    def where(found: Column, value: Column) -> Column:
+        return F.when(found, value).otherwise(F.lit(0.0))
+
     return F.struct(
-        F.when(alive, moment / norm).otherwise(zero).alias("shift"),
-        F.when(alive, ratio).otherwise(zero).alias("ratio"),
-        F.when(used, product / norm).otherwise(zero).alias("weight"),
-        F.when(alive, norm).alias("norm"))
+        where(alive, F.col("moment") / norm).alias("shift"),
+        where(alive, norm / before if degree else F.lit(0.0)).alias("ratio"),
+        where(used, F.col("product") / norm).alias("weight"), F.when(alive, norm).alias("norm"))
 
 
-def _level(name: str, p: Column) -> dict[str, Column]:
+def _sums_with(p: Column) -> dict[str, Column]:
     """The three sums that decide the next polynomial."""
-    u = F.col(f"{name}_u")
-    return {f"{name}_norm": F.sum(p * p), f"{name}_moment": F.sum(u * p * p),
-            f"{name}_product": F.sum(F.col(f"{name}_y") * p)}
+    return {"norm": F.sum(p * p), "moment": F.sum(F.col("u") * p * p),
+            "product": F.sum(F.col("y") * p)}
 
 
-def _extended(df: DataFrame, names, degree: int) -> DataFrame:
-    """Add the next polynomial to the terms of every unit, from the sums of ``_level``."""
-    last = {n: F.element_at(f"{n}_terms", -1) for n in names}
-    infinite = F.lit(float("inf"))
-    return df.withColumns({f"{n}_terms": F.concat(f"{n}_terms", F.array(_term(
-        n, degree, *[F.col(f"{n}_{s}") for s in ("norm", "moment", "product")],
-        F.coalesce(last[n]["norm"], infinite) if degree else F.lit(1.0)))) for n in names})
+def _next(p: Column, q: Column, term: Column, u: Column) -> Column:
+    return (u - term["shift"]) * p - term["ratio"] * q
 
 
-def _in_windows(points: DataFrame, part, names, max_degree: int) -> DataFrame:
+def _in_windows(points: DataFrame, own, max_degree: int) -> DataFrame:
     """Points with the terms of their phase, by window sums over one partitioning."""
-    phase = W.partitionBy(*part)
-    df = points.withColumns({f"{n}_{c}": v for n in names for c, v in {
-        "p": F.when(F.col(f"{n}_fit_degree").isNotNull(), F.lit(1.0)), "q": F.lit(0.0),
-        "terms": F.array().cast(TERMS)}.items()})
+    phase, base = W.partitionBy(*own), points.columns
+    infinite = F.lit(float("inf"))
+    df = points.select(*base, F.lit(1.0).alias("p"), F.lit(0.0).alias("q"),
+                       F.array().cast(TERMS).alias("terms"), F.lit(1.0).alias("before"))
     for degree in range(max_degree + 1):
-        sums = {k: c.over(phase) for n in names for k, c in _level(n, F.col(f"{n}_p")).items()}
-        df = _extended(df.withColumns(sums), names, degree).drop(*sums)
-        df = df.withColumns({c: v for n in names for c, v in {
-            f"{n}_p": _next(n, F.col(f"{n}_p"), F.col(f"{n}_q"),
-                            F.element_at(f"{n}_terms", -1)),
-            f"{n}_q": F.col(f"{n}_p")}.items()})
-    return df.drop(*[f"{n}_{c}" for n in names for c in ("p", "q")])
-
-
-def _next(name: str, p: Column, q: Column, term: Column) -> Column:
-    return (F.col(f"{name}_u") - term["shift"]) * p - term["ratio"] * q
-
-
-def _with_basis(df: DataFrame, names, count: int) -> DataFrame:
-    """Add the values ``p0`` to ``p<count - 1>`` of the polynomials whose terms the rows carry."""
-    for degree in range(count):
-        df = df.withColumns({f"{n}_p{degree}": F.when(
-            F.col(f"{n}_fit_degree").isNotNull(), F.lit(1.0)) if degree == 0 else _next(
-            n, F.col(f"{n}_p{degree - 1}"), F.col(f"{n}_p{degree - 2}") if degree > 1 else
-            F.lit(0.0), F.get(f"{n}_terms", F.lit(degree - 1))) for n in names})
-    return df
+        df = df.select("*", *[c.over(phase).alias(k) for k, c in _sums_with(F.col("p")).items()])
+        df = df.select(*base, "p", "q", "terms", _term(degree, F.col("before")).alias("term"))
+        df = df.select(
+            *base, _next(F.col("p"), F.col("q"), F.col("term"), F.col("u")).alias("p"),
+            F.col("p").alias("q"), F.concat("terms", F.array("term")).alias("terms"),
+            F.coalesce("term.norm", infinite).alias("before"))
+    return df.select(*base, "terms")
 
 
-def _in_passes(points: DataFrame, part, names, max_degree: int) -> DataFrame:
+def _in_passes(points: DataFrame, own, max_degree: int) -> DataFrame:
     """Points with the terms of their phase, by one aggregation for each degree."""
-    figures = [f"{n}_fit_degree" for n in names]
-    terms = written(points.groupBy(*part).agg(*[F.max(c).alias(c) for c in figures]).withColumns(
-        {f"{n}_terms": F.array().cast(TERMS) for n in names}), "terms")
-    narrow = points.drop(*figures)
+    terms = written(points.groupBy(*own).agg(F.max("fit_degree").alias("fit_degree")).select(
+        "*", F.array().cast(TERMS).alias("terms")), "terms")
+    narrow = points.drop("fit_degree")
+    infinite = F.lit(float("inf"))
     for degree in range(max_degree + 1):
-        rows = _with_basis(narrow.join(hinted(terms), list(part)), names, degree + 1)
-        sums = {k: c for n in names for k, c in _level(n, F.col(f"{n}_p{degree}")).items()}
-        totals = rows.groupBy(*part).agg(*[c.alias(k) for k, c in sums.items()])
-        terms = written(_extended(terms.join(totals, list(part)), names, degree).drop(*sums),
-                        "terms")
-    return narrow.join(hinted(terms), list(part))
+        rows = narrow.join(hinted(terms), own)
+        p = F.aggregate("terms", F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("q")),
+                        lambda s, t: F.struct(_next(s["p"], s["q"], t, F.col("u")).alias("p"),
+                                              s["p"].alias("q")), lambda s: s["p"])
+        totals = rows.select(*own, "u", "y", p.alias("p")).groupBy(*own).agg(
+            *[c.alias(k) for k, c in _sums_with(F.col("p")).items()])
+        last = F.coalesce(F.element_at("terms", -1)["norm"], infinite) if degree else F.lit(1.0)
+        terms = written(terms.join(totals, own).select(
+            *own, "fit_degree", F.concat("terms", F.array(_term(degree, last))).alias("terms")),
+            "terms")
+    return narrow.join(hinted(terms), own)
+
+
+def _basis(terms: Column, u: Column) -> Column:
+    """Values of all polynomials at a point."""
+    start = F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("q"),
+                     F.array().cast("array<double>").alias("values"))
+    return F.aggregate(terms, start, lambda s, t: F.struct(
+        _next(s["p"], s["q"], t, u).alias("p"), s["p"].alias("q"),
+        F.concat(s["values"], F.array(s["p"])).alias("values")), lambda s: s["values"])
 
 
 def fits(df: DataFrame, layout: Layout = WHOLE, part=tuple(PHASE), pairs: Mapping = PAIRS,
@@ -207,30 +207,25 @@ def fits(df: DataFrame, layout: Layout = WHOLE, part=tuple(PHASE), pairs: Mappin
     A phase with any unknown velocity, or fewer than three rows, has no fit (null terms). In the
     sliced layout ``df`` is read once for each degree and should be a written table.
     """
-    names = list(pairs)
-    points = _points(df, layout, part, pairs, max_degree)
-    rows = (_in_passes(written(points, "points"), part, names, max_degree) if layout.sliced
-            else _in_windows(points, part, names, max_degree))
+    points, own = _points(df, layout, part, pairs, max_degree), [*part, "unit"]
+    rows = (_in_passes(written(points, "points"), own, max_degree) if layout.sliced
+            else _in_windows(points, own, max_degree))
     # What is left over is projected again.
-    left = {n: F.col(f"{n}_y") - evaluate(F.col(f"{n}_terms"), F.col(f"{n}_u")) for n in names}
-    based = _with_basis(rows.withColumns({f"{n}_left": c for n, c in left.items()}), names,
-                        max_degree + 1)
-    figures = [f"{n}_{s}" for n in names for s in _FIGURES]
-    totals = based.groupBy(*part).agg(
-        *[F.first(c).alias(c) for c in (*figures, *[f"{n}_terms" for n in names])],
-        *[F.array(*[F.sum(F.col(f"{n}_left") * F.col(f"{n}_p{k}"))
-                    for k in range(max_degree + 1)]).alias(f"{n}_more") for n in names])
-
-    def corrected(name: str) -> Column:
-        used = F.col(f"{name}_fit_degree")
-        return F.transform(f"{name}_terms", lambda t, i: F.struct(
-            t["shift"].alias("shift"), t["ratio"].alias("ratio"),
-            (t["weight"] + F.coalesce(F.when(i <= used, F.get(f"{name}_more", i) / t["norm"]),
-                                      F.lit(0.0))).alias("weight"), t["norm"].alias("norm")))
-
-    return totals.select(*part, *figures, *[
-        F.when(F.col(f"{n}_fit_degree").isNotNull(), corrected(n)).alias(f"{n}_terms")
-        for n in names])
+    u, values = F.col("u"), F.col("values")
+    left = rows.select("*", _basis(F.col("terms"), u).alias("values"),
+                       (F.col("y") - evaluate(F.col("terms"), u)).alias("left"))
+    more = F.array(*[F.sum(F.col("left") * F.get(values, F.lit(k)))
+                     for k in range(max_degree + 1)])
+    found = left.groupBy(*own).agg(
+        *[F.first(c).alias(c) for c in (*_FIGURES, "terms")], more.alias("more"))
+    corrected = F.transform("terms", lambda t, i: F.struct(
+        t["shift"].alias("shift"), t["ratio"].alias("ratio"),
+        (t["weight"] + F.coalesce(F.when(i <= F.col("fit_degree"), F.get("more", i) / t["norm"]),
+                                  F.lit(0.0))).alias("weight"), t["norm"].alias("norm")))
+    found = found.withColumn("terms", F.when(F.col("fit_degree").isNotNull(), corrected))
+    return found.groupBy(*part).agg(*[
+        F.first(F.when(F.col("unit") == name, F.col(c)), ignorenulls=True).alias(f"{name}_{c}")
+        for name in pairs for c in (*_FIGURES, "terms")])
 
 
 def unit_range(x: Column, middle: Column, half: Column) -> Column:

@@ -697,13 +697,44 @@ FINAL = {
     "sink_roundtrip_parquet": PUBLISHED.replace("SELECT flight, ", "SELECT "),
     "sink_roundtrip_csv": PUBLISHED.replace("SELECT flight, ", "SELECT "),
     "sink_roundtrip_json": PUBLISHED.replace("SELECT flight, ", "SELECT "),
-    "metadata_documents": """
-        SELECT s.flight, fl.day, s.numpoints, s.flighttime, s.flighttime_secs, s.maxaltitude_ft,
-               coalesce(b.feet, 0)::DOUBLE AS burst_ft,
-               CAST((SELECT count(*) FROM regime r WHERE r.flight = s.flight
-                     AND r.reynolds_transition <> '') AS INTEGER) AS transitions,
-               s."landing_location.altitude_ft" AS landing_altitude_ft
-        FROM summary s JOIN fl ON s.flight = fl.flight LEFT JOIN burst b ON b.flight = s.flight""",
+}
+
+
+_RECORDS = FINAL["metadata_flatten"]
+_TABLES = {
+    "csv": {"csv/packets": "expanding", "csv/metadata": "summary"},
+    "json": {"json/flights": "summary"},
+    "parquet": {"parquet": "expanding"},
+    "xlsx": {"xlsx/metadata": "pairs", "xlsx/phases": "expanding"},
+    "kml": {"kml/captions": "captioned", "kml/paths": "phases", "kml/waypoints": "nearest",
+            "kml/points": "points_found"},
+}
+_MERGED = [f"{kind}/flights_metadata" for kind in ("json", "csv", "xlsx")]
+STEPS["records"] = _RECORDS
+STEPS["pairs"] = """
+        SELECT flight_id, name, value
+        FROM (SELECT flight AS flight_id, COLUMNS(*)::VARCHAR FROM records)
+        UNPIVOT INCLUDE NULLS (value FOR name IN (COLUMNS(* EXCLUDE flight_id)))"""
+STEPS["phases"] = "SELECT DISTINCT flight, flight_phase FROM vertices"
+STEPS["captioned"] = FINAL["flight_captions"]
+STEPS["points_found"] = FINAL["points_of_interest"]
+FINAL |= {
+    "metadata_documents": _RECORDS,
+    "declared_inputs": PUBLISHED,
+    "packet_table_scan": FINAL["beacon_window_join"],
+    "flight_list_read": FINAL["flight_list_flat"],
+    "named_flight": f"""SELECT * FROM ({FINAL['beacon_window_join']})
+        WHERE flight = (SELECT min(flight) FROM fl)""",
+    "sink_metadata_csv": _RECORDS,
+    "sink_workbook": "SELECT lower(flight_id) AS flight, name, value FROM pairs",
+    "sink_workbook_phases": PUBLISHED.replace("SELECT flight, ", "SELECT "),
+    "consolidated_array": """
+        SELECT *, row_number() OVER (ORDER BY lower(flight)) - 1 AS place FROM records""",
+    "output_tables": " UNION ALL ".join(
+        f"""SELECT '{kind}' AS kind, '{table}' AS "table", count(*) AS "rows" FROM {step}"""
+        for kind in ("all",) for table, step in (
+            *(pair for tables in _TABLES.values() for pair in tables.items()),
+            *((m, "summary") for m in _MERGED))),
 }
 
 

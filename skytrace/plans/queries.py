@@ -16,6 +16,7 @@ from skytrace.functions.numeric import round_half_away
 from skytrace.operators import (
     columns, extract, features, kinematics, metadata, phases, polyfit, regimes, trim,
 )
+from skytrace.operators.numbering import numbered
 from skytrace.operators.layout import (
     DEFAULT_SERIES_ROWS, DEFAULT_SLICE_MS, Layout, balanced,
 )
@@ -372,19 +373,111 @@ def sink_roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metadata_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Consolidated metadata: documents read back without their packets, by flight name."""
+    """Consolidated metadata: all fields of documents read back without their packets."""
     path = scratch_path(spark, "metadata")
+    writers.write_metadata_json(over_events(spark, sf_dir, _metadata), path)
+    return columns.flatten(readers.read_flight_documents(spark, path))
 
-    def kept(events, layout):
-        return _metadata(events, layout)
 
-    writers.write_metadata_json(over_events(spark, sf_dir, kept), path)
-    stored = readers.read_flight_documents(spark, path)
-    return stored.select(
-        "flight", "day", "numpoints", "flighttime", "flighttime_secs", "maxaltitude_ft",
-        F.col("detected_burst.burst_ft").alias("burst_ft"),
-        F.size("reynolds_transitions").alias("transitions"),
-        F.col("landing_location.altitude_ft").alias("landing_altitude_ft"))
+# From declared inputs to outputs ---------------------------------------------------------------
+
+def _declared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A packet table by day and a flight list in JSON, written from the events and read."""
+    configure(spark)
+    events = source.read_events(spark, sf_dir)
+    packets, flights = scratch_path(spark, "packet_table"), scratch_path(spark, "flight_list")
+    readers.write_packet_table(source.packets(events), packets)
+    records = source.flights(events)
+    writers.write_json_array(
+        records.select(F.to_json(F.struct("*")).alias("value"), "flight"), flights,
+        [F.col("flight")])
+    return readers.read_packets(spark, packets), readers.read_flights(spark, flights)
+
+
+def declared_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packet table and flight list through the complete job."""
+    return plan.process(*_declared(spark, sf_dir)).packets
+
+
+def packet_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets of listed flights from a table that is pruned by day."""
+    found = extract.match_packets(*_declared(spark, sf_dir))
+    return found.withColumn("tm", F.col("tm").cast("timestamp_ntz"))
+
+
+def flight_list_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flight list as flat columns, with the weight names found in it."""
+    return writers.flat_flight_list(_declared(spark, sf_dir)[1])
+
+
+def named_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets of one flight, asked for by its name in lower case."""
+    packets, flights = _declared(spark, sf_dir)
+    first = flights.select(F.lower(F.min("flight")).alias("name")).first().name
+    found = extract.match_packets(packets, extract.flight_named(flights, first))
+    return found.withColumn("tm", F.col("tm").cast("timestamp_ntz"))
+
+
+def sink_metadata_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flattened records written as CSV and read back in their types."""
+    path = scratch_path(spark, "csv")
+    records = written(over_events(spark, sf_dir, _metadata), "metadata")
+    writers.write_metadata_csv(records, path)
+    flat = columns.flatten(records)
+    reader = spark.read.schema(flat.schema).option("header", True).option("escape", '"')
+    return reader.csv(path)
+
+
+def sink_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first sheet of every flight's workbook: names and texts."""
+    path = scratch_path(spark, "xlsx")
+    results = plan.process(*_declared(spark, sf_dir))
+    writers.write_workbook_tables(results.metadata, results.packets, path)
+    return spark.read.parquet(f"{path}/metadata")
+
+
+def sink_workbook_phases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packets on the ascent and descent sheets."""
+    path = scratch_path(spark, "xlsx")
+    results = plan.process(*_declared(spark, sf_dir))
+    writers.write_workbook_tables(results.metadata, results.packets, path)
+    return _standard(spark.read.parquet(f"{path}/phases"), results.packets)
+
+
+def consolidated_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consolidated JSON array after a run over half of the flights and one over them all, in
+    several files, with the place of each record."""
+    path = scratch_path(spark, "array")
+    records = written(over_events(spark, sf_dir, _metadata), "metadata")
+    even = F.pmod(F.regexp_extract("flight", "([0-9]+)", 1).cast("bigint"), F.lit(2)) == 0
+    writers.consolidate(records.where(even), path)
+    merged = columns.flatten(writers.consolidate(records, path))
+    # Lines of an ordered array come in the order of its files.
+    lines = spark.read.text(path).select(
+        F.get_json_object(F.regexp_extract("value", r"(\{.*\})", 1), "$.flight").alias("flight"),
+        F.monotonically_increasing_id().alias("line"))
+    places = numbered(lines, [F.col("line")], "place").drop("line")
+    return merged.join(places, "flight")
+
+
+#: Every table that a run leaves.
+OUTPUT_TABLES = ["csv/packets", "csv/metadata", "json/flights", "parquet", "xlsx/metadata",
+                 "xlsx/phases", "kml/captions", "kml/paths", "kml/waypoints", "kml/points",
+                 "json/flights_metadata", "csv/flights_metadata", "xlsx/flights_metadata"]
+
+
+def output_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table that the kind of output ``all`` holds."""
+    path = scratch_path(spark, "outputs")
+    writers.write_outputs(plan.process(*_declared(spark, sf_dir)), path, "all")
+    sizes = []
+    for table in OUTPUT_TABLES:
+        reader = {"csv": spark.read.option("header", True).option("multiLine", True).option(
+            "escape", '"').csv, "json": spark.read.text}.get(
+            table.split("/")[0], spark.read.parquet)
+        sizes.append(reader(f"{path}/{table}").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit("all").alias("kind"), F.lit(table).alias("table"), "rows"))
+    return columns.diagonal_union(sizes)
 
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,6 +492,10 @@ TABLES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_roundtrip_csv": sink_roundtrip_csv,
     "sink_roundtrip_json": sink_roundtrip_json,
     "metadata_documents": metadata_documents,
+    **{query.__name__: query for query in (
+        declared_inputs, packet_table_scan, flight_list_read, named_flight, sink_metadata_csv,
+        sink_workbook, sink_workbook_phases, consolidated_array, output_tables,
+    )},
 }
 
 

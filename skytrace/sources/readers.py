@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytrace.functions import clock
 from skytrace.functions.telemetry import RELAY_EXCLUDED
 from skytrace.schemas import FLIGHTS, PACKET_COLUMNS
+from skytrace.session import scratch_path
 
 # The packet columns in a PostGIS database, the point split into two numbers.
 DATABASE_PACKETS = (
@@ -60,6 +62,34 @@ def read_flight_documents(spark: SparkSession, path: str) -> DataFrame:
     return first.drop(*extra).orderBy(F.lower("flight"))
 
 
+def array_texts(spark: SparkSession, path: str) -> DataFrame:
+    """The records, one text each, of a JSON array written by ``write_json_array``."""
+    lines = spark.read.text(path)
+    return lines.select(F.regexp_extract("value", r"(?s)^\[?(\{.*\})[,\]]$", 1).alias("value")).where(
+        F.col("value") != "")
+
+
+def read_json_array(spark: SparkSession, path: str) -> DataFrame:
+    """The records of a JSON array as columns: the union of their fields, nested ones too.
+
+    The texts are written as lines, whose schema Spark merges from those of its tasks.
+    """
+    folder = scratch_path(spark, "records")
+    array_texts(spark, path).write.text(folder)
+    return spark.read.json(folder)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder."""
+    try:
+        spark.read.format("binaryFile").load(path).limit(0).collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def with_day(packets: DataFrame) -> DataFrame:
     """Add the local day of receipt, the partition column of a packet table."""
     return packets.withColumn("day", F.to_date(F.from_utc_timestamp("tm", clock.HOME_ZONE)))

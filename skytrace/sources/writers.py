@@ -11,7 +11,10 @@ from pyspark.sql import types as T
 from skytrace.operators import features
 from skytrace.operators.columns import flat_columns, flatten, map_key_names, published
 from skytrace.operators.kinematics import FLIGHT_ORDER
+from skytrace.operators.numbering import numbered
 from skytrace.schemas import FLIGHTS
+from skytrace.session import written
+from skytrace.sources import readers
 
 # Formats and the time format of JSON documents.
 KINDS = ("csv", "json", "parquet", "xlsx", "kml", "all")
@@ -22,6 +25,12 @@ JSON_OPTIONS = {"ignoreNullFields": "false", "timestampNTZFormat": JSON_TIME}
 # Most packets in one JSON document; a longer flight continues in further documents.
 PART_PACKETS = 50_000
 
+# Most records in one file of a JSON array; a longer array continues in further files.
+ARRAY_ROWS = 100_000
+
+# A run replaces the folders of its own flights only.
+RERUN = {"partitionOverwriteMode": "dynamic"}
+
 
 def _per_day(packets: DataFrame, *order: str) -> DataFrame:
     """Packets with the day they were sent."""
@@ -36,7 +45,8 @@ def _per_flight(df: DataFrame, *order: str) -> DataFrame:
 
 def write_packets_csv(packets: DataFrame, path: str) -> None:
     """Packets of each flight in its own folder, standard columns, with a header."""
-    _per_flight(packets, *FLIGHT_ORDER).write.mode("overwrite").partitionBy("flight").option(
+    _per_flight(packets, *FLIGHT_ORDER).write.mode("overwrite").options(**RERUN).partitionBy(
+        "flight").option(
         "header", True).option("quote", '"').option("escape", '"').option(
         "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSS").csv(path)
 
@@ -45,7 +55,9 @@ def write_packets_parquet(packets: DataFrame, path: str, by: str = "flight") ->
     """Packets of each flight in its own folder, or of each day with ``by="day"``, which keeps the
     number of folders small when there are very many flights."""
     split = {"flight": _per_flight, "day": _per_day}[by]
-    split(packets, *FLIGHT_ORDER).write.mode("overwrite").partitionBy(by).parquet(path)
+    rerun = RERUN if by == "flight" else {}
+    split(packets, *FLIGHT_ORDER).write.mode("overwrite").options(**rerun).partitionBy(
+        by).parquet(path)
 
 
 def write_metadata_csv(metadata: DataFrame, path: str, per_flight: bool = False) -> None:
@@ -54,7 +66,7 @@ def write_metadata_csv(metadata: DataFrame, path: str, per_flight: bool = False)
     writer = (
         _per_flight(flat.withColumn("flight_id", F.col("flight")))
         .withColumnRenamed("flight", "folder").withColumnRenamed("flight_id", "flight")
-        .write.partitionBy("folder") if per_flight else flat.orderBy(F.lower("flight")).write
+        .write.partitionBy("folder").options(**RERUN) if per_flight else flat.orderBy(F.lower("flight")).write
     )
     writer.mode("overwrite").option("header", True).option("quote", '"').option(
         "escape", '"').option("emptyValue", "").csv(path)
@@ -71,6 +83,46 @@ def write_metadata_json(metadata: DataFrame, path: str) -> None:
     ordered.select(json_records(metadata).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_json_array(texts: DataFrame, path: str, order: Sequence[Column],
+                     file_rows: int = ARRAY_ROWS) -> None:
+    """Rows with a JSON text ``value`` as one JSON array, a record a line, in ``order``.
+
+    The position of a record says what stands around it: the opening bracket before the first, a
+    comma behind each, the closing bracket behind the last. So files are written in parallel; up to
+    ``file_rows`` records make one file, more of them several that are the array one after the other.
+    """
+    spark = texts.sparkSession
+    rows = numbered(texts.select("value", *[c.alias(f"o{i}") for i, c in enumerate(order)]),
+                    [F.col(f"o{i}") for i in range(len(order))], "place", "records")
+    first = rows.select("records").first()
+    if first is None:
+        spark.createDataFrame([("[]",)], "value string").coalesce(1).write.mode(
+            "overwrite").text(path)
+        return
+    files = -(-first.records // file_rows)
+    opened = F.when(F.col("place") == 0, "[").otherwise("")
+    closed = F.when(F.col("place") == F.col("records") - 1, "]").otherwise(",")
+    lines = rows.select("place", F.concat(opened, "value", closed).alias("value"))
+    placed = lines.repartitionByRange(files, "place") if files > 1 else lines.coalesce(1)
+    placed.sortWithinPartitions("place").select("value").write.mode("overwrite").text(path)
+
+
+def consolidate(metadata: DataFrame, path: str) -> DataFrame:
+    """Merge records into the JSON array at ``path``: flights of earlier runs stay, those of this
+    run are replaced. Returns all records read back, with the union of their fields."""
+    spark = metadata.sparkSession
+    texts = metadata.select("flight", json_records(metadata).alias("value"))
+    if readers.exists(spark, path):
+        earlier = readers.array_texts(spark, path).select(
+            F.get_json_object("value", "$.flight").alias("flight"), "value")
+        own = texts.select(F.lower("flight").alias("own")).distinct()
+        texts = earlier.join(own, F.lower("flight") == F.col("own"), "left_anti").unionByName(texts)
+    # What is read is about to be replaced.
+    write_json_array(written(texts, "consolidated"), path, [F.lower("flight"), F.col("flight"),
+                                                            F.col("value")])
+    return readers.read_json_array(spark, path)
+
+
 def flight_documents(metadata: DataFrame, packets: DataFrame,
                      part_packets: int = PART_PACKETS) -> DataFrame:
     """Metadata with an array of packets, per flight.
@@ -92,8 +144,8 @@ def flight_documents(metadata: DataFrame, packets: DataFrame,
 
 def write_texts(documents: DataFrame, path: str) -> None:
     """Document texts, one folder per flight."""
-    _per_flight(documents, "part").select("flight", "value").write.mode(
-        "overwrite").partitionBy("flight").text(path)
+    _per_flight(documents, "part").select("flight", "value").write.mode("overwrite").options(
+        **RERUN).partitionBy("flight").text(path)
 
 
 def write_documents(metadata: DataFrame, packets: DataFrame, path: str) -> None:
@@ -120,10 +172,11 @@ def write_workbook_tables(metadata: DataFrame, packets: DataFrame, path: str) ->
 
     A phase without rows has no table.
     """
-    _per_flight(key_value_rows(metadata), "name").write.mode("overwrite").partitionBy(
-        "flight").parquet(f"{path}/metadata")
+    _per_flight(key_value_rows(metadata), "name").write.mode("overwrite").options(
+        **RERUN).partitionBy("flight").parquet(f"{path}/metadata")
     ordered = _per_flight(packets, "flight_phase", *FLIGHT_ORDER)
-    ordered.write.mode("overwrite").partitionBy("flight", "flight_phase").parquet(f"{path}/phases")
+    ordered.write.mode("overwrite").options(**RERUN).partitionBy(
+        "flight", "flight_phase").parquet(f"{path}/phases")
 
 
 def write_features(tracked: DataFrame, path: str) -> None:
@@ -135,7 +188,8 @@ def write_features(tracked: DataFrame, path: str) -> None:
         "points": features.points_of_interest(tracked),
     }
     for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
+        _per_flight(table).write.mode("overwrite").options(**RERUN).partitionBy(
+            "flight").parquet(f"{path}/{name}")
 
 
 def flat_flight_list(flights: DataFrame, weight_names: Sequence[str] | None = None) -> DataFrame:
@@ -163,7 +217,9 @@ def write_flight_list_csv(flights: DataFrame, path: str,
 def write_outputs(results, path: str, kind: str = "all", flight_count: int | None = None) -> None:
     """Write the results of a run in one of ``KINDS``.
 
-    Consolidated metadata comes with several flights, and with every kind that holds metadata.
+    Consolidated metadata comes with several flights, and with every kind that holds metadata; it
+    takes along the flights that earlier runs have left at ``path``. Per-flight outputs of other
+    flights stay as they are.
     """
     if kind not in KINDS:
         raise ValueError(f"unknown kind of output {kind!r}, expected one of {KINDS}")
@@ -186,7 +242,7 @@ def write_outputs(results, path: str, kind: str = "all", flight_count: int | Non
 
     several = flight_count is None or flight_count > 1
     if (several or kind in CONSOLIDATED_KINDS) and not results.metadata.isEmpty():
-        write_metadata_json(results.metadata, f"{path}/json/flights_metadata")
-        write_metadata_csv(results.metadata, f"{path}/csv/flights_metadata")
-        flatten(results.metadata).orderBy(F.lower("flight")).write.mode("overwrite").parquet(
+        merged = consolidate(results.metadata, f"{path}/json/flights_metadata")
+        write_metadata_csv(merged, f"{path}/csv/flights_metadata")
+        flatten(merged).orderBy(F.lower("flight")).write.mode("overwrite").parquet(
             f"{path}/xlsx/flights_metadata")

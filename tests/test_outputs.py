@@ -1,11 +1,14 @@
 """Everything a run writes, read back."""
 
+import dataclasses
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from skytrace.operators import columns
+from skytrace.operators.numbering import numbered
 from skytrace.plans import flight as plan
 from skytrace.session import scratch_path
 from skytrace.sources import events as source
@@ -118,3 +121,81 @@ def test_flight_list(spark, events, tmp_path):
     assert back.columns[:8] == ["flight", "beacons", "day", "balloonsize", "liftfactor", "h2fill",
                                 "parachute.description", "parachute.size"]
     assert len(back.columns) == 15 and back.count() == 9
+
+
+def array_of(path):
+    """The JSON array that the files of a folder make, one after the other."""
+    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    return files, json.loads("".join(open(os.path.join(path, f)).read() for f in files))
+
+
+@pytest.mark.parametrize("rows, file_rows", [(0, 10), (1, 10), (57, 100), (57, 10), (57, 1)])
+def test_json_array_in_files(spark, tmp_path, rows, file_rows):
+    path = str(tmp_path / "array")
+    texts = spark.createDataFrame([((i * 7) % 57, json.dumps({"n": (i * 7) % 57, "t": "[x],\n{"}))
+                                   for i in range(rows)], "n int, value string").repartition(5)
+    writers.write_json_array(texts, path, [F.col("n")], file_rows)
+    files, records = array_of(path)
+    assert [r["n"] for r in records] == list(range(rows))
+    assert len(files) >= min(rows // file_rows, 20) and (rows > file_rows or len(files) == 1)
+    if rows:
+        back = readers.read_json_array(spark, path)
+        assert sorted(r.n for r in back.collect()) == list(range(rows))
+    assert readers.array_texts(spark, path).count() == rows
+
+
+def test_rerun_of_some_flights(spark, results):
+    """Two halves one after the other, the second with a flight of the first, against one run."""
+    one, two = scratch_path(spark, "one"), scratch_path(spark, "two")
+    writers.write_outputs(results, one, "all")
+
+    def part(names):
+        keep = F.lower("flight").isin(names)
+        return dataclasses.replace(results, **{
+            name: getattr(results, name).where(keep)
+            for name in ("extracted", "tracked", "packets", "metadata", "status")})
+
+    names = sorted({r.flight.lower() for r in results.metadata.collect()})
+    stale = part(names[:2])
+    stale = dataclasses.replace(stale, metadata=stale.metadata.withColumn("h2fill", F.lit("old")))
+    writers.write_outputs(stale, two, "all")
+    writers.write_outputs(part(names[1:]), two, "all")
+
+    merged = array_of(f"{two}/json/flights_metadata")[1]
+    expected = array_of(f"{one}/json/flights_metadata")[1]
+    assert [r["flight"] for r in merged] == [r["flight"] for r in expected]
+    assert merged[0]["h2fill"] == "old" and merged[1:] == expected[1:]
+    for table in ("parquet", "xlsx/phases", "xlsx/metadata", "kml/points"):
+        assert spark.read.parquet(f"{two}/{table}").count() == spark.read.parquet(
+            f"{one}/{table}").count()
+    stored = spark.read.parquet(f"{two}/xlsx/flights_metadata")
+    assert {r.flight: r.h2fill == "old" for r in stored.collect()}[merged[0]["flight"]]
+
+
+def test_records_with_different_fields_are_merged(spark, results):
+    path = scratch_path(spark, "fields")
+    names = sorted(r.flight for r in results.metadata.collect())
+    first = results.metadata.where(F.col("flight") == names[0])
+    writers.consolidate(first.withColumn("weights", F.create_map(
+        F.lit("a b_lb"), F.lit(1.5))).withColumn("extra", F.lit(7)), path)
+    merged = writers.consolidate(results.metadata.where(F.col("flight") != names[0]), path)
+    flat = columns.flatten(merged)
+    assert {"extra", "weights.a b_lb", "weights.client_kg"} <= set(flat.columns)
+    rows = {r.flight: r for r in flat.collect()}
+    assert set(rows) == set(names)
+    assert rows[names[0]]["extra"] == 7 and rows[names[1]]["extra"] is None
+    assert rows[names[0]]["weights.client_kg"] is None
+
+
+def test_numbers_without_one_task(spark):
+    frame = spark.range(1000).selectExpr("(id * 37) % 1000 as v", "id as place__other").repartition(9)
+    out = numbered(frame, [F.col("v").desc()], "place", "total").collect()
+    assert all(r.place == 999 - r.v and r.total == 1000 for r in out)
+    assert numbered(frame.where("false"), [F.col("v")]).count() == 0
+
+
+def test_map_keys_are_a_union(spark):
+    maps = [({"a`b": "1", "c d": None},), ({"OBJECT<x": "2"},), ({},), (None,)]
+    frame = spark.createDataFrame(maps, "`m.n` map<string,string>").repartition(3)
+    assert columns.map_key_names(frame, "m.n") == ["OBJECT<x", "a`b", "c d"]
+    assert columns.map_key_names(frame.where("false"), "m.n") == []
