@@ -137,15 +137,19 @@ class Encoders:
         return b"".join(map(self.bytes[side].__getitem__, ids))
 
     def _add(self, new: list[bytes]) -> None:
-        """Encode stretches; neighbours go through the tokenizers together, as no token reaches
-        across. Those that do not come back whole are encoded one by one."""
+        """Encode stretches. Those with printable signs at both edges go through the tokenizers
+        together, as no token reaches from one to the next; the others, and any that do not come
+        back whole, are encoded one by one."""
+        edged = [len(s) > 1 and 32 < s[1] < 127 and 32 < s[-1] < 127 for s in new]
+        alone = [s for s, e in zip(new, edged) if not e]
+        new = [s for s, e in zip(new, edged) if e]
         together = [new[i:i + TOGETHER] for i in range(0, len(new), TOGETHER)]
         joined = [b"".join(own) for own in together]
         found = self._encoded([j.decode() for j in joined])
         whole = [self._whole(0, a) == self._whole(1, b) == j for j, a, b in zip(joined, *found)]
         self._keep([s for own, w in zip(together, whole) if w for s in own],
                    [[i for ids, w in zip(side, whole) if w for i in ids] for side in found])
-        for stretch in [s for own, w in zip(together, whole) if not w for s in own]:
+        for stretch in [*alone, *[s for own, w in zip(together, whole) if not w for s in own]]:
             found = [side[0] for side in self._encoded([stretch.decode()])]
             sound = self._whole(0, found[0]) == self._whole(1, found[1]) == stretch
             # Ids of a text that does not come back are of no use.

@@ -170,8 +170,8 @@ def _expand(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(begins - before, counts)
 
 
-def passages_of(hashes: np.ndarray, firsts: np.ndarray,
-                index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def passages_of(hashes: np.ndarray, firsts: np.ndarray, index: Index,
+                threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (passage, term) pairs of all texts, and the text of each passage."""
     lengths = np.diff(firsts)
     strides = -(-lengths // STRIDE)
@@ -187,7 +187,7 @@ def passages_of(hashes: np.ndarray, firsts: np.ndarray,
     terms = np.concatenate((terms, terms[earlier]))
     # A passage whose terms cannot reach the threshold even if all differ needs no sorting.
     reach = np.bincount(passage, index.largest[terms], offsets[-1])
-    keep = reach[passage] >= THRESHOLD - 1e-9
+    keep = reach[passage] >= threshold - 1e-9
     width = max(1, len(index.terms))
     pairs = np.unique(passage[keep] * width + terms[keep])
     owner = np.repeat(np.arange(len(lengths)), strides)
@@ -198,7 +198,7 @@ def leaks_in(batch: pa.RecordBatch, index: Index, threshold: float, question: fl
              answer: float) -> Iterator[tuple[int, int, float, float, float]]:
     """``(row, item, score, question overlap, answer overlap)`` of the verified items."""
     hashes, firsts = T.word_hashes(*T.buffer_of(T.column(batch, "text")))
-    passages, terms, owner = passages_of(hashes, firsts, index)
+    passages, terms, owner = passages_of(hashes, firsts, index, threshold)
     if not len(passages):
         return
     passage, unit, score = index.search(passages, terms, threshold)

@@ -183,15 +183,15 @@ def evaluated(docs: DataFrame, min_margin: float = MIN_MARGIN) -> DataFrame:
 def keep_identified(docs: DataFrame, min_margin: float = MIN_MARGIN) -> DataFrame:
     """The rows of ``docs`` whose language is identified with a sufficient margin."""
     model = fit(docs)
-    columns = docs.columns
-    return docs.select(*columns, letters(F.col("text")).alias("__plain")).mapInArrow(
-        partial(_kept, model=tuple(model), min_margin=min_margin, columns=len(columns)),
-        docs.schema)
+    # The last column is taken by its place.
+    plain = letters(F.col("text")).alias(T.fresh(docs.columns, "plain"))
+    return docs.select("*", plain).mapInArrow(
+        partial(_kept, model=tuple(model), min_margin=min_margin), docs.schema)
 
 
 def _kept(batches: Iterable[pa.RecordBatch], model: tuple[tuple[str, bytes], ...],
-          min_margin: float, columns: int) -> Iterator[pa.RecordBatch]:
-    for batch in T.blocks(batches, "__plain"):
-        texts = T.column(batch, "__plain").cast(pa.binary()).to_pylist()
+          min_margin: float) -> Iterator[pa.RecordBatch]:
+    for batch in T.blocks(batches, -1):
+        texts = batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()
         good = pa.array([decide(t or b"", model, min_margin)[3] for t in texts], pa.bool_())
-        yield batch.select(range(columns)).filter(good)
+        yield batch.select(range(batch.num_columns - 1)).filter(good)

@@ -70,7 +70,9 @@ class Encoder:
 
     def __init__(self, vocabulary: str, cached: int = CACHED_RUNS):
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        # Strings of control tokens, found in texts as they stand or after lower-casing.
+        self.control = tuple(
+            t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values())
         self.model = self.tokenizer.model
         self.signs = _byte_signs()
         self.cached = cached
@@ -87,8 +89,9 @@ class Encoder:
         return found
 
     def _run(self, run: str) -> bytes:
-        if _PLAIN.fullmatch(run):
-            return b"".join([self._word(w) for w in _WORD.findall(run.lower())])
+        small = run.lower()
+        if _PLAIN.fullmatch(run) and not any(c in small for c in self.control):
+            return b"".join([self._word(w) for w in _WORD.findall(small)])
         ids = self.tokenizer.encode(run, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 

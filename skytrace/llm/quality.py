@@ -2,24 +2,27 @@
 
 The text view has hashed three-byte sequences of the whole text and how much its words repeat. The
 metadata view has source, language, declared length and the layout of the page: lines, and shares of
-capitals, digits, signs and other bytes. Both are logistic models. In every round each model labels
-the pool documents it is surest of, in the proportion of the classes, and hands them to the other
-model's training set. At the end each view's log odds are calibrated on labelled documents that
+capitals, digits, signs and other bytes. Both are logistic models. In every round each model scores
+all documents without a label and hands those it is surest of, in the proportion of the classes, to
+the other model's training set. At the end each view's log odds are calibrated on labelled documents that
 neither has trained on, and a last logistic model weighs the two against each other.
 
-Models are fitted on bounded samples, the documents with the smallest hashes: ``LABELLED`` labelled
-ones and a pool of ``POOL`` others. Every document is scored, on its whole text.
+The models are fitted in one task, on bounded samples: the ``LABELLED`` labelled documents with the
+smallest hashes, and at most ``TAUGHT_ROWS`` pseudo-labelled ones from each view and round. What is
+sure is decided by quantiles over the distinct texts of all documents without a label. Every document
+is scored, on its whole text.
 
 Nulls and edges: null and empty texts have an empty text view; null source, language or length are
 values of their own. Several labels of one document count by their mean; null labels are left out.
 Without labels of both classes every document gets the share of good labels, or 1. Repeated rows
-are scored each; other columns are kept by ``keep_good`` and ignored by ``scores``.
+are scored each; other columns are kept by ``keep_good`` and ignored by ``scores``. A declared length
+that is no number is a null one. Ties between documents are settled by hashes of their texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +32,13 @@ from pyspark.sql import functions as F
 
 from skytrace.llm import text as T
 from skytrace.llm.linear import apply_logistic, fit_logistic, sigmoid
+from skytrace.session import written
 
 LABELLED = 4000
-POOL = 4000
 ROUNDS = 4
-#: Share of the pool that each view labels in a round.
+#: Share of the texts without a label that a view is sure of in a round, and how many it hands on.
 TAUGHT = 0.05
+TAUGHT_ROWS = 200
 #: Share of the labelled sample that is only used to calibrate.
 CALIBRATION = 0.3
 MIN_SCORE = 0.3
@@ -143,76 +147,148 @@ def combined(views: list[np.ndarray], weights: list[np.ndarray], y: np.ndarray)
     return Model(float(y.mean()), *own, joint)
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray],
-             rounds: int = ROUNDS, taught: float = TAUGHT) -> list[np.ndarray]:
-    """Weights of both views after exchanging confident labels of the pool."""
-    share = float(y.mean())
-    extra: list[tuple[list[int], list[int]]] = [([], []), ([], [])]
-    free = np.ones(len(pools[0]), bool)
-    weights = [fit_logistic(x, y) for x in views]
-    for _ in range(rounds):
-        sure = [apply_logistic(pool, w) for pool, w in zip(pools, weights)]
-        for teacher, pupil in ((0, 1), (1, 0)):
-            wanted = int(taught * len(free))
-            left = np.flatnonzero(free)
-            order = left[np.argsort(sure[teacher][left], kind="stable")]
-            bad = order[:max(1, round(wanted * (1 - share)))] if wanted else order[:0]
-            good = order[::-1][:round(wanted * share)]
-            # Only what the teacher is sure of.
-            bad = bad[sure[teacher][bad] < -1]
-            good = good[sure[teacher][good] > 1]
-            for rows, label in ((good, 1), (bad, 0)):
-                extra[pupil][0].extend(rows.tolist())
-                extra[pupil][1].extend([label] * len(rows))
-                free[rows] = False
-        weights = [
-            fit_logistic(np.vstack((x, pool[rows])), np.concatenate((y, labels)))
-            for x, pool, (rows, labels) in zip(views, pools, extra)]
-    return weights
+#: Features of one document; ``pupil`` is the view that learns from it, null for both.
+SAMPLE = ("key bigint, label int, pupil int, text_view array<float>, page_view array<float>")
 
 
 def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in T.blocks(batches, size=BLOCK_BYTES):
         views = [text_view(T.column(batch, "text")), page_view(batch)]
         yield pa.RecordBatch.from_arrays(
-            [T.column(batch, "key"), T.column(batch, "label"),
-             *[pa.array(list(v.astype(np.float32)), pa.list_(pa.float32())) for v in views]],
-            ["key", "label", "text_view", "page_view"])
+            [T.column(batch, c) for c in ("key", "label", "pupil")] + [
+                pa.array(list(v.astype(np.float32)), pa.list_(pa.float32())) for v in views],
+            ["key", "label", "pupil", "text_view", "page_view"])
+
+
+def fit_views(views: list[np.ndarray], label: np.ndarray, pupil: np.ndarray,
+              last: bool) -> tuple[float, list[np.ndarray] | Model | None]:
+    """Both views from labelled rows (``pupil`` -1) and from what each was taught (0 or 1).
+
+    The share of good labels, and weights; with ``last`` the calibrated model. None if the labels
+    are all alike. Rows must be in order of a hash: a stride is a random part of them.
+    """
+    known = pupil < 0
+    y = label[known].astype(float)
+    if not len(y):
+        return 1.0, None
+    if y.min() == y.max():
+        return float(y.mean()), None
+    held = np.arange(len(y)) % 10 < 10 * CALIBRATION
+    if len({*y[held]}) < 2 or len({*y[~held]}) < 2:
+        held = np.zeros(len(y), bool)
+    own = [np.concatenate((np.flatnonzero(known)[~held], np.flatnonzero(pupil == side)))
+           for side in (0, 1)]
+    weights = [fit_logistic(v[at], label[at].astype(float)) for v, at in zip(views, own)]
+    if not last:
+        return float(y.mean()), weights
+    judged = np.flatnonzero(known)[held if held.any() else ~held]
+    return float(y.mean()), combined([v[judged] for v in views], weights,
+                                     label[judged].astype(float))
+
+
+def _fitted(batches: Iterable[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
+    """Weights from all samples, which one task reads: their number is bounded."""
+    batches = list(batches)
+    if not batches:
+        yield pa.RecordBatch.from_arrays([pa.array([1.0]), pa.array(
+            [[]], pa.list_(pa.list_(pa.float64())))], ["share", "weights"])
+        return
+    table = pa.Table.from_batches(batches).sort_by([("key", "ascending"), ("pupil", "ascending")])
+    label = table.column("label").to_numpy()
+    pupil = table.column("pupil").fill_null(-1).to_numpy()
+    views = [np.stack(T.lists(table.column(c))).astype(float) if len(table) else np.zeros((0, 1))
+             for c in ("text_view", "page_view")]
+    share, found = fit_views(views, label, pupil, last)
+    made = ([] if found is None else [found.text, found.page, found.joint] if last else found)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([share]), pa.array([[w.tolist() for w in made]],
+                                     pa.list_(pa.list_(pa.float64())))], ["share", "weights"])
+
+
+def _odds(batches: Iterable[pa.RecordBatch],
+          weights: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for batch in T.blocks(batches, size=BLOCK_BYTES):
+        views = text_view(T.column(batch, "text")), page_view(batch)
+        yield pa.RecordBatch.from_arrays(
+            [T.column(batch, "doc_id"), T.column(batch, "text_key"),
+             *[pa.array(apply_logistic(v, w)) for v, w in zip(views, weights)]],
+            ["doc_id", "text_key", "odds0", "odds1"])
 
 
 def _inputs(docs: DataFrame) -> list[Column]:
+    """Columns that the views read; an absent one is null, as is a length that is no number."""
     have = set(docs.columns)
-    return [F.col("doc_id").cast("bigint"), F.col("text").cast("string"),
-            *[(F.col(c) if c in have else F.lit(None)).cast(t).alias(c)
-              for c, t in (("lang", "string"), ("source", "string"), ("n_chars", "bigint"))]]
-
-
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> Model:
-    """Both views, fitted on samples of ``docs``."""
+    kinds = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string",
+             "n_chars": "bigint"}
+    return [(F.col(c).try_cast(t) if c in have else F.lit(None).cast(t)).alias(c)
+            for c, t in kinds.items()]
+
+
+def taught(free: DataFrame, share: float, rows: int = TAUGHT_ROWS,
+           part: float = TAUGHT) -> DataFrame:
+    """Pseudo-labels of a round: ``doc_id``, ``text_key``, ``label`` and the ``pupil`` view.
+
+    ``free`` has a row per distinct text with the log odds of both views. A view labels the texts of
+    its surest ``part``, good and bad in the proportion of the classes, if it is sure of them at all;
+    of these the ``rows`` with the smallest hashes are handed to the other view.
+    """
+    good, bad = part * share, part * (1 - share)
+    cuts = free.agg(*[F.percentile_approx(f"odds{v}", [bad, 1 - good]).alias(f"cuts{v}")
+                      for v in (0, 1)]).first()
+    chosen = []
+    for teacher in (0, 1):
+        odds, cut = F.col(f"odds{teacher}"), cuts[f"cuts{teacher}"] or [0.0, 0.0]
+        for label, sure, size in ((1, (odds >= cut[1]) & (odds > 1), share),
+                                  (0, (odds <= cut[0]) & (odds < -1), 1 - share)):
+            chosen.append(free.where(sure).orderBy(F.xxhash64("text_key"), "doc_id").limit(
+                max(1, round(rows * size))).select(
+                "doc_id", "text_key", F.lit(label).alias("label"),
+                F.lit(1 - teacher).alias("pupil")))
+    return reduce(DataFrame.unionByName, chosen)
+
+
+def _one_task(samples: list[DataFrame], last: bool):
+    return reduce(DataFrame.unionByName, samples).coalesce(1).mapInArrow(
+        partial(_fitted, last=last), "share double, weights array<array<double>>").first()
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS,
+        taught_rows: int = TAUGHT_ROWS) -> Model:
+    """Both views, fitted on samples of labelled rows and on pseudo-labels of all other rows."""
     truth = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(
         F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         (F.avg("quality") >= 0.5).cast("int").alias("label"))
-    ids = docs.select(F.col("doc_id").cast("bigint")).where(F.col("doc_id").isNotNull()).distinct()
-    marked = ids.join(truth, "doc_id", "left").withColumn("key", F.xxhash64("doc_id"))
-    chosen = [marked.where(F.col("label").isNotNull()).orderBy("key").limit(labelled),
-              marked.where(F.col("label").isNull()).orderBy("key").limit(pool)]
-    wanted = chosen[0].unionByName(chosen[1])  # at most labelled + pool rows
-    sample = docs.select(*_inputs(docs)).join(F.broadcast(wanted), "doc_id").mapInArrow(
-        _sampled, "key bigint, label int, text_view array<float>, page_view array<float>")
-    table = sample.toArrow().sort_by("key")
-    label = table.column("label").to_pylist()
-    views = [np.array(T.lists(table.column(c)), float) for c in ("text_view", "page_view")]
-    known = np.array([v is not None for v in label], bool)
-    y = np.array([v for v in label if v is not None], float)
-    if not len(y) or y.min() == y.max():
-        return Model(float(y.mean()) if len(y) else 1.0)
-    # Rows are in order of a hash: a stride is a random part of them.
-    held = np.arange(len(y)) % 10 < 10 * CALIBRATION
-    if len({*y[held]}) < 2 or len({*y[~held]}) < 2:
-        held = np.zeros(len(y), bool)
-    trained = co_train([v[known][~held] for v in views], y[~held], [v[~known] for v in views])
-    judged = held if held.any() else ~held
-    return combined([v[known][judged] for v in views], trained, y[judged])
+    rows = docs.select(*_inputs(docs)).withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    ids = rows.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
+    marked = written(ids.join(truth, "doc_id").withColumn("key", F.xxhash64("doc_id")), "labelled")
+    wanted = marked.orderBy("key").limit(labelled)  # at most ``labelled`` rows
+    samples = [written(rows.join(F.broadcast(wanted), "doc_id").withColumn(
+        "pupil", F.lit(None).cast("int")).mapInArrow(_sampled, SAMPLE), "sample")]
+    used = None
+    for number in range(rounds + 1):
+        share, weights = _one_task(samples, number == rounds)
+        weights = [np.array(w) for w in weights]
+        if not weights or number == rounds:
+            return Model(share, *weights)
+        odds = written(rows.mapInArrow(
+            partial(_odds, weights=weights),
+            "doc_id bigint, text_key bigint, odds0 double, odds1 double"), "odds")
+        # Labelled rows grow with the documents, so both sides are shuffled.
+        free = odds.join(marked.select("doc_id").hint("merge"), "doc_id", "left_anti")
+        if used is not None:
+            # At most 2 x ``taught_rows`` texts a round.
+            free = free.join(F.broadcast(used), "text_key", "left_anti")
+        free = written(free.groupBy("text_key").agg(
+            *[F.min(c).alias(c) for c in ("doc_id", "odds0", "odds1")]), "free")
+        chosen = written(taught(free, share, taught_rows), "taught")
+        texts = chosen.select("text_key").distinct()
+        used = texts if used is None else used.unionByName(texts)
+        # Copies of a text are one row; their ids may repeat too.
+        found = rows.join(F.broadcast(chosen), ["doc_id", "text_key"]).withColumn(
+            "key", F.col("text_key"))
+        samples.append(written(found.dropDuplicates(["text_key", "pupil"]).mapInArrow(
+            _sampled, SAMPLE), "sample"))
+    raise ValueError("rounds must not be negative")
 
 
 def _scored(batches: Iterable[pa.RecordBatch], model: Model,
@@ -230,19 +306,18 @@ def scores(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataF
         partial(_scored, model=model, min_score=min_score), SCORES)
 
 
-def _kept(batches: Iterable[pa.RecordBatch], model: Model, min_score: float,
-          columns: int) -> Iterator[pa.RecordBatch]:
-    for batch in T.blocks(batches, "__text", size=BLOCK_BYTES):
-        inputs = pa.RecordBatch.from_arrays(
-            batch.columns[columns:], ["doc_id", "text", "lang", "source", "n_chars"])
-        good = pa.array(model.score(inputs)[2] >= min_score)
-        yield batch.select(range(columns)).filter(good)
+def _kept(batches: Iterable[pa.RecordBatch], model: Model,
+          min_score: float) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    for batch in T.blocks(batches, 1 - len(names), size=BLOCK_BYTES):
+        columns = batch.num_columns - len(names)
+        inputs = pa.RecordBatch.from_arrays(batch.columns[columns:], names)
+        yield batch.select(range(columns)).filter(pa.array(model.score(inputs)[2] >= min_score))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose score is at least ``min_score``."""
-    inputs = [c.alias(f"__{n}") for c, n in zip(
-        _inputs(docs), ("doc_id", "text", "lang", "source", "n_chars"))]
-    return docs.select(*docs.columns, *inputs).mapInArrow(
-        partial(_kept, model=fit(docs, labels), min_score=min_score,
-                columns=len(docs.columns)), docs.schema)
+    # The last columns are taken by their places.
+    inputs = [c.alias(T.fresh(docs.columns, f"input{i}")) for i, c in enumerate(_inputs(docs))]
+    return docs.select("*", *inputs).mapInArrow(
+        partial(_kept, model=fit(docs, labels), min_score=min_score), docs.schema)

@@ -72,19 +72,26 @@ def _add(votes, total, tokens, words, seed):
     return votes, total + len(hashes)
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def _fingerprints(batches: Iterable[pa.RecordBatch], words: int,
                   seed: int) -> Iterator[pa.RecordBatch]:
     for batch in T.blocks(batches):
         texts = T.column(batch, "text").cast(pa.binary()).to_pylist()
         found = np.array([fingerprint(t or b"", words, seed) for t in texts], np.uint64)
         yield pa.RecordBatch.from_arrays(
-            [T.column(batch, "doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            [T.column(batch, "doc_id"), T.column(batch, "text_hash"),
+             pa.array(found.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """``doc_id`` and the fingerprint ``fp`` as a signed number, for every row."""
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        partial(_fingerprints, words=words, seed=seed), "doc_id bigint, fp bigint")
+    """``doc_id``, a hash of the text and the fingerprint ``fp`` as a signed number, for every row."""
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"),
+                       text_hash(F.col("text")).alias("text_hash")).mapInArrow(
+        partial(_fingerprints, words=words, seed=seed),
+        "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -254,10 +261,10 @@ def smallest_reachable(edges: DataFrame, a: str, b: str) -> DataFrame:
         both = pairs.unionByName(pairs.select(F.col("to").alias("node"), F.col("node").alias("to")))
         least = both.groupBy("node").agg(F.min("to").alias("low"))
         large = (both.where(F.col("to") > F.col("node"))
-                 .join(least.withColumn("low", F.least("low", "node")), "node")
+                 .join(least.withColumn("low", F.least("low", "node")).hint("merge"), "node")
                  .select(F.col("to").alias("node"), F.col("low").alias("to")).distinct())
         low = large.groupBy("node").agg(F.min("to").alias("low"))
-        small = large.join(low, "node")
+        small = large.join(low.hint("merge"), "node")
         small = small.select("node", F.col("low").alias("to")).unionByName(
             small.where(F.col("to") != F.col("low"))
             .select(F.col("to").alias("node"), F.col("low").alias("to")))
@@ -268,35 +275,44 @@ def smallest_reachable(edges: DataFrame, a: str, b: str) -> DataFrame:
         state = now
 
 
-def groups(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED,
-           distance: int = DISTANCE) -> DataFrame:
-    """``doc_id``, ``fingerprint`` and ``component_id`` of every row of ``docs``."""
+def _rooted(docs: DataFrame, words: int, seed: int, distance: int) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``fp``, ``component_id`` and the component's ``root`` of each row."""
     prints = written(fingerprints(docs, words, seed), "prints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = smallest_reachable(links(distinct, distance), "fp", "hub")
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp",
+                           "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
-        "doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+    named = rooted.join(lowest.hint("merge"), "root").select("fp", "root", "component_id")
+    return prints.join(named.hint("merge"), "fp")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One row of each group of near duplicates: its smallest ``doc_id``.
+def groups(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED,
+           distance: int = DISTANCE) -> DataFrame:
+    """``doc_id``, ``fingerprint`` and ``component_id`` of every row of ``docs``."""
+    return _rooted(docs, words, seed, distance).select(
+        "doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
-    Of several rows with that id one is kept. Rows without an id stay, as nothing names them.
-    """
-    return keep_first(docs, groups(docs, **options))
 
+def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED,
+             distance: int = DISTANCE) -> DataFrame:
+    """One row of each group of near duplicates: its smallest ``doc_id``, with all columns.
 
-def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` without the rows that another ``doc_id`` of their component in ``found`` stands for."""
-    chosen = written(found.where(F.col("doc_id") == F.col("component_id"))
-                     .groupBy(F.col("doc_id").alias("__kept"))
-                     .agg(F.count(F.lit(1)).alias("rows")), "kept")
+    Of several rows with that id in one group one stays, the one with the smallest hash of its text;
+    rows with one id in different groups are judged apart. Rows without an id stay, as nothing names
+    them.
+    """
+    found = _rooted(docs, words, seed, distance)
+    chosen = written(found.where(F.col("doc_id") == F.col("component_id")).groupBy(
+        "component_id", "root").agg(F.min("text_hash").alias("first_hash")), "kept")
+    own = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"),
+                      text_hash(F.col("text")).alias("hash"))
     # The ids grow with the documents, so both sides are shuffled, however few they are today.
-    kept = docs.join(chosen.hint("merge"), F.col("doc_id") == F.col("__kept"), "left_semi")
-    if not chosen.where(F.col("rows") > 1).isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    kept = own.join(chosen.hint("merge"), (F.col("id") == F.col("component_id"))
+                    & (F.col("hash") == F.col("first_hash")), "left_semi")
+    # Repeated rows of one id and text: only where there are any are rows compared.
+    again = found.groupBy("doc_id", "text_hash").count().where(
+        (F.col("count") > 1) & F.col("doc_id").isNotNull())
+    if not again.isEmpty():
+        kept = kept.dropDuplicates(["id", "hash"])
+    return kept.select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))

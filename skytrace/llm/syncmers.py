@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 
 K = 5
 S = 2
-ANCHORS = 64
 TOLERANCE = 8
 POSITION_BITS = 24
 RANGE_BYTES = 16 << 20
@@ -92,14 +91,10 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
     return let(let(hashed, of), lambda a: F.when(F.size(a) > 0, a).otherwise(whole))
 
 
-def sketch(text: Column, k: int = K, s: int = S, size: int | None = ANCHORS) -> Column:
-    """The smallest anchors with different hashes, or all; of equal hashes the first position."""
-    def smallest(ordered: Column) -> Column:
-        different = F.filter(ordered, lambda a, i: (i == 0) | (
-            _hash_of(a) != _hash_of(F.get(ordered, i - 1))))
-        return different if size is None else F.slice(different, 1, size)
-
-    return let(F.sort_array(anchors(text, k, s)), smallest)
+def sketch(text: Column, k: int = K, s: int = S) -> Column:
+    """All anchors with different hashes, in order; of equal hashes the first position."""
+    return let(F.sort_array(anchors(text, k, s)), lambda ordered: F.filter(
+        ordered, lambda a, i: (i == 0) | (_hash_of(a) != _hash_of(F.get(ordered, i - 1)))))
 
 
 def digits(anchors_of_text: Column) -> Column:
@@ -108,32 +103,6 @@ def digits(anchors_of_text: Column) -> Column:
         anchors_of_text, lambda a: F.lpad(F.lower(F.hex(a)), 16, "0")), "")
 
 
-def likeness(a: Column, b: Column, size: int = ANCHORS, tolerance: int = TOLERANCE) -> Column:
-    """Share of common anchors at matching positions, 0 to 1."""
-    def shares(merged: Column) -> Column:
-        hashes = F.slice(F.array_distinct(F.transform(merged, _hash_of)), 1, size)
-        # Anchors of one fingerprint differ in hash: neighbours of equal hash are a pair.
-        pairs = F.filter(F.sequence(F.lit(1), F.size(merged) - 1), lambda i: _hash_of(
-            F.get(merged, i)) == _hash_of(F.get(merged, i - 1)))
-
-        def counted(smallest: Column) -> Column:
-            last = F.element_at(smallest, -1)
-            inside = F.filter(pairs, lambda i: _hash_of(F.get(merged, i)) <= last)
-            moved = F.sort_array(F.transform(inside, lambda i: _position_of(
-                F.get(merged, i)) - _position_of(F.get(merged, i - 1))))
-
-            def usual(distances: Column) -> Column:
-                middle = F.get(distances, F.floor((F.size(distances) - 1) / 2).cast("int"))
-                near = F.filter(distances, lambda d: F.abs(d - middle) <= tolerance)
-                return F.when(F.size(distances) > 0, F.size(near)).otherwise(0)
-
-            return let(moved, usual) / F.size(smallest)
-
-        return let(hashes, counted)
-
-    return let(F.sort_array(F.concat(a, b)), shares)
-
-
 def passages(a: Column, b: Column, tolerance: int = TOLERANCE) -> Column:
     """Share of anchors common to two whole sketches that keep their distance to a neighbour."""
     low = F.lit((1 << POSITION_BITS) - 1)
@@ -209,12 +178,10 @@ def with_next(docs: DataFrame, columns: list[str], range_bytes: int = RANGE_BYTE
     return following.where(~F.col("guest")).drop("guest", "range_no")
 
 
-def compared(docs: DataFrame, range_bytes: int = RANGE_BYTES,
-             size: int | None = ANCHORS) -> DataFrame:
+def compared(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Each document's fingerprint beside its edited text's and the next document's.
 
-    The edited text has its last half replaced by as many code points of the next document. With
-    ``size`` ``None`` fingerprints are whole and ``passages`` compares them.
+    The edited text has its last half replaced by as many code points of the next document.
     """
     own = docs.select(F.col("doc_id").cast("bigint"),
                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -227,13 +194,11 @@ def compared(docs: DataFrame, range_bytes: int = RANGE_BYTES,
     rows = rows.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"),
                        "text", "next_text")
     rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *[
-        sketch(F.col(text), size=size).alias(name) for text, name in
+        sketch(F.col(text)).alias(name) for text, name in
         (("text", "sketch"), ("edited", "edited_sketch"), ("next_text", "next_sketch"))])
 
     def near(other: str) -> Column:
-        if size is None:
-            return passages(F.col("sketch"), F.col(other))
-        return likeness(F.col("sketch"), F.col(other), size)
+        return passages(F.col("sketch"), F.col(other))
 
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", digits(F.col("sketch")).alias("fingerprint"),

@@ -28,12 +28,16 @@ _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 
 
-def blocks(batches: Iterable[pa.RecordBatch], text: str = "text",
+def blocks(batches: Iterable[pa.RecordBatch], text: str | int = "text",
            size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches whose texts have at most ``size`` bytes, or one row."""
+    """Slices of the batches whose texts have at most ``size`` bytes, or one row.
+
+    ``text`` is a column's name, or its place (from the end if negative).
+    """
     for batch in batches:
-        lengths = np.asarray(pc.fill_null(pc.binary_length(
-            batch.column(batch.schema.get_field_index(text))), 0), np.int64)
+        place = (batch.schema.get_field_index(text) if isinstance(text, str)
+                 else text % batch.num_columns)
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(place)), 0), np.int64)
         ends = np.cumsum(lengths)
         begin = 0
         while begin < batch.num_rows:
@@ -43,6 +47,14 @@ def blocks(batches: Iterable[pa.RecordBatch], text: str = "text",
             begin = end
 
 
+def fresh(taken: Iterable[str], name: str) -> str:
+    """``name``, made longer until no other column has it."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -10,9 +10,7 @@ from tests.llm.helpers import documents, invented, odd_documents
 
 
 def tokenizer():
-    made = Tokenizer.from_file(P.VOCABULARY)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(P.VOCABULARY)
 
 
 def test_ids_equal_those_of_whole_texts():
@@ -20,7 +18,8 @@ def test_ids_equal_those_of_whole_texts():
     signs = "aB é'sTt \u0085\x1c3½́İΣςÅ日本😀.,!-\n\t\xa0ﬁ"
     texts = ["".join(draw.choice(signs) for _ in range(draw.randrange(40))) for _ in range(800)]
     texts += ["".join(chr(draw.randrange(1, 0x300)) for _ in range(30)) for _ in range(300)]
-    texts += ["<|endoftext|> a<|startoftext|>b", "'s 'S it's IT'S don't x'll", "café " * 50, ""]
+    texts += ["<|endoftext|> a<|startoftext|>b", "a <|endoftext|> b", "x<|endoftext|>y<|end",
+              "<|EndOfText|> z", "é<|endoftext|>é <|startoftext|><|startoftext|>", "'s 'S it's IT'S don't x'll", "café " * 50, ""]
     encoder = P.Encoder(open(P.VOCABULARY, encoding="utf-8").read(), cached=100)
     whole = tokenizer()
     for text in texts:

@@ -45,18 +45,16 @@ def plain_sketch(text):
     smallest = {}
     for a in sorted(plain_anchors(text)):
         smallest.setdefault(a >> 24, a)
-    return [smallest[k] for k in sorted(smallest)][:64]
+    return [smallest[k] for k in sorted(smallest)]
 
 
 def plain_likeness(a, b):
-    hashes = sorted({x >> 24 for x in a} | {x >> 24 for x in b})[:64]
-    positions = [{x >> 24: x & 0xFFFFFF for x in s} for s in (a, b)]
-    moved = sorted(abs(positions[0][h] - positions[1][h]) for h in hashes
-                   if h in positions[0] and h in positions[1])
-    if not moved:
-        return 0.0
-    usual = moved[(len(moved) - 1) // 2]
-    return sum(abs(m - usual) <= 8 for m in moved) / len(hashes)
+    places = [{x >> 24: x & 0xFFFFFF for x in s} for s in (a, b)]
+    moved = [q - p for p, q in sorted((p, places[1][h]) for h, p in places[0].items()
+                                      if h in places[1])]
+    kept = sum(any(abs(moved[i] - moved[j]) <= 8 for j in (i - 1, i + 1) if 0 <= j < len(moved))
+               for i in range(len(moved)))
+    return max(kept, min(len(moved), 1)) / (len(a) + len(b) - len(moved))
 
 
 def digits(anchors):
@@ -87,7 +85,7 @@ def test_moved_passage_keeps_its_anchors(spark):
     words = [f"w{i * 7919 % 1000}" for i in range(120)]
     frame = spark.createDataFrame([(" ".join(words), "new words " * 30 + " ".join(words))],
                                   "a string, b string")
-    near = frame.select(Y.likeness(Y.sketch(F.col("a")), Y.sketch(F.col("b")))).first()[0]
+    near = frame.select(Y.passages(Y.sketch(F.col("a")), Y.sketch(F.col("b")))).first()[0]
     assert near > 0.4
 
 
@@ -110,22 +108,6 @@ def test_odd_rows(spark):
     assert Y.compared(documents(spark, [])).count() == 0
 
 
-def whole_sketch(text):
-    smallest = {}
-    for a in sorted(plain_anchors(text)):
-        smallest.setdefault(a >> 24, a)
-    return [smallest[k] for k in sorted(smallest)]
-
-
-def whole_likeness(a, b):
-    places = [{x >> 24: x & 0xFFFFFF for x in s} for s in (a, b)]
-    moved = [q - p for p, q in sorted((p, places[1][h]) for h, p in places[0].items()
-                                      if h in places[1])]
-    kept = sum(any(abs(moved[i] - moved[j]) <= 8 for j in (i - 1, i + 1) if 0 <= j < len(moved))
-               for i in range(len(moved)))
-    return max(kept, min(len(moved), 1)) / (len(a) + len(b) - len(moved))
-
-
 def test_registered_query_keeps_all_anchors(spark, tmp_path):
     from skytrace.llm import registry
 
@@ -135,11 +117,11 @@ def test_registered_query_keeps_all_anchors(spark, tmp_path):
     for i, text in enumerate(texts):
         following = texts[(i + 1) % len(texts)]
         half = len(text) // 2
-        own, other, after = map(whole_sketch, (
+        own, other, after = map(plain_sketch, (
             text, text[:len(text) - half] + following[:half], following))
         assert (by[i].fingerprint, by[i].edited_fingerprint) == (digits(own), digits(other))
-        assert by[i].near_edited == pytest.approx(whole_likeness(own, other))
-        assert by[i].near_next == pytest.approx(whole_likeness(own, after))
+        assert by[i].near_edited == pytest.approx(plain_likeness(own, other))
+        assert by[i].near_next == pytest.approx(plain_likeness(own, after))
 
 
 def test_passages_of_long_texts(spark):
@@ -150,6 +132,6 @@ def test_passages_of_long_texts(spark):
     rows = [(" ".join(x), " ".join(y)) for x, y in (
         (a[:15_000] + shared + a[15_000:], b[:100] + shared + b[100:]), (a, inserted), (a, swapped))]
     frame = spark.createDataFrame(rows, "a string, b string")
-    whole = [Y.sketch(F.col(c), size=None) for c in "ab"]
+    whole = [Y.sketch(F.col(c)) for c in "ab"]
     near = [r[0] for r in frame.select(Y.passages(*whole)).collect()]
     assert near[0] * 13_000 > 20 and near[1] > 0.99 and near[2] > 0.99
