@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skytrace.llm import decontaminate, langid, nearcopies, packing, quality
+from skytrace.llm import decontaminate, langid, packing, quality, simhash
 from skytrace.session import written
 
 
@@ -23,8 +23,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays (five-word Jaccard 0.8 or more)."""
-    return nearcopies.keep_one(docs)
+    """One document of each group of near duplicates stays: fingerprints of four-word shingles that
+    differ in four bits or fewer."""
+    return simhash.keep_one(docs, words=4, distance=4)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
