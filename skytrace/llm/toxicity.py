@@ -10,7 +10,8 @@ Labels are per document, so training tokens are labelled first: words that stand
 in many surroundings, and hardly in clean ones, mark their occurrences in toxic documents.
 
 Fitted on a bounded sample, the documents with the smallest hashes: ``TOXIC`` toxic and ``CLEAN``
-clean ones, ``SAMPLE_TOKENS`` neighbouring tokens of each. Every document is scored on all its
+clean ones, ``SAMPLE_TOKENS`` neighbouring tokens of each for the field and all tokens of each for the model of
+documents. Every document is scored on all its
 tokens. A chain of any length is computed in columns: each column's tokens are first reduced to one
 2 x 2 matrix, the matrices carry the state from column to column, then all columns run at once.
 
@@ -258,7 +259,44 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLE
     label = np.array(table.column("label").to_pylist(), np.int64)
     parts = [f.reshape(3, -1) for f in T.lists(table.column("features"))]
     totals = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
-    return learn(parts, label, (totals.get(0, 0), totals.get(1, 0)))
+    totals = totals.get(0, 0), totals.get(1, 0)
+    field = learn(parts, label, totals)
+    # Documents are scored by their whole texts, so that is what their model learns from.
+    whole = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(
+        F.broadcast(wanted), "doc_id").withColumn(
+        "same", F.xxhash64(F.coalesce("text", F.lit("")))).mapInArrow(
+        partial(_documents, field=field), "same bigint, label int, features array<double>")
+    table = whole.toArrow()
+    if len(table):
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("same", "label", "features"))))
+        rows = [r for i, r in enumerate(rows) if not i or r[:2] != rows[i - 1][:2]]
+        fit_documents(field, np.array([r[2] for r in rows]),
+                      np.array([r[1] for r in rows], np.int64), totals)
+    return field
+
+
+def _documents(batches: Iterable[pa.RecordBatch], field: Field) -> Iterator[pa.RecordBatch]:
+    """What the document model sees of every whole text."""
+    for batch in T.blocks(batches, size=BLOCK_BYTES):
+        starts, _, firsts, features = tokens(*T.buffer_of(T.column(batch, "text")))
+        begins = np.zeros(len(starts), bool)
+        begins[firsts[:-1][np.diff(firsts) > 0]] = True
+        p = marginals(field.emissions(features), begins, field.moves)
+        found = document_features(p, firsts)[0]
+        yield pa.RecordBatch.from_arrays(
+            [T.column(batch, "same"), T.column(batch, "label"),
+             pa.array(found.tolist(), pa.list_(pa.float64()))], ["same", "label", "features"])
+
+
+def fit_documents(field: Field, features: np.ndarray, label: np.ndarray,
+                  totals: tuple[int, int]) -> None:
+    """Fit the document model on whole documents, at the rate of toxic ones among all."""
+    if not len(label) or label.min() == label.max():
+        return
+    field.document = fit_logistic(features, label, ridge=0.1)
+    if min(totals):
+        field.document[-1] += np.log(totals[1] / totals[0]) - np.log(label.mean() / (
+            1 - label.mean()))
 
 
 def learn(parts: list[np.ndarray], label: np.ndarray, totals: tuple[int, int] = (0, 0)) -> Field:
@@ -301,10 +339,7 @@ def learn(parts: list[np.ndarray], label: np.ndarray, totals: tuple[int, int] =
     firsts = np.concatenate(([0], np.cumsum(lengths)))
     begins[firsts[:-1][lengths > 0]] = True
     p = marginals(field.emissions(features), begins, field.moves)
-    field.document = fit_logistic(document_features(p, firsts)[0], label, ridge=0.1)
-    if min(totals):
-        field.document[-1] += np.log(totals[1] / totals[0]) - np.log(label.mean() / (
-            1 - label.mean()))
+    fit_documents(field, document_features(p, firsts)[0], label, totals)
     return field
 
 
