@@ -6,9 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skytrace.functions import clock, telemetry
+from skytrace.operators.layout import hinted
 from skytrace.schemas import EXTRACTED_COLUMNS, PACKET_COLUMNS
+from skytrace.session import written
 
 BROADCAST_ROWS = 200_000
+# Packets of one beacon and day that one task joins.
+SALT_ROWS = 500_000
+BEACON_DAY = ["callsign", "flight_day"]
 
 
 def flight_named(flights: DataFrame, name: str) -> DataFrame:
@@ -41,16 +46,16 @@ def match_packets(
     flights: DataFrame,
     excluded_text: str = telemetry.RELAY_EXCLUDED,
     broadcast_rows: int = BROADCAST_ROWS,
+    salt_rows: int = SALT_ROWS,
 ) -> DataFrame:
     """Packets of the beacons of each flight, received inside its day window.
 
     Equality on callsign and local day makes this a hash join; the day also prunes a packet table
     partitioned by ``day``. A flight list within ``broadcast_rows`` is broadcast, so the packets
-    stay where they are; a longer one is joined by shuffle, where skewed beacons are split by AQE.
+    stay where they are; a longer one is joined by shuffle, in which a beacon of more than
+    ``salt_rows`` packets a day is dealt to several tasks.
     """
     windows = beacon_windows(flights)
-    if small_enough(windows, broadcast_rows):
-        windows = F.broadcast(windows)
     if "day" in packets.columns:
         received_day = F.col("day").cast("date")
     else:
@@ -58,12 +63,30 @@ def match_packets(
     heard = packets.where(~F.col("raw").contains(excluded_text)).select(
         *PACKET_COLUMNS, received_day.alias("flight_day")
     )
+    if small_enough(windows, broadcast_rows):
+        joined = heard.join(F.broadcast(windows), BEACON_DAY)
+    else:
+        joined = _salted(heard, windows, salt_rows)
     inside = (F.col("tm") > F.col("opens")) & (F.col("tm") < F.col("closes"))
-    return (
-        heard.join(windows, ["callsign", "flight_day"])
-        .where(inside)
-        .select("flight", *PACKET_COLUMNS)
-    )
+    return joined.where(inside).select("flight", *PACKET_COLUMNS)
+
+
+def _salted(heard: DataFrame, windows: DataFrame, salt_rows: int) -> DataFrame:
+    """Join by shuffle on beacon, day and salt.
+
+    Packets are counted per beacon and day, with aggregation before the shuffle. The packets of a
+    chatty one are dealt by their hash to as many salts as keep each within ``salt_rows``; its
+    windows, a few rows, go to every salt. There is one chatty key for ``salt_rows`` packets at most.
+    """
+    salts = F.ceil(F.col("rows") / salt_rows).alias("salts")
+    chatty = written(heard.groupBy(*BEACON_DAY).agg(F.count(F.lit(1)).alias("rows")).where(
+        F.col("rows") > salt_rows).select(*BEACON_DAY, salts), "chatty")
+    own = F.coalesce(F.col("salts"), F.lit(1).cast("bigint"))
+    dealt = heard.join(hinted(chatty), BEACON_DAY, "left").withColumn(
+        "salt", F.pmod(F.xxhash64("tm", "raw"), own)).drop("salts")
+    everywhere = windows.join(hinted(chatty), BEACON_DAY, "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), own - 1))).drop("salts")
+    return dealt.hint("merge").join(everywhere, [*BEACON_DAY, "salt"])
 
 
 def earliest_payloads(matched: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skytrace.operators import (
-    columns, features, kinematics, metadata, phases, polyfit, regimes, trim,
+    columns, extract, features, kinematics, metadata, phases, polyfit, regimes, trim,
 )
 from skytrace.operators.layout import WHOLE, Sliced
 
@@ -47,6 +47,35 @@ def test_position_packets(spark):
     assert kinematics.position_rows(df).count() == 1
 
 
+def test_one_beacon_with_most_packets(spark):
+    """A list too long to broadcast, 90 % of the packets from one beacon and day, no adaptive plan."""
+    start = "timestamp '2024-03-01 18:00:00'"
+    packets = spark.range(4000).selectExpr(
+        f"{start} + make_interval(0, 0, 0, 0, 0, 0, id) as tm",
+        "if(id % 10 < 9, 'HOT', concat('B', id % 50)) as callsign", "concat('p', id) as raw",
+        "0.0 as bearing", "0.0 as speed_mph", "100 as altitude", "1.0 as latitude",
+        "2.0 as longitude")
+    rows = [("F1", ["HOT", "B9"], "2024-03-01"), ("F2", ["HOT"], "2024-03-01"),
+            ("F3", ["B19"], "2024-03-01"), ("F4", ["HOT"], "2024-03-02")]
+    flights = spark.createDataFrame(rows, "flight string, beacons array<string>, day string")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        dealt = extract.match_packets(packets, flights, broadcast_rows=0, salt_rows=200)
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        found = sorted(dealt.select("flight", "raw").collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    expected = sorted(extract.match_packets(packets, flights).select("flight", "raw").collect())
+    assert found == expected and len(found) > 7000
+    # Two flights share the beacon: a task joins a few salts of some 200 packets each.
+    assert max(sizes) < len(found) / 4
+
+
 def test_lone_beacons_and_time_order(spark):
     df = positions(spark, [
         {"t": 0, "altitude_ft": 10.0}, {"t": 10, "altitude_ft": 20.0},
