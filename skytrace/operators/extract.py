@@ -36,9 +36,15 @@ def beacon_windows(flights: DataFrame) -> DataFrame:
     )
 
 
-def small_enough(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than it must to know."""
-    return df.limit(rows + 1).count() <= rows
+def _bounds(windows: DataFrame, rows: int) -> tuple[bool, int | None, int | None]:
+    """Whether there are at most ``rows`` windows, and between which instants they all lie."""
+    def over(df: DataFrame):
+        return df.agg(F.count(F.lit(1)), F.unix_micros(F.min("opens")),
+                      F.unix_micros(F.max("closes"))).first()
+
+    found = over(windows.limit(rows + 1))
+    few = found[0] <= rows
+    return few, *(found if few else over(windows))[1:]
 
 
 def match_packets(
@@ -60,10 +66,18 @@ def match_packets(
         received_day = F.col("day").cast("date")
     else:
         received_day = F.to_date(F.from_utc_timestamp("tm", clock.HOME_ZONE))
-    heard = packets.where(~F.col("raw").contains(excluded_text)).select(
-        *PACKET_COLUMNS, received_day.alias("flight_day")
-    )
-    if small_enough(windows, broadcast_rows):
+    few, opens, closes = _bounds(windows, broadcast_rows)
+    # What the whole list allows is known before the scan: it skips days, files and row groups.
+    heard = packets.where(
+        (F.col("tm") > F.timestamp_micros(F.lit(opens)))
+        & (F.col("tm") < F.timestamp_micros(F.lit(closes)))
+        & ~F.col("raw").contains(excluded_text)
+    ).select(*PACKET_COLUMNS, received_day.alias("flight_day"))
+    if "day" in packets.columns and opens is not None:
+        heard = heard.where(F.col("flight_day").between(
+            *[F.to_date(F.from_utc_timestamp(F.timestamp_micros(F.lit(t)), clock.HOME_ZONE))
+              for t in (opens, closes)]))
+    if few:
         joined = heard.join(F.broadcast(windows), BEACON_DAY)
     else:
         joined = _salted(heard, windows, salt_rows)

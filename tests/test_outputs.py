@@ -3,11 +3,12 @@
 import dataclasses
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from skytrace.operators import columns
+from skytrace.operators import columns, extract
 from skytrace.operators.numbering import numbered
 from skytrace.plans import flight as plan
 from skytrace.session import scratch_path
@@ -108,6 +109,30 @@ def test_packet_table_prunes_by_day(spark, events):
     assert "dynamicpruning" in text.lower()
 
 
+def test_scan_skips_days_no_flight_flew(spark, events, tmp_path):
+    some = events.where("user_id < 3")
+    packets, flights = source.packets(some), source.flights(some)
+    path = str(tmp_path / "packets")
+    readers.write_packet_table(packets.unionByName(packets.withColumn(
+        "tm", F.col("tm") + F.expr("interval 400 days"))), path)
+    table, one = readers.read_packets(spark, path), flights.where("flight = 'FL-1'")
+    found = extract.match_packets(table, one)
+    plan_text = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan_text and "GreaterThan(tm," in plan_text
+    filters = re.findall(r"PartitionFilters: (.*?) PushedFilters", plan_text)
+    assert any("day" in f and ">=" in f and "<=" in f for f in filters)
+    # Files of other days may be gone: no scan looks into them.
+    days = {str(r.day) for r in found.select(F.to_date(F.from_utc_timestamp(
+        "tm", "America/Denver")).alias("day")).distinct().collect()}
+    expected = found.count()
+    for folder in os.listdir(path):
+        if folder.startswith("day=") and folder[4:] not in days:
+            for name in os.listdir(f"{path}/{folder}"):
+                open(f"{path}/{folder}/{name}", "w").close()
+    again = spark.read.schema(table.schema).parquet(path)
+    assert extract.match_packets(again, one).count() == expected > 0
+
+
 def test_flight_list(spark, events, tmp_path):
     flights = source.flights(events.where("user_id < 9"))
     path = tmp_path / "flights.json"
