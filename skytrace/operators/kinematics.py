@@ -24,8 +24,17 @@ def lose(df: DataFrame, lost, reason: str) -> DataFrame:
 
 
 def survivors(df: DataFrame, keep_lost: bool) -> DataFrame:
-    """Rows still kept; with ``keep_lost`` the others stay, in windows of their own."""
-    return df if keep_lost else df.where(F.col("fate") == KEPT)
+    """Rows still kept. With ``keep_lost`` a lost row stays as well if it was its flight's first: one
+    for each step at most, in a window of its own, to tell how far a flight came that lost all."""
+    kept = F.col("fate") == KEPT
+    return df.where(kept | (F.col("row_no") == 0) if keep_lost else kept)
+
+
+def counted(df: DataFrame, name: str, keep_lost: bool) -> DataFrame:
+    """With ``keep_lost``, note how many rows of the flight have come this far."""
+    rows = F.when(F.col("fate") == KEPT, F.col("flight_rows"))
+    return df.withColumn(name, F.coalesce(name, rows) if name in df.columns else rows) \
+        if keep_lost else df
 
 
 def series_of(keep_lost: bool, *keys: str) -> list[str]:
@@ -78,8 +87,7 @@ def placed_positions(extracted: DataFrame, layout: Layout = WHOLE) -> DataFrame:
     return first_per_time(layout.place(rows, ["flight"], time_ms))
 
 
-def beacon_deltas(positions: DataFrame, layout: Layout = WHOLE,
-                  keep_lost: bool = False) -> DataFrame:
+def beacon_deltas(positions: DataFrame, layout: Layout = WHOLE) -> DataFrame:
     """Time steps and velocities between consecutive packets of a beacon.
 
     Beacons with a single packet take no part in the flight.
@@ -90,7 +98,7 @@ def beacon_deltas(positions: DataFrame, layout: Layout = WHOLE,
     }
     df = positions.withColumn("fate", F.lit(KEPT))
     df = layout.scan(df, BEACON, ["packettime"], lag=previous, size="beacon_rows")
-    df = survivors(lose(df, F.col("beacon_rows") < 2, "lone_beacon"), keep_lost)
+    df = df.where(F.col("beacon_rows") > 1)
     df = df.withColumn(
         "timedelta_s",
         (epoch_millis(F.col("packettime")) - epoch_millis(F.col("prev_time"))) / F.lit(1000.0),

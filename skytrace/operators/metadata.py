@@ -91,7 +91,7 @@ def flight_metadata(flights: DataFrame, extracted: DataFrame, tracked: DataFrame
 def flight_status(flights: DataFrame, extracted: DataFrame, followed: DataFrame) -> DataFrame:
     """Outcome of every listed flight: ``ok``, or the first guard it failed.
 
-    ``followed`` are the tracked rows including lost ones (``keep_lost``).
+    ``followed`` are the tracked rows with those that tell what became of the others (``keep_lost``).
     """
     whole = reduce(and_, [F.col(c).isNotNull() for c in ESSENTIAL])
     heard = extracted.groupBy("flight").agg(
@@ -99,8 +99,8 @@ def flight_status(flights: DataFrame, extracted: DataFrame, followed: DataFrame)
     )
     fate = F.col("fate")
     kept = followed.groupBy("flight").agg(
-        F.count_if(fate != "lone_beacon").alias("position_rows"),
-        F.count_if(~fate.isin("lone_beacon", "straggler", "outlier")).alias("filtered_rows"),
+        F.max("position_rows").alias("position_rows"),
+        F.max("filtered_rows").alias("filtered_rows"),
         F.count_if(fate == KEPT).alias("trimmed_rows"),
         F.max(F.when(fate == KEPT, F.col("ascent_rows"))).alias("ascent_rows"),
     )

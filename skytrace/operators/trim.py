@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytrace.functions.numeric import round_half_away, scaled
-from skytrace.operators.kinematics import FLIGHT_ORDER, lose, series_of, survivors
+from skytrace.operators.kinematics import FLIGHT_ORDER, counted, lose, series_of, survivors
 from skytrace.operators.layout import WHOLE, Layout
 
 # Thresholds of the trimming rules (feet, seconds, feet per second).
@@ -27,7 +27,7 @@ def apex(df: DataFrame, layout: Layout = WHOLE, keep_lost: bool = False) -> Data
     df = layout.scan(df, series_of(keep_lost, "flight"), FLIGHT_ORDER, index="row_no",
                      size="flight_rows", totals={"apex": ("min", highest)})
     time, top = F.col("packettime"), F.col("apex.packettime")
-    return df.withColumns({
+    return counted(df, "position_rows", keep_lost).withColumns({
         "apex_ft": -F.col("apex.depth"),
         "apex_m": F.col("apex.altitude_m"),
         "ascending": (time < top)
@@ -79,11 +79,11 @@ def forward_averages(df: DataFrame, layout: Layout, part, order, value: str,
 
 def flight_averages(df: DataFrame, layout: Layout = WHOLE, keep_lost: bool = False) -> DataFrame:
     """Renumber the rows left and add the short and long forward mean of vertical velocity."""
-    return forward_averages(
+    return counted(forward_averages(
         df, layout, series_of(keep_lost, "flight"), FLIGHT_ORDER, "velocity_z_fts",
         {"forward_avg": SHORT_AVERAGE, "long_forward_avg": LONG_AVERAGE},
         index="row_no", size="flight_rows",
-    )
+    ), "filtered_rows", keep_lost)
 
 
 def launch_and_landing(df: DataFrame, layout: Layout = WHOLE,
@@ -115,9 +115,8 @@ def trim(df: DataFrame, keep_lost: bool = False) -> DataFrame:
     row, first, end = F.col("row_no"), F.col("first_row"), F.col("end_row")
     cut = (first > 0) | (end < F.col("flight_rows") - 1)
     df = lose(df, cut & (row < first), "before_launch")
-    df = lose(df, cut & (row >= end), "after_landing")
-    df = df.withColumns({
+    df = survivors(lose(df, cut & (row >= end), "after_landing"), keep_lost)
+    return df.withColumns({
         "row_no": row - first,
         "flight_rows": F.when(cut, end - first).otherwise(F.col("flight_rows")),
-    })
-    return survivors(df, keep_lost).drop("first_row", "end_row")
+    }).drop("first_row", "end_row")

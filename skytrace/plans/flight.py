@@ -26,7 +26,7 @@ def trimmed_rows(extracted: DataFrame, layout: Layout = WHOLE,
                  keep_lost: bool = False) -> DataFrame:
     """Merged position packets with velocities, cut to the time between launch and landing."""
     df = kinematics.stow(kinematics.placed_positions(extracted, layout))
-    df = kinematics.beacon_deltas(df, layout, keep_lost)
+    df = kinematics.beacon_deltas(df, layout)
     df = trim.apex(df, layout, keep_lost)
     df = trim.cut_stragglers(df, layout, keep_lost)
     df = trim.eject_outliers(df, keep_lost)
@@ -41,7 +41,8 @@ def phase_rows(extracted: DataFrame, layout: Layout = WHOLE) -> DataFrame:
 
 
 def followed_rows(extracted: DataFrame, layout: Layout = WHOLE) -> DataFrame:
-    """Every position packet with the reason it was left out, if it was."""
+    """Rows left after trimming, with the numbers of rows before, and of every flight that lost all
+    its rows in a step the first one with the reason."""
     return phases.split_phases(trimmed_rows(extracted, layout, True), layout, True)
 
 
@@ -52,7 +53,8 @@ def tracked_rows(extracted: DataFrame, layout: Layout = WHOLE) -> DataFrame:
 
 def tracked_again(followed: DataFrame, layout: Layout = WHOLE) -> DataFrame:
     """``tracked_rows`` from followed rows that have been written."""
-    kept = phases.usable_flights(followed.where(F.col("fate") == kinematics.KEPT))
+    kept = phases.usable_flights(followed.where(F.col("fate") == kinematics.KEPT)).drop(
+        "position_rows", "filtered_rows")
     return _tracked(layout.place(kept, ["flight"], epoch_millis(F.col("packettime"))), layout)
 
 
