@@ -14,6 +14,8 @@ The dictionaries are fitted on a bounded sample: ``per_language`` documents of e
 ones with the smallest hash in each of as many slots, ``passage`` characters of each from a place
 that the hash selects. Everything else reads whole texts.
 
+The dictionaries go to every task, so there may be ``MAX_LANGUAGES`` languages; more are an error.
+
 Nulls and edges: a null text or one without a letter is ``und`` with score 0 and rejected. Rows
 without language teach nothing. Ties go to the language with more labelled rows, then by name.
 Repeated rows are scored each; with nothing to learn from, every text is ``und``. Other columns

@@ -1,6 +1,8 @@
 import os
+import random
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from skytrace.llm import langid as L
@@ -37,6 +39,43 @@ def test_blocks_cover_the_whole_text():
     assert L.decide(mixed, model, 0.0)[0] == "y"
 
 
+def test_short_texts_against_plain_loops():
+    draw = random.Random(4)
+    words = {name: ["".join(draw.choice(letters) for _ in range(draw.randint(2, 8)))
+                    for _ in range(300)] for name, letters in (("x", "abcdef"), ("y", "efghij"))}
+    model = tuple((name, " ".join(draw.choice(own) for _ in range(n)).encode())
+                  for (name, own), n in zip(words.items(), (3000, 2000)))
+    count = min(L.SLICES, min(len(c) for _, c in model) // L.SLICE)
+    assert count > 1
+    for text in (b"a", b"abc def", " ".join(words["y"][:20]).encode(), b"q" * (L.SHORT - 1)):
+        expected = []
+        for _, content in model:
+            held = zstandard.ZstdCompressionDict(
+                content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            with_all = zstandard.ZstdCompressor(
+                level=L.LEVEL, dict_data=held, write_content_size=False, write_checksum=False,
+                write_dict_id=False)
+            alone = zstandard.ZstdCompressor(
+                level=L.LEVEL, write_content_size=False, write_checksum=False)
+            added = 0
+            for i in range(count):
+                begin = len(content) * i // count
+                part = content[begin:begin + L.SLICE] + b" "
+                added += len(alone.compress(part + text)) - len(alone.compress(part))
+            expected.append((len(with_all.compress(text)) + added / count) / 2)
+        assert L.measured(text, model).tolist() == pytest.approx(expected)
+    long = b"ab " * L.SHORT
+    assert L.measured(long, model).tolist() == L.sizes(long, model).tolist()
+
+
+def test_too_many_languages_are_an_error(spark):
+    docs = documents(spark, [(i, f"text {i}") for i in range(L.MAX_LANGUAGES + 1)]).withColumn(
+        "lang", F.concat(F.lit("l"), F.col("doc_id").cast("string")))
+    with pytest.raises(ValueError, match="more than 128 languages"):
+        L.fit(docs)
+    assert len(L.fit(docs.where("doc_id > 0"))) == L.MAX_LANGUAGES
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     rows = L.evaluated(docs).collect()
