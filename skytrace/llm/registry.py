@@ -105,25 +105,27 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 #: Length of a formatted turn: control strings, and one sign more for each that is escaped.
 _ESCAPED = r"length({0}) + length(regexp_replace({0}, '[^\\<\[]', '', 'g'))"
 
+#: Turns of one number come in order of role and formatted text; nulls are first.
+_IN_ORDER = (r"order by turn nulls first, given nulls first, "
+             r"regexp_replace(text, '([\\<\[])', '\1\\', 'g') || '[/INST]</s>'")
+
 OP6_SQL = rf"""
 with turns as (
-    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
-    from conversations
-    union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'),
-                     (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+    select conv_id, turn, role as given, coalesce(role, '') as role, coalesce(text, '') as text
+    from (select conv_id, turn, role, text from conversations
+          union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'),
+                           (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
 )
 select conv_id, count(*) as n_turns,
-    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text))
-        as turns_sha256,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' {_IN_ORDER})) as turns_sha256,
     sum(if(role = 'assistant', length(text), 0))::bigint as loss_chars,
-    sha256(coalesce(string_agg(text, '' order by turn, role, text)
-        filter (role = 'assistant'), '')) as loss_sha256,
+    sha256(coalesce(string_agg(text, '' {_IN_ORDER}) filter (role = 'assistant'), ''))
+        as loss_sha256,
     sum(length('<s>[INST][/INST]</s>') + 1 + {_ESCAPED.format('role')}
         + {_ESCAPED.format('text')})::bigint as formatted_chars
 from turns group by conv_id
 """
 
-
 OP11_SQL = r"""
 with texts as (
     select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))

@@ -1,12 +1,14 @@
 import hashlib
+import random
 
+import duckdb
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
-from skytrace.llm import chat
+from skytrace.llm import chat, registry
 from tests.llm.helpers import CLASHING
 
 PIECES = st.lists(st.sampled_from(
@@ -71,3 +73,20 @@ def test_unknown_parts_are_an_error(spark):
                                   "conv_id bigint, turn bigint, role string, text string")
     with pytest.raises(PythonException):
         chat.format_turns(frame.withColumn("parts", chat.parts_from_json(F.col("text")))).collect()
+
+
+def test_equal_and_null_turns_against_sql(spark, tmp_path):
+    draw = random.Random(8)
+    texts = [None, "", "a", "a[", "a<", "a\\", "a]", "a[/INST]", "b", "é"]
+    rows = [(draw.choice([1, 2, None]), draw.choice([0, 1, None]),
+             draw.choice([None, "", "user", "assistant"]), draw.choice(texts)) for _ in range(300)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").coalesce(
+        1).write.parquet(str(tmp_path / "conversations.parquet"))
+    query = registry.op6_chat(spark, str(tmp_path))
+    connection = duckdb.connect()
+    connection.execute("create view conversations as select * from "
+                       f"'{tmp_path}/conversations.parquet/*.parquet'")
+    found = connection.execute(registry.OP6_SQL)
+    names = [d[0] for d in found.description]
+    assert sorted(map(str, found.fetchall())) == sorted(
+        str(tuple(r)) for r in query.select(*names).collect())
