@@ -1,4 +1,9 @@
-"""Small logistic models, fitted on bounded samples."""
+"""Small logistic models, fitted on bounded samples.
+
+Rows are numbers without nulls; callers turn nulls into values of their own. Repeated rows count each
+time. Without rows, or with one class, the ridge keeps the weights finite; order never matters but for
+rounding.
+"""
 
 from __future__ import annotations
 
