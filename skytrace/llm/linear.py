@@ -1,8 +1,8 @@
 """Small logistic models, fitted on bounded samples.
 
-Rows are numbers without nulls; callers turn nulls into values of their own. Repeated rows count each
-time. Without rows, or with one class, the ridge keeps the weights finite; order never matters but for
-rounding.
+Rows are numbers without nulls; callers turn nulls into values of their own and see to it that there
+are rows. Repeated rows count each time. With one class the ridge keeps the weights finite. The order of
+rows matters for rounding only.
 """
 
 from __future__ import annotations
