@@ -433,7 +433,7 @@ def sink_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "xlsx")
     results = plan.process(*_declared(spark, sf_dir))
     writers.write_workbook_tables(results.metadata, results.packets, path)
-    return spark.read.parquet(f"{path}/metadata")
+    return spark.read.parquet(f"{path}/metadata").select("name", "value", "flight")
 
 
 def sink_workbook_phases(spark: SparkSession, sf_dir: str) -> DataFrame:

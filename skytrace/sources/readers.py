@@ -80,9 +80,10 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a file or folder."""
+    """Whether there is a file or folder; ``path`` may be a pattern."""
     try:
-        spark.read.format("binaryFile").load(path).limit(0).collect()
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).limit(
+            0).collect()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return False

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +32,16 @@ ARRAY_ROWS = 100_000
 # A run replaces the folders of its own flights only.
 RERUN = {"partitionOverwriteMode": "dynamic"}
 
+# Most flights with a folder each; the tables of a run with more hold many flights in one folder,
+# because a file and its commit cost far more than the rows of a flight.
+FOLDER_FLIGHTS = 1_000
+
+# Folders of such a table. Fixed: a later run must find its flights in the same ones.
+GROUP = "flight_group"
+GROUPS = 64
+
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+
 
 def _per_day(packets: DataFrame, *order: str) -> DataFrame:
     """Packets with the day they were sent."""
@@ -43,8 +54,80 @@ def _per_flight(df: DataFrame, *order: str) -> DataFrame:
     return df.withColumn("flight", F.lower("flight")).sortWithinPartitions("flight", *order)
 
 
-def write_packets_csv(packets: DataFrame, path: str) -> None:
-    """Packets of each flight in its own folder, standard columns, with a header."""
+def more_flights(df: DataFrame, than: int = FOLDER_FLIGHTS) -> bool:
+    """Whether ``df`` holds more than so many flights."""
+    return df.select(F.lower("flight")).distinct().limit(than + 1).count() > than
+
+
+def folders(spark: SparkSession, path: str, many: bool) -> str:
+    """How the table at ``path`` is split: as an earlier run has, else by the number of flights."""
+    if readers.exists(spark, f"{path}/{GROUP}=*"):
+        return "group"
+    return "group" if many and not readers.exists(spark, f"{path}/*=*") else "flight"
+
+
+def _named(name: str) -> Column:
+    """A column by its whole name, dots and backticks in it too."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _with_earlier(rows: DataFrame, earlier: DataFrame, key: str) -> DataFrame:
+    """``rows`` and what earlier runs have left of other flights in the folders to be replaced.
+
+    These are the folders of the flights of ``rows``, or all if the columns are not the same.
+    """
+    own = rows.select(F.col(key).alias("own"), F.col(GROUP).alias("own_group")).distinct()
+    if set(earlier.columns) == set(rows.columns):
+        earlier = earlier.join(own.select("own_group").distinct(),
+                               F.col(GROUP) == F.col("own_group"), "left_semi")
+    others = earlier.join(own, F.col(key).eqNullSafe(F.col("own")), "left_anti")
+    # What is read is about to be replaced.
+    return written(rows.unionByName(others, allowMissingColumns=True), "regrouped")
+
+
+def _per_group(df: DataFrame, path: str, earlier: Callable[[str], DataFrame], order: Sequence[str],
+               inner: Sequence[str] = (), key: str = "flight") -> DataFrame:
+    """Rows with the lower-case name of their flight, ``key``, and its hash, which is their folder;
+    each folder in order of flight. AQE splits what is too large for one task."""
+    name = F.lower("flight")
+    rows = df.select(
+        *[_named(c) for c in df.columns if c != key], name.alias(key),
+        F.pmod(F.xxhash64(name), F.lit(GROUPS)).cast("int").alias(GROUP))
+    if readers.exists(df.sparkSession, f"{path}/{GROUP}=*"):
+        rows = _with_earlier(rows, earlier(path), key)
+    return rows.hint("rebalance", GROUP).sortWithinPartitions(GROUP, *inner, key, *order)
+
+
+def _write_parquet(df: DataFrame, path: str, by: str, order: Sequence[str] = (),
+                   inner: Sequence[str] = ()) -> None:
+    """A table in folders of one flight each, or with ``by="group"`` of many."""
+    if by == "group":
+        rows = _per_group(df, path, df.sparkSession.read.parquet, order, inner)
+    else:
+        rows = _per_flight(df, *inner, *order)
+    rows.write.mode("overwrite").options(**RERUN).partitionBy(
+        GROUP if by == "group" else "flight", *inner).parquet(path)
+
+
+def _write_grouped_csv(df: DataFrame, path: str, order: Sequence[str], key: str,
+                       time_format: str, **options) -> None:
+    """A CSV table in folders of many flights; the lower-case name of its flight, ``key``, is a
+    row's last field."""
+    texts = df.select(*[
+        (F.date_format(_named(c), time_format) if kind == "timestamp_ntz"
+         else _named(c).cast("string")).alias(c) for c, kind in df.dtypes])
+    reader = df.sparkSession.read.options(**CSV_OPTIONS).option("multiLine", True)
+    rows = _per_group(texts, path, reader.csv, order, key=key)
+    rows.write.mode("overwrite").options(**RERUN, **CSV_OPTIONS, **options).partitionBy(
+        GROUP).csv(path)
+
+
+def write_packets_csv(packets: DataFrame, path: str, by: str = "flight") -> None:
+    """Packets of each flight in its own folder, standard columns, with a header; with
+    ``by="group"`` of many flights in each folder."""
+    if by == "group":
+        _write_grouped_csv(packets, path, FLIGHT_ORDER, "flight", "yyyy-MM-dd HH:mm:ss.SSS")
+        return
     _per_flight(packets, *FLIGHT_ORDER).write.mode("overwrite").options(**RERUN).partitionBy(
         "flight").option(
         "header", True).option("quote", '"').option("escape", '"').option(
@@ -52,17 +135,24 @@ def write_packets_csv(packets: DataFrame, path: str) -> None:
 
 
 def write_packets_parquet(packets: DataFrame, path: str, by: str = "flight") -> None:
-    """Packets of each flight in its own folder, or of each day with ``by="day"``, which keeps the
-    number of folders small when there are very many flights."""
-    split = {"flight": _per_flight, "day": _per_day}[by]
-    rerun = RERUN if by == "flight" else {}
-    split(packets, *FLIGHT_ORDER).write.mode("overwrite").options(**rerun).partitionBy(
-        by).parquet(path)
+    """Packets of each flight in its own folder, or of each day with ``by="day"`` or of many flights
+    with ``by="group"``, which keep the number of folders small when there are very many flights."""
+    if by == "day":
+        _per_day(packets, *FLIGHT_ORDER).write.mode("overwrite").partitionBy(by).parquet(path)
+    else:
+        _write_parquet(packets, path, by, FLIGHT_ORDER)
 
 
-def write_metadata_csv(metadata: DataFrame, path: str, per_flight: bool = False) -> None:
-    """Flattened records with dotted column names; quotes doubled, nulls empty."""
+def write_metadata_csv(metadata: DataFrame, path: str, per_flight: bool = False,
+                       by: str = "flight") -> None:
+    """Flattened records with dotted column names; quotes doubled, nulls empty.
+
+    In folders of one flight each if ``per_flight``, of many flights if also ``by="group"``.
+    """
     flat = flatten(metadata)
+    if per_flight and by == "group":
+        _write_grouped_csv(flat, path, (), "folder", JSON_TIME, emptyValue="")
+        return
     writer = (
         _per_flight(flat.withColumn("flight_id", F.col("flight")))
         .withColumnRenamed("flight", "folder").withColumnRenamed("flight_id", "flight")
@@ -142,15 +232,27 @@ def flight_documents(metadata: DataFrame, packets: DataFrame,
         "flight", "part", F.to_json(whole, JSON_OPTIONS).alias("value"))
 
 
-def write_texts(documents: DataFrame, path: str) -> None:
-    """Document texts, one folder per flight."""
+def _document_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Documents in folders of many flights, with the flight and part that they are of."""
+    return spark.read.text(path).select(
+        F.get_json_object("value", "$.part").cast("bigint").alias("part"), "value",
+        F.lower(F.get_json_object("value", "$.flight")).alias("flight"), GROUP)
+
+
+def write_texts(documents: DataFrame, path: str, by: str = "flight") -> None:
+    """Document texts, one folder per flight, or with ``by="group"`` for many flights."""
+    if by == "group":
+        rows = _per_group(documents, path, partial(_document_rows, documents.sparkSession), ["part"])
+        rows.select("value", GROUP).write.mode("overwrite").options(**RERUN).partitionBy(
+            GROUP).text(path)
+        return
     _per_flight(documents, "part").select("flight", "value").write.mode("overwrite").options(
         **RERUN).partitionBy("flight").text(path)
 
 
-def write_documents(metadata: DataFrame, packets: DataFrame, path: str) -> None:
+def write_documents(metadata: DataFrame, packets: DataFrame, path: str, by: str = "flight") -> None:
     """JSON documents of all flights."""
-    write_texts(flight_documents(metadata, packets), path)
+    write_texts(flight_documents(metadata, packets), path, by)
 
 
 def key_value_rows(metadata: DataFrame) -> DataFrame:
@@ -167,20 +269,21 @@ def key_value_rows(metadata: DataFrame) -> DataFrame:
     return metadata.select("flight", F.explode(pairs).alias("pair")).select("flight", "pair.*")
 
 
-def write_workbook_tables(metadata: DataFrame, packets: DataFrame, path: str) -> None:
+def write_workbook_tables(metadata: DataFrame, packets: DataFrame, path: str,
+                          folder_flights: int = FOLDER_FLIGHTS) -> None:
     """The three sheets of a flight workbook as tables: metadata, ascent, descent.
 
-    A phase without rows has no table.
+    A phase without rows has no table. More than ``folder_flights`` flights share folders.
     """
-    _per_flight(key_value_rows(metadata), "name").write.mode("overwrite").options(
-        **RERUN).partitionBy("flight").parquet(f"{path}/metadata")
-    ordered = _per_flight(packets, "flight_phase", *FLIGHT_ORDER)
-    ordered.write.mode("overwrite").options(**RERUN).partitionBy(
-        "flight", "flight_phase").parquet(f"{path}/phases")
+    spark, many = metadata.sparkSession, more_flights(metadata, folder_flights)
+    sheet, phases = f"{path}/metadata", f"{path}/phases"
+    _write_parquet(key_value_rows(metadata), sheet, folders(spark, sheet, many), ["name"])
+    _write_parquet(packets, phases, folders(spark, phases, many), FLIGHT_ORDER, ["flight_phase"])
 
 
-def write_features(tracked: DataFrame, path: str) -> None:
-    """Map features: headings, paths, waypoints and points of interest."""
+def write_features(tracked: DataFrame, path: str, many: bool = False) -> None:
+    """Map features: headings, paths, waypoints and points of interest; ``many`` flights share
+    folders."""
     tables = {
         "captions": features.captions(tracked),
         "paths": features.paths(tracked),
@@ -188,8 +291,8 @@ def write_features(tracked: DataFrame, path: str) -> None:
         "points": features.points_of_interest(tracked),
     }
     for name, table in tables.items():
-        _per_flight(table).write.mode("overwrite").options(**RERUN).partitionBy(
-            "flight").parquet(f"{path}/{name}")
+        _write_parquet(table, f"{path}/{name}", folders(
+            tracked.sparkSession, f"{path}/{name}", many))
 
 
 def flat_flight_list(flights: DataFrame, weight_names: Sequence[str] | None = None) -> DataFrame:
