@@ -317,12 +317,14 @@ def write_flight_list_csv(flights: DataFrame, path: str,
         "quoteAll", True).option("escape", '"').csv(path)
 
 
-def write_outputs(results, path: str, kind: str = "all", flight_count: int | None = None) -> None:
+def write_outputs(results, path: str, kind: str = "all", flight_count: int | None = None,
+                  folder_flights: int = FOLDER_FLIGHTS) -> None:
     """Write the results of a run in one of ``KINDS``.
 
     Consolidated metadata comes with several flights, and with every kind that holds metadata; it
     takes along the flights that earlier runs have left at ``path``. Per-flight outputs of other
-    flights stay as they are.
+    flights stay as they are. More than ``folder_flights`` flights share folders, each table's rows
+    in order of flight; a table is split as the run that began it has split it.
     """
     if kind not in KINDS:
         raise ValueError(f"unknown kind of output {kind!r}, expected one of {KINDS}")
@@ -330,18 +332,23 @@ def write_outputs(results, path: str, kind: str = "all", flight_count: int | Non
     def wanted(name: str) -> bool:
         return kind in (name, "all")
 
+    spark, many = results.metadata.sparkSession, more_flights(results.metadata, folder_flights)
+
+    def by(table: str) -> str:
+        return folders(spark, f"{path}/{table}", many)
+
     if wanted("csv"):
-        write_packets_csv(results.packets, f"{path}/csv/packets")
-        write_metadata_csv(results.metadata, f"{path}/csv/metadata", per_flight=True)
+        write_packets_csv(results.packets, f"{path}/csv/packets", by("csv/packets"))
+        write_metadata_csv(results.metadata, f"{path}/csv/metadata", True, by("csv/metadata"))
     if wanted("json"):
         numbered = published(results.tracked, "row_no")
-        write_documents(results.metadata, numbered, f"{path}/json/flights")
+        write_documents(results.metadata, numbered, f"{path}/json/flights", by("json/flights"))
     if wanted("parquet"):
-        write_packets_parquet(results.packets, f"{path}/parquet")
+        write_packets_parquet(results.packets, f"{path}/parquet", by("parquet"))
     if wanted("xlsx"):
-        write_workbook_tables(results.metadata, results.packets, f"{path}/xlsx")
+        write_workbook_tables(results.metadata, results.packets, f"{path}/xlsx", folder_flights)
     if wanted("kml"):
-        write_features(results.tracked, f"{path}/kml")
+        write_features(results.tracked, f"{path}/kml", many)
 
     several = flight_count is None or flight_count > 1
     if (several or kind in CONSOLIDATED_KINDS) and not results.metadata.isEmpty():

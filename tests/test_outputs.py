@@ -224,3 +224,58 @@ def test_map_keys_are_a_union(spark):
     frame = spark.createDataFrame(maps, "`m.n` map<string,string>").repartition(3)
     assert columns.map_key_names(frame, "m.n") == ["OBJECT<x", "a`b", "c d"]
     assert columns.map_key_names(frame.where("false"), "m.n") == []
+
+
+def table(spark, path):
+    if "/csv/" in path:
+        return spark.read.option("header", True).option("escape", '"').option(
+            "multiLine", True).csv(path)
+    return spark.read.text(path) if "/json/" in path else spark.read.parquet(path)
+
+
+PER_FLIGHT = ["csv/packets", "csv/metadata", "json/flights", "parquet", "xlsx/metadata",
+              "xlsx/phases", "kml/captions", "kml/paths", "kml/waypoints", "kml/points"]
+
+
+def contents(spark, path, name):
+    """All rows of a table, without the columns that name folders."""
+    read = table(spark, f"{path}/{name}")
+    columns = sorted(set(read.columns) - {"flight_group", "folder"} - (
+        {"flight"} if name == "json/flights" else set()))
+    rows = read.select(*[F.col(f"`{c}`").cast("string") for c in columns]).collect()
+    return columns, sorted(map(str, rows))
+
+
+def test_many_flights_share_folders(spark, results):
+    """Rows of all tables are those of a folder for each flight, in folders of a bounded number."""
+    one, many = scratch_path(spark, "one"), scratch_path(spark, "many")
+    writers.write_outputs(results, one, "all")
+    writers.write_outputs(results, many, "all", folder_flights=1)
+    for name in PER_FLIGHT:
+        assert {f.split("=")[0] for f in os.listdir(f"{many}/{name}") if "=" in f} == {
+            "flight_group"}, name
+        assert contents(spark, many, name) == contents(spark, one, name), name
+
+    # A second run of some flights replaces these only, and keeps to the folders of the first.
+    def part(keep, **more):
+        return dataclasses.replace(results, **{
+            name: getattr(results, name).where(keep)
+            for name in ("extracted", "tracked", "packets", "metadata", "status")} | more)
+
+    first = results.metadata.agg(F.min("flight")).first()[0]
+    again = scratch_path(spark, "again")
+    writers.write_outputs(part(F.lit(True), packets=results.packets.withColumn(
+        "raw", F.lit("old, \"text\"\nof two lines")),
+        metadata=results.metadata.drop("h2fill")), again, "all", folder_flights=1)
+    writers.write_outputs(part(F.col("flight") == first), again, "all")
+    for name in PER_FLIGHT:
+        columns, rows = contents(spark, again, name)
+        expected_columns, expected = contents(spark, one, name)
+        if name == "xlsx/metadata":  # the first run has no such field
+            expected = [r for r in expected if "name='h2fill'" not in r or first.lower() in r]
+        assert columns == expected_columns and len(rows) == len(expected), name
+    stored = table(spark, f"{again}/csv/packets")
+    assert {r.flightid for r in stored.where("raw not like 'old%'").select("flightid").distinct()
+            .collect()} == {first}
+    fill = table(spark, f"{again}/csv/metadata").where("h2fill is not null")
+    assert [r.flight for r in fill.collect()] == [first]
