@@ -44,6 +44,10 @@ QUESTION_OVERLAP = 0.5
 ANSWER_OVERLAP = 0.8
 ANSWER_SHINGLES = 4
 BLOCK_UNITS = 16
+#: Texts searched at once, and numbers in a table of passages' terms and blocks: what a task holds
+#: beside its rows is some thirty times the first and four times the second.
+BLOCK_BYTES = 1 << 20
+BOUND_CELLS = 1 << 19
 #: Bounds one part of the index; a larger benchmark is searched part by part.
 PART_BYTES = 4 << 20
 
@@ -137,15 +141,25 @@ class Index:
             return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
         hopeful = np.flatnonzero(np.logical_or.reduceat(essential, starts))
         lengths = np.diff(np.append(starts, len(passages)))
-        rows = _expand(starts[hopeful], lengths[hopeful])
-        firsts = np.concatenate(([0], np.cumsum(lengths[hopeful])[:-1]))
-        bounds = np.add.reduceat(self.block_max[terms[rows]], firsts, axis=0)
-        touched = np.logical_or.reduceat(
-            (self.block_max[terms[rows]] > 0) & essential[rows][:, None], firsts, axis=0)
+        at_once = max(1, BOUND_CELLS // self.blocks)
+        cuts = np.flatnonzero(np.diff((np.cumsum(lengths[hopeful]) - 1) // at_once)) + 1
+        found = [self._scored(passages, terms, essential, starts[some], lengths[some], threshold)
+                 for some in np.split(hopeful, cuts)]
+        return tuple(map(np.concatenate, zip(*found)))
+
+    def _scored(self, passages: np.ndarray, terms: np.ndarray, essential: np.ndarray,
+                starts: np.ndarray, lengths: np.ndarray,
+                threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``search`` for the passages whose terms begin at ``starts``."""
+        rows = _expand(starts, lengths)
+        firsts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        most = self.block_max[terms[rows]]
+        bounds = np.add.reduceat(most, firsts, axis=0)
+        touched = np.logical_or.reduceat((most > 0) & essential[rows][:, None], firsts, axis=0)
         which, block = np.nonzero(touched & (bounds >= threshold - 1e-9))
         if not len(which):
             return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
-        begin, count = starts[hopeful][which], lengths[hopeful][which]
+        begin, count = starts[which], lengths[which]
         rows = _expand(begin, count)
         pair = np.repeat(np.arange(len(which)), count)
         key = terms[rows] * self.blocks + block[pair]
@@ -154,7 +168,7 @@ class Index:
         target = owner * BLOCK_UNITS + self.units[entries] % BLOCK_UNITS
         scores = np.bincount(target, self.scores[entries], len(which) * BLOCK_UNITS)
         good = np.flatnonzero(scores >= threshold - 1e-9)
-        return (passages[starts[hopeful][which[good // BLOCK_UNITS]]],
+        return (passages[starts[which[good // BLOCK_UNITS]]],
                 block[good // BLOCK_UNITS] * BLOCK_UNITS + good % BLOCK_UNITS, scores[good])
 
 
@@ -231,7 +245,7 @@ def leaks_in(batch: pa.RecordBatch, index: Index, threshold: float, question: fl
 def _leaks(batches: Iterable[pa.RecordBatch], indexes: list[Index],
            **limits: float) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in LEAKS.split(", ")]
-    for batch in T.blocks(batches):
+    for batch in T.blocks(batches, size=BLOCK_BYTES):
         ids = T.column(batch, "doc_id").to_pylist()
         rows = [(ids[row], index.item_ids[item], *rest) for index in indexes
                 for row, item, *rest in leaks_in(batch, index, **limits)]
@@ -243,7 +257,7 @@ def _leaks(batches: Iterable[pa.RecordBatch], indexes: list[Index],
 
 def _clean(batches: Iterable[pa.RecordBatch], indexes: list[Index],
            **limits: float) -> Iterator[pa.RecordBatch]:
-    for batch in T.blocks(batches):
+    for batch in T.blocks(batches, size=BLOCK_BYTES):
         good = np.ones(batch.num_rows, bool)
         for index in indexes:
             good[[row for row, *_ in leaks_in(batch, index, **limits)]] = False

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -124,3 +125,22 @@ def test_odd_rows(spark):
     assert D.clean(docs, items).columns == docs.columns
     assert D.leaks(docs, benchmark(spark, [])).count() == 0
     assert D.leaks(documents(spark, []), items).count() == 0
+
+
+def test_search_holds_a_bounded_part_of_a_batch(spark):
+    """Eight megabytes of passages that share their terms with the items."""
+    index = next(D.indexes(benchmark(spark)))
+    texts = [" ".join(words_of(300 + i, 2000)) for i in range(40)]
+    texts += [texts[i % 40] + " " + ITEMS[5 + i % 6][1] for i in range(40)]
+    texts *= -(-(8 << 20) // sum(map(len, texts)))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)],
+                                       ["doc_id", "text"])
+    limits = D._limits(D.THRESHOLD, D.QUESTION_OVERLAP, D.ANSWER_OVERLAP)
+    tracemalloc.start()
+    try:
+        kept = sum(b.num_rows for b in D._clean([batch], [index], **limits))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert kept == len(texts) // 2
+    assert peak < 64 << 20
