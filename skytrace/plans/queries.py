@@ -340,10 +340,16 @@ def _standard(stored: DataFrame, like: DataFrame) -> DataFrame:
                            for c in (*OUTPUT_COLUMNS, *TRAILING_COLUMNS)])
 
 
+def _split(spark: SparkSession, sf_dir: str) -> str:
+    """How a new table of packets is split into folders: by the number of listed flights."""
+    listed = source.flights(source.read_events(spark, sf_dir))
+    return "group" if writers.more_flights(listed, writers.FOLDER_FLIGHTS) else "flight"
+
+
 def sink_roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "parquet")
     packets = over_events(spark, sf_dir, column_order)
-    writers.write_packets_parquet(packets, path)
+    writers.write_packets_parquet(packets, path, _split(spark, sf_dir))
     return _standard(spark.read.parquet(path), packets)
 
 
