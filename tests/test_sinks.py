@@ -66,3 +66,7 @@ def check_folders(monkeypatch, spark, folder, expected, name):
 
 def test_many_flights_share_parquet_folders(monkeypatch, spark, folder, expected):
     check_folders(monkeypatch, spark, folder, expected, "sink_roundtrip_parquet")
+
+
+def test_many_flights_share_csv_folders(monkeypatch, spark, folder, expected):
+    check_folders(monkeypatch, spark, folder, expected, "sink_roundtrip_csv")
