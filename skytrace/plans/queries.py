@@ -367,17 +367,26 @@ def sink_roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "json")
+    published = []
 
     def documents(events, layout):
-        curved = _curved(events, layout)
-        return writers.flight_documents(
-            metadata.flight_metadata(source.flights(events), _extracted(events, layout), curved),
-            columns.published(curved, "row_no"))
-
-    writers.write_texts(over_events(spark, sf_dir, documents), path)
-    stored = spark.read.option("recursiveFileLookup", True).json(path)
+        # Packets and records read both, so both are written once rather than computed twice.
+        extracted = written(_extracted(events, layout), "extracted")
+        rows = written(plan.tracked_rows(extracted, layout), "tracked")
+        add_curves = polyfit.with_curves if layout.sliced else polyfit.with_curves_by_flight
+        packets = columns.published(add_curves(rows, plan.fitted(rows, layout)), "row_no")
+        published.append(packets.drop("flight", "row_no"))
+        return writers.flight_records(
+            metadata.flight_metadata(source.flights(events), extracted, rows), packets)
+
+    writers.write_records(over_events(spark, sf_dir, documents), path, _split(spark, sf_dir))
+    # Types are known, so texts are read once; times are texts in a document.
+    fields = ", ".join(f"{c} {'string' if kind == 'timestamp_ntz' else kind}"
+                       for c, kind in published[0].dtypes)
+    stored = spark.read.schema(f"packets array<struct<{fields}>>").options(
+        recursiveFileLookup=True, mode="FAILFAST").json(path)
     packets = stored.select(F.explode("packets").alias("p")).select("p.*")
-    return _standard(packets, over_events(spark, sf_dir, column_order))
+    return _standard(packets, published[0])
 
 
 def metadata_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from skytrace.operators.columns import flat_columns, flatten, map_key_names, pub
 from skytrace.operators.kinematics import FLIGHT_ORDER
 from skytrace.operators.numbering import numbered
 from skytrace.schemas import FLIGHTS
-from skytrace.session import written
+from skytrace.session import shuffles_dropped, written
 from skytrace.sources import readers
 
 # Formats and the time format of JSON documents.
@@ -105,21 +105,31 @@ def _write_parquet(df: DataFrame, path: str, by: str, order: Sequence[str] = (),
         rows = _per_group(df, path, df.sparkSession.read.parquet, order, inner)
     else:
         rows = _per_flight(df, *inner, *order)
-    rows.write.mode("overwrite").options(**RERUN).partitionBy(
-        GROUP if by == "group" else "flight", *inner).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        rows.write.mode("overwrite").options(**RERUN).partitionBy(
+            GROUP if by == "group" else "flight", *inner).parquet(path)
 
 
 def _write_grouped_csv(df: DataFrame, path: str, order: Sequence[str], key: str,
                        time_format: str, **options) -> None:
     """A CSV table in folders of many flights; the lower-case name of its flight, ``key``, is a
     row's last field."""
-    texts = df.select(*[
-        (F.date_format(_named(c), time_format) if kind == "timestamp_ntz"
-         else _named(c).cast("string")).alias(c) for c, kind in df.dtypes])
-    reader = df.sparkSession.read.options(**CSV_OPTIONS).option("multiLine", True)
-    rows = _per_group(texts, path, reader.csv, order, key=key)
-    rows.write.mode("overwrite").options(**RERUN, **CSV_OPTIONS, **options).partitionBy(
-        GROUP).csv(path)
+    def texts(rows: DataFrame) -> DataFrame:
+        return rows.select(*[
+            _named(c) if c == GROUP
+            else (F.date_format(_named(c), time_format) if kind == "timestamp_ntz"
+                  else _named(c).cast("string")).alias(c) for c, kind in rows.dtypes])
+
+    spark = df.sparkSession
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", True)
+    # Rows are smaller than their texts in a shuffle; what an earlier run has left is texts.
+    if readers.exists(spark, f"{path}/{GROUP}=*"):
+        rows = _per_group(texts(df), path, reader.csv, order, key=key)
+    else:
+        rows = texts(_per_group(df, path, reader.csv, order, key=key))
+    with shuffles_dropped(spark):
+        rows.write.mode("overwrite").options(**RERUN, **CSV_OPTIONS, **options).partitionBy(
+            GROUP).csv(path)
 
 
 def write_packets_csv(packets: DataFrame, path: str, by: str = "flight") -> None:
@@ -215,12 +225,23 @@ def consolidate(metadata: DataFrame, path: str) -> DataFrame:
 
 def flight_documents(metadata: DataFrame, packets: DataFrame,
                      part_packets: int = PART_PACKETS) -> DataFrame:
-    """Metadata with an array of packets, per flight.
+    """Metadata with an array of packets, per flight, as JSON texts.
 
     Each flight has document 0. A flight of more than ``part_packets`` rows continues in further
     documents that repeat the metadata, so no record grows without bound and no packet is left out.
     Rows must carry ``row_no``.
     """
+    return document_texts(flight_records(metadata, packets, part_packets))
+
+
+def document_texts(records: DataFrame) -> DataFrame:
+    """Documents with their text as ``value`` in place of the record."""
+    return records.withColumn("value", F.to_json("value", JSON_OPTIONS))
+
+
+def flight_records(metadata: DataFrame, packets: DataFrame,
+                   part_packets: int = PART_PACKETS) -> DataFrame:
+    """The records that ``flight_documents`` makes texts of."""
     columns = [c for c in packets.columns if c not in ("flight", "row_no")]
     parts = packets.groupBy(
         "flight", F.floor(F.col("row_no") / part_packets).cast("bigint").alias("part")
@@ -228,8 +249,7 @@ def flight_documents(metadata: DataFrame, packets: DataFrame,
     bare = F.transform("rows", lambda r: F.struct(*[r[c].alias(c) for c in columns]))
     record = [F.col(c) for c in metadata.columns]
     whole = F.struct(*record, F.col("part"), bare.alias("packets"))
-    return metadata.join(parts, "flight").select(
-        "flight", "part", F.to_json(whole, JSON_OPTIONS).alias("value"))
+    return metadata.join(parts, "flight").select("flight", "part", whole.alias("value"))
 
 
 def _document_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -239,20 +259,28 @@ def _document_rows(spark: SparkSession, path: str) -> DataFrame:
         F.lower(F.get_json_object("value", "$.flight")).alias("flight"), GROUP)
 
 
-def write_texts(documents: DataFrame, path: str, by: str = "flight") -> None:
-    """Document texts, one folder per flight, or with ``by="group"`` for many flights."""
+def write_records(records: DataFrame, path: str, by: str = "flight") -> None:
+    """Texts of the records, one folder per flight, or with ``by="group"`` for many flights, packed
+    by gzip: the names of the fields in every packet are most of a text."""
     if by == "group":
-        rows = _per_group(documents, path, partial(_document_rows, documents.sparkSession), ["part"])
-        rows.select("value", GROUP).write.mode("overwrite").options(**RERUN).partitionBy(
-            GROUP).text(path)
+        spark = records.sparkSession
+        earlier = partial(_document_rows, spark)
+        # Records are smaller than their texts in a shuffle; what an earlier run has left is texts.
+        if readers.exists(spark, f"{path}/{GROUP}=*"):
+            rows = _per_group(document_texts(records), path, earlier, ["part"])
+        else:
+            rows = document_texts(_per_group(records, path, earlier, ["part"]))
+        with shuffles_dropped(spark):
+            rows.select("value", GROUP).write.mode("overwrite").options(**RERUN).partitionBy(
+                GROUP).text(path, compression="gzip")
         return
-    _per_flight(documents, "part").select("flight", "value").write.mode("overwrite").options(
+    _per_flight(document_texts(records), "part").select("flight", "value").write.mode("overwrite").options(
         **RERUN).partitionBy("flight").text(path)
 
 
 def write_documents(metadata: DataFrame, packets: DataFrame, path: str, by: str = "flight") -> None:
     """JSON documents of all flights."""
-    write_texts(flight_documents(metadata, packets), path, by)
+    write_records(flight_records(metadata, packets), path, by)
 
 
 def key_value_rows(metadata: DataFrame) -> DataFrame:

@@ -68,5 +68,11 @@ def test_many_flights_share_parquet_folders(monkeypatch, spark, folder, expected
     check_folders(monkeypatch, spark, folder, expected, "sink_roundtrip_parquet")
 
 
+def test_many_documents_are_packed_and_made_once(monkeypatch, spark, folder, expected):
+    files, tables = check_folders(monkeypatch, spark, folder, expected, "sink_roundtrip_json")
+    assert all(f.endswith(".txt.gz") for f in files)
+    assert sorted(tables) == ["extracted", "json", "tracked"]
+
+
 def test_many_flights_share_csv_folders(monkeypatch, spark, folder, expected):
     check_folders(monkeypatch, spark, folder, expected, "sink_roundtrip_csv")
