@@ -22,7 +22,7 @@ from skytrace.operators.layout import (
 )
 from skytrace.plans import flight as plan
 from skytrace.schemas import OUTPUT_COLUMNS, TRAILING_COLUMNS
-from skytrace.session import configure, scratch_path, written
+from skytrace.session import configure, packed, scratch_path, written
 from skytrace.sources import events as source
 from skytrace.sources import readers, writers
 
@@ -101,7 +101,7 @@ def _numbered(events: DataFrame, layout: Layout) -> DataFrame:
 def _curved(events: DataFrame, layout: Layout) -> DataFrame:
     """Tracked rows with their fitted curves."""
     # Fits and rows meet again, so the rows are written once rather than computed twice.
-    rows = written(_tracked(events, layout), "tracked")
+    rows = packed(_tracked(events, layout), "tracked")
     return polyfit.with_curves(rows, plan.fitted(rows, layout))
 
 
@@ -371,8 +371,8 @@ def sink_roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def documents(events, layout):
         # Packets and records read both, so both are written once rather than computed twice.
-        extracted = written(_extracted(events, layout), "extracted")
-        rows = written(plan.tracked_rows(extracted, layout), "tracked")
+        extracted = packed(_extracted(events, layout), "extracted")
+        rows = packed(plan.tracked_rows(extracted, layout), "tracked")
         add_curves = polyfit.with_curves if layout.sliced else polyfit.with_curves_by_flight
         packets = columns.published(add_curves(rows, plan.fitted(rows, layout)), "row_no")
         published.append(packets.drop("flight", "row_no"))
